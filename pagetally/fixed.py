@@ -90,3 +90,15 @@ RATING_LOW, RATING_HIGH = 0, 10
 DECLINING_BELOW = 0
 GROWING_FROM = 10
 TEMPERATURE = 0.2
+
+# --- fixed values: report headings --------------------------------------------------
+HEADINGS = {
+    "title": "AI Exposure of the US Job Market",
+    "totals": "## Aggregate statistics",
+    "tiers": "### Breakdown by exposure tier",
+    "bands": "### Average exposure by pay band (job-weighted)",
+    "groups": "### Average exposure by education level (job-weighted)",
+    "down": "### BLS-projected declining occupations",
+    "up": "### Fastest-growing occupations (10%+ projected growth)",
+    "order": "Sorted by AI exposure (descending), then by number of jobs (descending).",
+}

@@ -54,7 +54,7 @@ def corpus_path(folder: str, key: Column, suffix: str) -> Column:
 def corpus_key(path: Column, suffix: str) -> Column:
     """Inverse of :func:`corpus_path`."""
     escaped = suffix.replace(".", "\\.")
-    return F.regexp_extract(path, f"([^/]+){escaped}$", 1)
+    return F.regexp_extract(path, f"([^/=]+){escaped}(?:/[^/]*)?$", 1)
 
 
 def abbreviate(name: Column, short: dict[str, str], missing: str = "?") -> Column:

@@ -17,15 +17,20 @@ from pagetally.functions.text import clean_text, dash_to_missing, strip
 from pagetally.operators.joins import skew_join
 from pagetally.operators.keyed import first_wins
 
-NODES = F.col("nodes")
-NO_LINES = F.array().cast("array<string>")
+
+def page_nodes() -> Column:
+    return F.col("nodes")
+
+
+def no_lines() -> Column:
+    return F.array().cast("array<string>")
 
 
 # --- finding nodes ----------------------------------------------------------------
 
 def within(node: Column) -> Column:
     """Descendants of a node, in document order."""
-    return F.slice(NODES, node["pos"] + 1, node["last"] - node["pos"])
+    return F.slice(page_nodes(), node["pos"] + 1, node["last"] - node["pos"])
 
 
 def children(node: Column) -> Column:
@@ -75,8 +80,8 @@ def row_cells(row: Column) -> Column:
 def page_header(pages: DataFrame) -> DataFrame:
     """Adds ``title`` (first heading, or a stand-in) and ``canonical`` (link target or null)."""
     found = pages.withColumns({
-        "_h1": find(NODES, tagged("h1")),
-        "_link": find(NODES, lambda node: (node["tag"] == "link") & has_token(
+        "_h1": find(page_nodes(), tagged("h1")),
+        "_link": find(page_nodes(), lambda node: (node["tag"] == "link") & has_token(
             node["rel"], "canonical")),
     })
     return found.withColumns({
@@ -88,7 +93,7 @@ def page_header(pages: DataFrame) -> DataFrame:
 def _table_body_rows(pages: DataFrame, table_id: str, name: str) -> DataFrame:
     """Adds ``name``: row nodes of the body of a table, and ``name_table``: the table node."""
     return pages.withColumn(
-        f"{name}_table", find(NODES, identified("table", table_id))
+        f"{name}_table", find(page_nodes(), identified("table", table_id))
     ).withColumn(
         f"{name}_body", find(within(F.col(f"{name}_table")), tagged("tbody"))
     ).withColumn(
@@ -115,7 +120,7 @@ def facts(pages: DataFrame, table_id: str = fixed.FACT_TABLE) -> DataFrame:
 
 def page_footer(pages: DataFrame) -> DataFrame:
     """Adds ``updated``: text of the last-modified paragraph, or null."""
-    return pages.withColumn("_update", find(NODES, classed("p", fixed.UPDATE_CLASS))).withColumn(
+    return pages.withColumn("_update", find(page_nodes(), classed("p", fixed.UPDATE_CLASS))).withColumn(
         "updated", F.when(F.col("_update").isNotNull(), text_of(F.col("_update")))
     ).drop("_update")
 
@@ -135,7 +140,7 @@ def sections(pages: DataFrame) -> DataFrame:
                     tab.alias("tab"), text_of(named).alias("title"), box.alias("box")))))))
 
     tabs = F.array(*[F.lit(tab) for tab in fixed.SECTION_TABS])
-    return pages.withColumn("_panes", find(NODES, identified("div", fixed.PANES))).withColumn(
+    return pages.withColumn("_panes", find(page_nodes(), identified("div", fixed.PANES))).withColumn(
         "sections", F.array_compact(F.transform(tabs, section))
     ).drop("_panes")
 
@@ -209,11 +214,11 @@ def lines(*texts) -> Column:
 def _chart_lines(box: Column) -> Column:
     def drawn(chart: Column) -> Column:
         subtitle = F.when(truthy_text(chart["subtitle"]), lines(
-            F.concat(F.lit("*"), chart["subtitle"], F.lit("*")), "")).otherwise(NO_LINES)
+            F.concat(F.lit("*"), chart["subtitle"], F.lit("*")), "")).otherwise(no_lines())
         items = F.transform(chart["items"], lambda item: F.concat(
             F.lit("- **"), item["label"], F.lit("**: "), item["value"]))
         return F.when(F.size(chart["items"]) > 0, F.concat(subtitle, items, lines("")))
-    return F.coalesce(let(chart_of(box), drawn), NO_LINES)
+    return F.coalesce(let(chart_of(box), drawn), no_lines())
 
 
 def _table_lines(table: Column) -> Column:
@@ -221,7 +226,7 @@ def _table_lines(table: Column) -> Column:
         rule = pipe_row(F.array_repeat(F.lit("---"), table_width(rows)))
         return F.when(F.size(rows) > 0, F.concat(
             F.array(rule), F.transform(rows, pipe_row), lines("")))
-    return F.coalesce(let(table_rows(table), drawn), NO_LINES)
+    return F.coalesce(let(table_rows(table), drawn), no_lines())
 
 
 def _block_lines(block: Column) -> Column:
@@ -229,7 +234,7 @@ def _block_lines(block: Column) -> Column:
     bullets = F.transform(F.filter(within(node), tagged("li")), lambda item: F.concat(
         F.lit("- "), text_of(item)))
     paragraph = let(text_of(node), lambda text: F.when(text != "", lines(text, "")).otherwise(
-        NO_LINES))
+        no_lines()))
     return (
         F.when(kind == "h3", lines(F.concat(F.lit("### "), text_of(node)), ""))
         .when(kind == "p", paragraph)
@@ -247,13 +252,13 @@ def _projection_lines(box: Column) -> Column:
                 F.lit("- **"), cell["label"], F.lit(":** "), cell["value"])), lines(""))))
         return F.when(table.isNotNull(), F.concat(lines("### Employment Projections", ""), body))
     return F.coalesce(
-        let(find(within(box), identified("table", fixed.PROJECTION_TABLE)), drawn), NO_LINES)
+        let(find(within(box), identified("table", fixed.PROJECTION_TABLE)), drawn), no_lines())
 
 
 def _section_lines(section: Column) -> Column:
     box = section["box"]
     projections = F.when(section["tab"] == fixed.PROJECTION_TAB, _projection_lines(box)).otherwise(
-        NO_LINES)
+        no_lines())
     return F.concat(
         lines(F.concat(F.lit("## "), section["title"]), ""),
         _chart_lines(box),
@@ -269,19 +274,19 @@ def pages_to_markdown(pages: DataFrame, name: str = "text") -> DataFrame:
         F.lit("| "), fact["field"], F.lit(" | "), fact["value"], F.lit(" |")))
     fact_lines = F.concat(
         lines("## Quick Facts", "", "| Field | Value |", "|-------|-------|"), fact_rows, lines(""))
-    has_facts = F.exists(NODES, identified("table", fixed.FACT_TABLE))
+    has_facts = F.exists(page_nodes(), identified("table", fixed.FACT_TABLE))
     text = F.concat(
         lines(F.concat(F.lit("# "), F.col("title")), ""),
         F.when(F.col("canonical").isNotNull(), lines(
-            F.concat(F.lit("**Source:** "), F.col("canonical")), "")).otherwise(NO_LINES),
-        F.when(has_facts, fact_lines).otherwise(NO_LINES),
+            F.concat(F.lit("**Source:** "), F.col("canonical")), "")).otherwise(no_lines()),
+        F.when(has_facts, fact_lines).otherwise(no_lines()),
         F.flatten(F.transform(F.coalesce("sections", F.array().cast(
             parts.schema["sections"].dataType)), _section_lines)),
         F.when(F.col("updated").isNotNull(), lines(
-            "---", F.concat(F.lit("*"), F.col("updated"), F.lit("*")), "")).otherwise(NO_LINES),
+            "---", F.concat(F.lit("*"), F.col("updated"), F.lit("*")), "")).otherwise(no_lines()),
     )
     keep = [F.col(column) for column in pages.columns if column not in ("nodes", name)]
-    return parts.select(*keep, F.when(NODES.isNotNull(), F.array_join(text, "\n")).alias(name))
+    return parts.select(*keep, F.when(page_nodes().isNotNull(), F.array_join(text, "\n")).alias(name))
 
 
 # --- structured table -------------------------------------------------------------------
@@ -365,7 +370,7 @@ def index_entries(pages: DataFrame, box=classed("div", fixed.INDEX_CLASS)) -> Da
             raw_text(item).alias("text")))
 
     keep = [F.col(name) for name in pages.columns if name != "nodes"]
-    return pages.withColumn("_box", find(NODES, box)).withColumn(
+    return pages.withColumn("_box", find(page_nodes(), box)).withColumn(
         "_items", F.transform(F.filter(within(F.col("_box")), tagged("li")), entry)
     ).select(*keep, F.posexplode("_items").alias("entry", "_item")).select(
         *keep, "entry", "_item.*")

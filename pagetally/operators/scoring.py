@@ -134,7 +134,7 @@ def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
     rows = first_wins(slice_rows(master, start, end).select("ord", "slug", "title"), "slug")
     known = old.limit(0) if force else old
     seen = known.select("slug", F.lit(True).alias("_known"))
-    marked = skew_join(rows, seen, "slug").cache()
+    marked = skew_join(rows, seen, "slug")
     texts = docs.filter(F.octet_length("text") > 0).select("slug", "text")
     todo = marked.filter("_known is null").drop("_known").join(texts, "slug", "left")
     answers = durable(

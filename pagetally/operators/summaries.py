@@ -13,16 +13,26 @@ from pagetally.functions.aggregates import (
     product0, sum0, sum_product, weighable, weighted_mean)
 from pagetally.functions.predicates import in_closed, in_half_open, member_of, truthy_number
 
-PAY, JOBS, RATING = F.col("pay"), F.col("jobs"), F.col("exposure")
+
+def pay() -> Column:
+    return F.col("pay")
+
+
+def weight() -> Column:
+    return F.col("jobs")
+
+
+def rating() -> Column:
+    return F.col("exposure")
 
 
 def headline_columns() -> list[Column]:
     """Rows, weight, wages and weighted mean rating."""
     return [
         F.count(F.lit(1)).alias("n"),
-        sum0(JOBS).alias("jobs"),
-        sum_product(JOBS, PAY).alias("wages"),
-        F.round(weighted_mean(RATING, JOBS), 6).alias("mean_exposure"),
+        sum0(weight()).alias("jobs"),
+        sum_product(weight(), pay()).alias("wages"),
+        F.round(weighted_mean(rating(), weight()), 6).alias("mean_exposure"),
     ]
 
 
@@ -43,22 +53,22 @@ def _slots(groups: list[tuple[str, Column]], measures: dict[str, Column]) -> Col
 
 def tier_slots(tiers: list[tuple] = fixed.TIERS) -> Column:
     return _slots(
-        [(name, RATING.isNotNull() & in_closed(RATING, low, high)) for name, low, high in tiers],
-        {"jobs": JOBS, "wages": product0(JOBS, PAY)})
+        [(name, rating().isNotNull() & in_closed(rating(), low, high)) for name, low, high in tiers],
+        {"jobs": weight(), "wages": product0(weight(), pay())})
 
 
 def band_slots(bands: list[tuple] = fixed.PAY_BANDS) -> Column:
-    rated = weighable(RATING, JOBS) & truthy_number(PAY)
+    rated = weighable(rating(), weight()) & truthy_number(pay())
     return _slots(
-        [(name, rated & in_half_open(PAY, low, high)) for name, low, high in bands],
-        {"weighted": RATING * JOBS, "jobs": JOBS})
+        [(name, rated & in_half_open(pay(), low, high)) for name, low, high in bands],
+        {"weighted": rating() * weight(), "jobs": weight()})
 
 
 def group_slots(groups: list[tuple] = fixed.EDUCATION_GROUPS) -> Column:
-    rated = weighable(RATING, JOBS)
+    rated = weighable(rating(), weight())
     return _slots(
         [(name, rated & member_of(F.col("education"), members)) for name, members in groups],
-        {"weighted": RATING * JOBS, "jobs": JOBS})
+        {"weighted": rating() * weight(), "jobs": weight()})
 
 
 def share_of_total(part: Column, total: Column) -> Column:
@@ -89,8 +99,8 @@ def means_from(totals: DataFrame, slots: str) -> DataFrame:
 def tier_summary(records: DataFrame, tiers: list[tuple] = fixed.TIERS) -> DataFrame:
     """Count, weight, wages, their shares of all records and average pay per closed tier."""
     return tiers_from(records.agg(
-        tier_slots(tiers).alias("tiers"), sum0(JOBS).alias("jobs"),
-        sum_product(JOBS, PAY).alias("wages")))
+        tier_slots(tiers).alias("tiers"), sum0(weight()).alias("jobs"),
+        sum_product(weight(), pay()).alias("wages")))
 
 
 def band_means(records: DataFrame, bands: list[tuple] = fixed.PAY_BANDS) -> DataFrame:
@@ -116,13 +126,13 @@ def growing(records: DataFrame) -> DataFrame:
 def on_scale(records: DataFrame) -> DataFrame:
     """Records whose rating equals a point of the scale; null and fractional ratings are not."""
     points = list(range(fixed.RATING_LOW, fixed.RATING_HIGH + 1))
-    return records.filter(RATING.isin(points))
+    return records.filter(rating().isin(points))
 
 
 def rating_groups(records: DataFrame) -> DataFrame:
     """Count and weight per rating; ratings nobody has are absent."""
-    return on_scale(records).groupBy(RATING.cast("int").alias("exposure")).agg(
-        F.count(F.lit(1)).alias("n"), sum0(JOBS).alias("jobs"))
+    return on_scale(records).groupBy(rating().cast("int").alias("exposure")).agg(
+        F.count(F.lit(1)).alias("n"), sum0(weight()).alias("jobs"))
 
 
 def mean_of(df: DataFrame, column: str) -> DataFrame:

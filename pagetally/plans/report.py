@@ -104,26 +104,25 @@ def heading_lines(records: DataFrame, title: str, intro: list[str]) -> DataFrame
     """Headings and table heads of the report."""
     parts = [
         _fixed_lines(records, HEAD, [f"# {title}", "", *intro]),
-        _fixed_lines(records, TOTALS, ["## Aggregate statistics", ""]),
+        _fixed_lines(records, TOTALS, [fixed.HEADINGS["totals"], ""]),
         _fixed_lines(records, TIERS, [
-            "### Breakdown by exposure tier", "",
+            fixed.HEADINGS["tiers"], "",
             "| Tier | Occupations | Jobs | % of jobs | Wages | % of wages | Avg pay |",
             "|------|-------------|------|-----------|-------|------------|---------|"]),
         _fixed_lines(records, BANDS, [
-            "### Average exposure by pay band (job-weighted)", "",
+            fixed.HEADINGS["bands"], "",
             "| Pay band | Avg exposure | Jobs |", "|----------|-------------|------|"]),
         _fixed_lines(records, GROUPS, [
-            "### Average exposure by education level (job-weighted)", "",
+            fixed.HEADINGS["groups"], "",
             "| Education | Avg exposure | Jobs |", "|-----------|-------------|------|"]),
         _fixed_lines(records, DOWN, [
-            "### Declining occupations", "",
+            fixed.HEADINGS["down"], "",
             "| Occupation | Exposure | Outlook | Jobs |",
             "|-----------|----------|---------|------|"]),
         _fixed_lines(records, UP, [
-            f"### Fastest-growing occupations ({fixed.GROWING_FROM}%+ projected growth)", "",
+            fixed.HEADINGS["up"], "",
             "| Occupation | Exposure | Outlook | Jobs |",
             "|-----------|----------|---------|------|"]),
-        _fixed_lines(records, ALL, ["## All occupations", ""]),
     ]
     # a blank line closes each section
     ends = [_fixed_lines(records, section, [""], first=2 ** 62)
@@ -144,6 +143,16 @@ def mover_lines(records: DataFrame) -> DataFrame:
         _table_lines(movers(records, up=True), UP, "n", line))
 
 
+def all_lines(records: DataFrame) -> DataFrame:
+    """Heading above the listings, with the number of records."""
+    texts = F.array(
+        F.concat(F.lit("## All "), F.count(F.lit(1)), F.lit(" occupations")), F.lit(""),
+        F.lit(fixed.HEADINGS["order"]), F.lit(""))
+    return records.agg(texts.alias("lines")).select(
+        F.lit(ALL).alias("section"), F.posexplode("lines").alias("row", "line")
+    ).withColumn("row", F.col("row").cast("bigint"))
+
+
 def listing_lines(records: DataFrame) -> DataFrame:
     """Per-rating tables, highest rating first."""
     section = (F.lit(LISTING + fixed.RATING_HIGH) - F.col("exposure")).alias("section")
@@ -164,9 +173,9 @@ def listing_lines(records: DataFrame) -> DataFrame:
     return heads.unionByName(rows).unionByName(ends)
 
 
-def report_lines(records: DataFrame, title: str = "AI exposure of the job market",
+def report_lines(records: DataFrame, title: str = fixed.HEADINGS["title"],
                  intro: list[str] = ()) -> DataFrame:
-    """The whole report. Pass a written or cached frame: it is read six times.
+    """The whole report. Pass a written or cached frame: it is read seven times.
 
     Lines are placed by ``(section, row)``; ``sources.corpus.write_report`` writes them in order.
     """
@@ -174,6 +183,7 @@ def report_lines(records: DataFrame, title: str = "AI exposure of the job market
         heading_lines(records, title, list(intro))
         .unionByName(summary_lines(records))
         .unionByName(mover_lines(records))
+        .unionByName(all_lines(records))
         .unionByName(listing_lines(records))
     )
 

@@ -10,13 +10,14 @@ from pagetally.functions.text import corpus_key
 def read_corpus(spark: SparkSession, path: str, suffix: str = ".html") -> DataFrame:
     """``(slug, text, bytes)`` from a folder with one file per key.
 
-    Zero-byte files do not show up in Spark's text reader. Keep a large corpus as a table:
+    The key is the file name, or the value of the folder when a writer partitioned the
+    corpus by ``<key><suffix>``. Zero-byte files do not show up in Spark's text reader. Keep a large corpus as a table:
     millions of small files cost more to list than to read.
     """
-    files = spark.read.text(
-        path, wholetext=True, pathGlobFilter=f"*{suffix}", recursiveFileLookup=True)
-    return files.select(
-        corpus_key(F.col("_metadata.file_path"), suffix).alias("slug"),
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    slug = corpus_key(F.url_decode("_metadata.file_path"), suffix)
+    return files.filter(slug != "").select(
+        slug.alias("slug"),
         F.col("value").alias("text"),
         F.octet_length("value").cast("bigint").alias("bytes"),
     )
