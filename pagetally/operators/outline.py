@@ -7,13 +7,17 @@ node's last descendant, so a subtree is a slice of the array and everything that
 
 from __future__ import annotations
 
+import re
 import sys
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from pagetally.session import spread
+
 # --- fixed values: tags without an end tag, tags whose text is not page text ---
 VOID_TAGS = {
     "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr",
@@ -32,40 +36,53 @@ NODE_TYPE = T.StructType([
     T.StructField("text", T.StringType()),      # null for an element
 ])
 
+# Markup on which every reading of HTML agrees: text, plain end and start tags, plain
+# comments, the doctype. It is read by one pattern; the first other construct on a page
+# hands the rest of that page to the standard parser.
+PLAIN = re.compile(
+    r"([^<]+)"
+    r"|</([a-zA-Z][a-zA-Z0-9]*)>"
+    r"|<([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\r\n]+[a-zA-Z][a-zA-Z-]*=\"[^\"&]*\")*)[ \t\r\n]*(/?)>"
+    r"|<!--(?!-?>)(?:[^-]|-(?!-))*-->"
+    r"|<!(?:doctype|DOCTYPE) html>")
+PLAIN_ATTRIBUTE = re.compile(r"([a-zA-Z][a-zA-Z-]*)=\"([^\"]*)\"")
+CODE_TAGS = {"script", "style"}
+TEXT_TAGS = {"iframe", "noembed", "noframes", "noscript", "plaintext", "textarea", "title", "xmp"}
+
 # Workers get the code of this module with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class Outline(HTMLParser):
-    """Collects the nodes of pages as flat columns."""
+    """Collects the nodes of pages: one tuple per node, and the last descendants apart."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.columns = {field.name: [] for field in NODE_TYPE.fields}
+        self.nodes = []     # (parent, tag, id, class, rel, href, text)
+        self.lasts = []
         self.start_page()
 
     def start_page(self):
         self.reset()
-        self.base = len(self.columns["pos"])
+        self.base = len(self.nodes)
         self.stack = []     # (tag, position) of open elements
+        self.parent = 0
         self.silent = 0
 
-    def add(self, tag=None, attributes=None, text=None):
-        position = len(self.columns["pos"]) - self.base + 1
-        row = {"pos": position, "parent": self.stack[-1][1] if self.stack else 0,
-               "last": position, "tag": tag, "text": text, **(attributes or {})}
-        for name, values in self.columns.items():
-            values.append(row.get(name))
-        return position
-
     def handle_starttag(self, tag, attrs):
-        known = {name: value or "" for name, value in attrs if name in ATTRIBUTES}
-        for listed in ("class", "rel"):
-            if listed in known:
-                known[listed] = " ".join(known[listed].split())
-        position = self.add(tag, known)
+        if attrs:
+            given = {name: value or "" for name, value in attrs}
+            token_lists = (" ".join(given[name].split()) if name in given else None
+                           for name in ("class", "rel"))
+            self.nodes.append(
+                (self.parent, tag, given.get("id"), *token_lists, given.get("href"), None))
+        else:
+            self.nodes.append((self.parent, tag, None, None, None, None, None))
+        position = len(self.nodes) - self.base
+        self.lasts.append(position)
         if tag not in VOID_TAGS:
             self.stack.append((tag, position))
+            self.parent = position
             self.silent += tag in SILENT_TAGS
 
     def handle_startendtag(self, tag, attrs):
@@ -81,12 +98,50 @@ class Outline(HTMLParser):
     def close_top(self):
         tag, position = self.stack.pop()
         self.silent -= tag in SILENT_TAGS
-        self.columns["last"][self.base + position - 1] = len(self.columns["pos"]) - self.base
+        self.lasts[self.base + position - 1] = len(self.nodes) - self.base
+        self.parent = self.stack[-1][1] if self.stack else 0
         return tag
 
     def handle_data(self, data):
         if not self.silent:
-            self.add(text=data)
+            self.nodes.append((self.parent, None, None, None, None, None, data))
+            self.lasts.append(len(self.nodes) - self.base)
+
+    def read_plain(self, html):
+        """Read plain markup from the start; the position of the first other construct."""
+        place, match = 0, PLAIN.match
+        while found := match(html, place):
+            text, end_tag, start_tag, attributes, closed = found.groups()
+            if text is not None:
+                self.handle_data(unescape(text) if "&" in text else text)
+            elif end_tag is not None:
+                self.handle_endtag(end_tag.lower())
+            elif start_tag is not None:
+                tag = start_tag.lower()
+                after = self.after_code(html, found.end(), tag, closed)
+                if after is None:
+                    break
+                given = [(name.lower(), value) for name, value in
+                         PLAIN_ATTRIBUTE.findall(attributes)] if attributes else ()
+                (self.handle_startendtag if closed else self.handle_starttag)(tag, given)
+                if after > found.end():
+                    self.handle_endtag(tag)
+                    place = after
+                    continue
+            place = found.end()
+        return place
+
+    @staticmethod
+    def after_code(html, place, tag, closed):
+        """Where reading goes on after a start tag; None when its content is not plain."""
+        if tag in CODE_TAGS and not closed:
+            end = re.compile(f"</{tag}(?=[^a-zA-Z0-9])", re.IGNORECASE).search(html, place)
+            plain = end and html[end.end()] == ">"
+            return end.end() + 1 if plain else None
+        if tag in TEXT_TAGS or tag in CODE_TAGS:
+            plain = re.compile(f"[^<&]*</{tag}>").match(html, place)
+            return place if plain and not closed else None
+        return place
 
     def unknown_decl(self, data):
         if data.upper().startswith("CDATA["):
@@ -96,12 +151,13 @@ class Outline(HTMLParser):
         """Add one page; False when the markup is beyond the tokenizer."""
         self.start_page()
         try:
-            self.feed(html)
-            self.close()
+            place = self.read_plain(html)
+            if place < len(html):
+                self.feed(html[place:])
+                self.close()
             sound = True
         except AssertionError:
-            for values in self.columns.values():
-                del values[self.base:]
+            del self.nodes[self.base:], self.lasts[self.base:]
             self.stack, sound = [], False
         while self.stack:
             self.close_top()
@@ -115,11 +171,13 @@ def _node_arrays(pages):
     missing = []
     for html in pages:
         missing.append(html is None or not outline.read(html))
-        offsets.append(len(outline.columns["pos"]))
-    kinds = {"pos": pa.int32(), "parent": pa.int32(), "last": pa.int32()}
-    fields = [pa.array(values, kinds.get(name, pa.string()))
-              for name, values in outline.columns.items()]
-    nodes = pa.StructArray.from_arrays(fields, names=list(outline.columns))
+        offsets.append(len(outline.nodes))
+    parents, *texts = zip(*outline.nodes) if outline.nodes else [()] * 7
+    positions = [place for start, end in zip(offsets, offsets[1:])
+                 for place in range(1, end - start + 1)]
+    nodes = pa.StructArray.from_arrays(
+        [pa.array(numbers, pa.int32()) for numbers in (positions, parents, outline.lasts)]
+        + [pa.array(column, pa.string()) for column in texts], names=NODE_TYPE.names)
     return pa.ListArray.from_arrays(
         pa.array(offsets, pa.int32()), nodes, mask=pa.array(missing, pa.bool_()))
 
@@ -142,7 +200,7 @@ def html_nodes(pages: DataFrame, html: str = "html", keep: list[str] | None = No
     pages are read by Python once.
     """
     keep = keep or [name for name in pages.columns if name != html]
-    rows = pages.select(*keep, html)
+    rows = spread(pages.select(*keep, html))
     schema = T.StructType([*[rows.schema[name] for name in keep],
                            T.StructField("nodes", T.ArrayType(NODE_TYPE))])
     return rows.mapInArrow(_outline_batches, schema)

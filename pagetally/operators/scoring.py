@@ -16,7 +16,7 @@ from pagetally.functions.text import strip_fence
 from pagetally.operators.joins import skew_join
 from pagetally.operators.keyed import first_wins, upsert
 from pagetally.operators.ordering import slice_rows
-from pagetally.session import durable
+from pagetally.session import durable, spread
 
 # Workers get the code of this module with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,7 +59,8 @@ def score_table(docs: DataFrame, scorer: Callable[[str], str], text: str = "text
     schema = T.StructType([
         *[docs.schema[name] for name in kept],
         T.StructField("reply", T.StringType()), T.StructField("error", T.StringType())])
-    return docs.select(*kept, text).filter(F.octet_length(text) > 0).mapInPandas(reply_to, schema)
+    filled = docs.select(*kept, text).filter(F.octet_length(text) > 0)
+    return spread(filled).mapInPandas(reply_to, schema)
 
 
 def score_requests(docs: DataFrame, model: str, rubric: str = RUBRIC,

@@ -56,3 +56,15 @@ def durable(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when their source has fewer files than there are cores.
+
+    For steps that spend their time in Python. A corpus of many files is left alone: its
+    scan has enough tasks and is not shuffled.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
