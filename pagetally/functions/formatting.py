@@ -1,7 +1,7 @@
 """Numbers to report text.
 
 ``format_string`` rounds the shortest decimal form of a double half up; the reports round
-the exact binary value half to even, so fixed-point text is built here instead.
+the exact binary value half to even, as ``format_number`` with a pattern does.
 """
 
 from __future__ import annotations
@@ -10,30 +10,9 @@ from pyspark.sql import Column, functions as F
 
 
 def fixed_point(value: Column, digits: int) -> Column:
-    """``value`` with ``digits`` decimals, correctly rounded from its exact binary value."""
-    scale = float(10 ** digits)
-    size = F.abs(value.cast("double"))
-    steps = F.floor(size * scale)
-    # Split the double in two halves so that the products below are exact, then compare
-    # the scaled value with the midpoint between the two candidates.
-    wide = size * F.lit(134217729.0)
-    high = wide - (wide - size)
-    low = size - high
-    past_middle = (high * scale - (steps + F.lit(0.5))) + low * scale
-    rounded = steps + (
-        F.when(past_middle > 0, F.lit(1)).when(past_middle < 0, F.lit(0)).otherwise(steps % 2)
-    )
-    if digits == 0:
-        body = rounded.cast("string")
-    else:
-        unit = F.lit(10 ** digits).cast("bigint")
-        whole = (rounded - rounded % unit) / unit
-        body = F.concat(
-            whole.cast("bigint").cast("string"),
-            F.lit("."),
-            F.lpad((rounded % unit).cast("string"), digits, "0"),
-        )
-    return F.concat(F.when(value < 0, "-").otherwise(""), body)
+    """``value`` with ``digits`` decimals, correctly rounded, no thousands separators."""
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.call_function("format_number", value, F.lit(pattern))
 
 
 def fmt_money(value: Column) -> Column:
