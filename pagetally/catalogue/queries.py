@@ -364,7 +364,7 @@ def run_steps(spark, folder):
         "html": standins.order_pages(spark, folder),
         "scores": standins.records(spark, folder).select("slug", "ord", "exposure", "rationale"),
     }
-    made, _ = steps.run_steps(spark, catalog, {
+    made, _ = steps.run_steps(catalog, {
         "nodes": lambda t: html_nodes(t["html"]),
         "csv": lambda t: extract.pages_to_table(t["master"], t["nodes"]),
         "build": lambda t: joins.build_compact(t["csv"], t["scores"]),

@@ -7,43 +7,63 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pagetally.functions.parsing import to_int
 from pagetally.functions.predicates import in_closed, in_half_open
 from pagetally.operators.keyed import last_wins
+from pagetally.session import durable
 
-HOT_KEYS = 64          # keys tracked at most: the broadcast below never exceeds this
-SKETCH_ITEMS = 8192    # sketch size; keys above about 0.02 % of the rows are always found
-SALTS = 64             # pieces a hot key is split into
-MIN_HOT_ROWS = 1_000_000
+MIN_HOT_ROWS = 1_000_000    # smaller keys are never split
+HOT_SHARE = 1 / 65_536      # nor are keys below this share, so there are 65,536 hot keys at most
+SAMPLE = 0.001              # part of the rows that is counted to find them
+SALTS = 64                  # pieces a hot key is split into
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, ``HOT_KEYS`` of them at most.
+def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS,
+             sample: float = SAMPLE) -> DataFrame:
+    """Keys that hold many rows of ``df``, a null key included.
 
-    A frequent-items sketch: one pass over the key column, nothing is shuffled by key.
+    They are found in a sample of the key column. The result only steers how a join is
+    spread, but both sides of the join must see the same keys: hence the checkpoint.
     """
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
-    return (
-        top.select(F.inline("top")).filter(F.col("count") >= min_rows)
-        .select(F.col("item").alias(key), F.lit(True).alias("_hot"))
-    )
+    counts = df.select(key).sample(sample, seed=1).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
+    return durable(
+        counts.filter((F.col("_rows") >= min_rows * sample) & (F.col("_rows") >= total * HOT_SHARE))
+        .select(key, F.lit(True).alias("_hot")))
+
+
+def skew_joins(left: DataFrame, rights: list[tuple[DataFrame, str]], key: str,
+               min_rows: int = MIN_HOT_ROWS, sample: float = SAMPLE) -> DataFrame:
+    """Join ``left`` with each ``(right, how)`` on ``key``.
+
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. Without hot keys these
+    are plain joins. Otherwise rows of hot left keys are spread over ``SALTS`` pieces and
+    the matching right rows are copied to each piece; rows with a null key, which never
+    match, are spread too. All joins use one partitioning of the left side. Left rows
+    should be distinct (carry a position or id) and cheap to read: their keys are sampled
+    first.
+    """
+    hot = hot_keys(left, key, min_rows, sample)
+    joined, keys = left, [key]
+    if not hot.isEmpty():
+        hot = F.broadcast(hot)
+        piece = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+        joined = left.join(hot, key, "left").withColumn("_salt", F.when(
+            F.col("_hot") | F.col(key).isNull(), piece).otherwise(0)).drop("_hot")
+        copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+            F.array(F.lit(0)))
+        rights = [
+            (right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot"), how)
+            for right, how in rights]
+        keys = [key, "_salt"]
+    for right, how in rights:
+        joined = joined.join(right, keys, how)
+    rest = [name for name in joined.columns if name not in (*left.columns, "_salt")]
+    return joined.select(*left.columns, *rest)
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
-              min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """``inner``, ``left``, ``left_semi`` or ``left_anti`` join on ``key``.
-
-    Rows of hot left keys are spread over ``SALTS`` pieces and the matching right rows are
-    copied to each piece; other keys join as usual. Rows with a null key never match and
-    are spread too. Left rows should be distinct (carry a position or id).
-    """
-    hot = F.broadcast(hot_keys(left, key, min_rows))
-    piece = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
-    left_salted = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), piece).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0)))
-    right_salted = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    joined = left_salted.join(right_salted, [key, "_salt"], how).drop("_salt")
-    rest = [name for name in joined.columns if name not in left.columns]
-    return joined.select(*left.columns, *rest)
+              min_rows: int = MIN_HOT_ROWS, sample: float = SAMPLE) -> DataFrame:
+    """One join of :func:`skew_joins`."""
+    return skew_joins(left, [(right, how)], key, min_rows, sample)
 
 
 def with_corpus(master: DataFrame, corpus: DataFrame, key: str = "slug") -> DataFrame:
@@ -132,7 +152,7 @@ def build_records(master: DataFrame, stats: DataFrame, scores: DataFrame,
     )
     rated = last_wins(scores, "slug").select(
         "slug", "exposure", F.col("rationale").alias("_rationale"))
-    keyed = skew_join(skew_join(master, figures, "slug"), rated, "slug")
+    keyed = skew_joins(master, [(figures, "left"), (rated, "left")], "slug")
 
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))

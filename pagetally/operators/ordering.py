@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagetally.session import durable
 
+BROADCAST_ROWS = 100_000    # a few MB; a longer offset table is joined by shuffle
+
 
 def record_order() -> list[Column]:
     """Rating down, weight down (null as zero), then list position."""
@@ -49,9 +51,12 @@ def number_rows(df: DataFrame, order: list[Column], within: str | None = None,
         F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1)
+    runs = durable(runs)
     offsets = runs.select(
         *group, "_part",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) + 1 - F.col("_first")).alias("_shift"))
+    if runs.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     on = [*([within] if within else []), "_part"]
     return placed.join(offsets, on).select(
         *df.columns, (F.col("_at") + F.col("_shift")).alias(name))

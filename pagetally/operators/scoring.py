@@ -137,7 +137,8 @@ def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
     seen = known.select("slug", F.lit(True).alias("_known"))
     marked = skew_join(rows, seen, "slug")
     texts = docs.filter(F.octet_length("text") > 0).select("slug", "text")
-    todo = marked.filter("_known is null").drop("_known").join(texts, "slug", "left")
+    # texts drive this join, so that a short list of pending keys can be broadcast to them
+    todo = texts.join(marked.filter("_known is null").drop("_known"), "slug")
     answers = durable(
         parse_replies(score_table(todo, scorer))
         .select("ord", "slug", "title", "status", "exposure", "rationale", "extras",

@@ -6,7 +6,7 @@ pass, one row out of each task, no shuffle of records, and rows may fall in seve
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetally import fixed
 from pagetally.functions.aggregates import (
@@ -149,8 +149,7 @@ def histogram(df: DataFrame, column: str, width: int | None = 200) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     marks = F.col("n")
     if width is not None:
-        # one row per distinct value, already counted
-        longest = F.max("n").over(Window.partitionBy())
+        longest = counts.agg(F.max("n")).scalar()
         marks = F.when(longest <= width, marks).otherwise(
             F.ceil(F.col("n") * F.lit(width) / longest))
     return counts.select(column, "n", F.repeat(F.lit("█"), marks.cast("int")).alias("bar"))

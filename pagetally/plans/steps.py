@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from pagetally.operators.joins import pending, skew_join
+from pagetally.operators.joins import pending, skew_joins
 from pagetally.operators.keyed import upsert
 from pagetally.session import durable
 
@@ -28,7 +28,7 @@ def run_statuses(todo: DataFrame, corpus: DataFrame, done: DataFrame, key: str =
     """Outcome of each row of a run: ``missing`` input, ``cached`` or ``processed``."""
     inputs = corpus.select(key).distinct().withColumn("_input", F.lit(True))
     outputs = done.select(key).distinct().withColumn("_output", F.lit(True))
-    marked = skew_join(skew_join(todo, inputs, key), outputs, key)
+    marked = skew_joins(todo, [(inputs, "left"), (outputs, "left")], key)
     cached = F.lit(False) if force else F.coalesce("_output", F.lit(False))
     return marked.select(
         *todo.columns,
@@ -36,7 +36,7 @@ def run_statuses(todo: DataFrame, corpus: DataFrame, done: DataFrame, key: str =
             "processed").alias("status"))
 
 
-def run_steps(spark: SparkSession, catalog: dict[str, DataFrame],
+def run_steps(catalog: dict[str, DataFrame],
               steps: dict[str, Callable[[dict[str, DataFrame]], DataFrame]],
               names: Iterable[str] | None = None) -> tuple[dict[str, DataFrame], list[str]]:
     """Run the named steps in the given order over a catalog of tables.

@@ -21,6 +21,7 @@ def build_session(app: str = "pagetally", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # recording the call site of every column expression doubles the time to build a plan
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         # pages are large cells: keep one Arrow batch well below a worker's memory
