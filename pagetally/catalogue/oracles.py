@@ -312,6 +312,16 @@ ORACLES["head_tail"] = """
 UNION ALL
 (SELECT p_partkey AS ord, p_name, p_size, 'tail' AS part FROM part ORDER BY p_partkey DESC LIMIT 10)"""
 
+ORACLES["with_defaults"] = """
+SELECT doc_id AS ord, source || ' ' || doc_id AS title, lang AS category, CAST(doc_id AS VARCHAR) AS slug,
+       '' AS soc_code, CAST(n_chars AS VARCHAR) AS median_pay_annual, '' AS median_pay_hourly,
+       lang AS entry_education, '' AS work_experience, '' AS training,
+       CASE WHEN source = 'src3' THEN '' ELSE CAST(n_chars AS VARCHAR) END AS num_jobs_2024,
+       '' AS projected_employment_2034, CASE WHEN n_chars > 500 THEN 'See page' ELSE '-3' END AS outlook_pct,
+       CASE WHEN source = 'src3' THEN '' ELSE source END AS outlook_desc, '' AS employment_change,
+       'https://example.com/d/' || doc_id AS url
+FROM documents"""
+
 # --- text and number rules --------------------------------------------------------------------------
 
 SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
@@ -322,12 +332,12 @@ def clean(x: str) -> str:
     return f"trim(regexp_replace({x}, '{SPACE}', ' ', 'g'))"
 
 
-ORACLES["clean_documents"] = f"SELECT doc_id, {clean('text')} AS clean FROM documents"
+ORACLES["clean_text"] = f"SELECT doc_id, {clean('text')} AS clean FROM documents"
 ORACLES["document_sizes"] = """
 SELECT doc_id, length(text) AS chars, strlen(text) AS bytes,
        CAST(len(string_split(text, chr(10))) AS BIGINT) AS lines FROM documents"""
 
-ORACLES["parse_pay_texts"] = """
+ORACLES["parse_pay"] = """
 WITH o AS (
   SELECT o_orderkey, o_orderpriority AS p, CAST(floor(o_totalprice) AS BIGINT) AS annual,
          CAST(floor(o_totalprice) AS BIGINT) % 20000 + 700 AS cents FROM orders)
@@ -337,19 +347,19 @@ SELECT o_orderkey,
             THEN (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') ELSE '' END AS hourly
 FROM o"""
 
-ORACLES["parse_outlook_texts"] = """
+ORACLES["parse_outlook"] = """
 SELECT o_orderkey,
        CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_custkey % 65 - 15 AS VARCHAR) END AS pct,
        CASE o_orderstatus WHEN 'F' THEN 'Change (see note ' || o_orderpriority || ')' WHEN 'O' THEN ''
             ELSE 'About ' || (o_custkey % 65 - 15) || ' to 70%' END AS outlook_desc
 FROM orders"""
 
-ORACLES["parse_number_texts"] = """
+ORACLES["parse_number"] = """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'See ' || o_orderpriority
        ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) - 9000 AS VARCHAR) END AS number
 FROM orders"""
 
-ORACLES["impute_pay_texts"] = """
+ORACLES["impute_pay"] = """
 WITH o AS (
   SELECT o_orderkey, o_orderstatus, CAST(floor(o_totalprice) AS BIGINT) AS pay,
          (o_custkey % 180 + 7) || '.' || lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 100 AS VARCHAR), 2, '0') AS hour
@@ -360,10 +370,11 @@ SELECT o_orderkey,
        CASE WHEN o_orderstatus = 'P' THEN hour ELSE printf('%.2f', pay / 2080.0::DOUBLE) END AS hourly
 FROM o"""
 
-ORACLES["format_numbers"] = REC + f"""
-SELECT ord, {money('pay')} AS pay_text, {magnitude('pay')} AS pay_size,
-       {magnitude('(jobs * (pay // 100) * 50)')} AS wage_size, {signed('outlook')} AS outlook_text
+ORACLES["fmt_money"] = REC + f"SELECT ord, {money('pay')} AS pay_text FROM rec"
+ORACLES["fmt_magnitude"] = REC + f"""
+SELECT ord, {magnitude('pay')} AS pay_size, {magnitude('(jobs * (pay // 100) * 50)')} AS wage_size
 FROM rec"""
+ORACLES["fmt_signed"] = REC + f"SELECT ord, {signed('outlook')} AS outlook_text FROM rec"
 
 _TYPED = """
 WITH e AS (
@@ -389,11 +400,11 @@ WITH e AS (
 r AS (SELECT *, '{"exposure": ' || k || ', "rationale": "' || event_type || '", "user": ' || user_id || '}' AS body
       FROM e)
 """
-ORACLES["strip_fences"] = _REPLY + """
+ORACLES["strip_fence"] = _REPLY + """
 SELECT event_id, CASE event_type WHEN 'view' THEN body WHEN 'click' THEN body
        WHEN 'purchase' THEN body || ' trailing' WHEN 'error' THEN '{"exposure": "' || k || '"}' END AS body
 FROM r"""
-ORACLES["parse_replies"] = _REPLY + """
+ORACLES["parse_reply"] = _REPLY + """
 SELECT event_id,
        CASE WHEN event_type IN ('view', 'click') THEN 'scored' ELSE 'failed' END AS status,
        CASE event_type WHEN 'purchase' THEN 'not one JSON object' WHEN 'error' THEN 'exposure is no number'
@@ -435,6 +446,9 @@ SELECT CAST(d.doc_id AS VARCHAR) AS slug,
        CASE WHEN l.doc_id IS NOT NULL THEN 'quality ' || quality ELSE {clean('text')} END AS text
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
+ORACLES["checkpoint_save"] = """
+SELECT DISTINCT event_type AS step, CAST(user_id AS VARCHAR) AS slug FROM events WHERE event_type <> 'view'
+UNION ALL SELECT DISTINCT 'view', CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase'"""
 ORACLES["checkpoint_load"] = """
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS slug FROM events WHERE event_type = 'purchase'"""
 ORACLES["checkpoint_completed"] = """
@@ -442,14 +456,14 @@ SELECT CAST(c_custkey AS VARCHAR) AS slug, c_name FROM customer
 WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'click')"""
 ORACLES["checkpoint_summary"] = """
 SELECT event_type AS step, count(DISTINCT user_id) AS completed
-FROM (SELECT event_type, user_id FROM events WHERE event_type NOT IN ('signup', 'view')
+FROM (SELECT event_type, user_id FROM events WHERE event_type <> 'view'
       UNION ALL SELECT 'view', user_id FROM events WHERE event_type = 'purchase') GROUP BY 1"""
 ORACLES["checkpoint_clear"] = f"""
 SELECT * FROM ({ORACLES['checkpoint_summary']}) WHERE step <> 'click'"""
 
 # --- pages -----------------------------------------------------------------------------------------------------
 
-ORACLES["html_tags"] = r"""
+ORACLES["html_nodes"] = r"""
 WITH bare AS (
   SELECT page_id, regexp_replace(regexp_replace(html, '<script>.*?</script>', '<script>', 'gs'),
                                  '<!--.*?-->', '', 'gs') AS html FROM pages),
@@ -660,9 +674,9 @@ UNION ALL SELECT 'html', count(*), count(*) FILTER (WHERE html = '') FROM pages"
 
 # --- files ------------------------------------------------------------------------------------------------------------
 
-ORACLES["json_roundtrip"] = """
+ORACLES["io_roundtrip_json"] = """
 SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_name END AS c_name, c_mktsegment FROM customer"""
-ORACLES["csv_roundtrip"] = """
+ORACLES["io_roundtrip_csv"] = """
 SELECT 'say "' || c_mktsegment || '",' || chr(10) || c_name AS title,
        CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE '' END AS category,
        CAST(c_custkey AS VARCHAR) AS slug, '' AS url FROM customer"""
@@ -673,3 +687,6 @@ ORACLES["corpus_table"] = """
 SELECT CAST(page_id AS VARCHAR) AS slug, html AS text, strlen(html) AS bytes FROM pages"""
 ORACLES["read_corpus"] = """
 SELECT CAST(page_id AS VARCHAR) AS slug, html AS text FROM pages"""
+ORACLES["compact_output"] = ORACLES["build_compact"]
+ORACLES["corpus_paths"] = """
+SELECT doc_id AS ord, '/corpus/' || doc_id || '.html' AS path, CAST(doc_id AS VARCHAR) AS slug FROM documents"""

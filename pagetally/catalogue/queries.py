@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagetally import fixed
 from pagetally.catalogue import standins
 from pagetally.catalogue.standins import table
 from pagetally.functions.formatting import fmt_magnitude, fmt_money, fmt_signed
 from pagetally.functions.parsing import impute_pay, parse_number, parse_outlook, parse_pay
-from pagetally.functions.text import clean_text, strip_fence, text_sizes
+from pagetally.functions.text import clean_text, corpus_key, corpus_path, strip_fence, text_sizes
 from pagetally.operators import extract, joins, keyed, ordering, quality, scoring, summaries
 from pagetally.operators.outline import html_nodes, node_rows
 from pagetally.plans import report, steps
@@ -23,7 +23,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    """Register a query under its function's name, less a trailing underscore."""
+    QUERIES[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -212,10 +213,18 @@ def head_tail(spark, folder):
     return ordering.head_tail(_parts(spark, folder), 20, 10)
 
 
+@query
+def with_defaults(spark, folder):
+    """Row template over the documents: absent columns and values become empty text."""
+    rows = standins.document_stats(spark, folder).withColumn(
+        "outlook_desc", F.nullif(F.col("outlook_desc"), F.lit("src3")))
+    return tables.with_defaults(rows, fixed.TABLE_COLUMNS).select("ord", *fixed.TABLE_COLUMNS)
+
+
 # --- text and number rules --------------------------------------------------------------------
 
 @query
-def clean_documents(spark, folder):
+def clean_text_(spark, folder):
     docs = table(spark, folder, "documents")
     return docs.select("doc_id", clean_text(F.col("text")).alias("clean"))
 
@@ -227,21 +236,21 @@ def document_sizes(spark, folder):
 
 
 @query
-def parse_pay_texts(spark, folder):
+def parse_pay_(spark, folder):
     texts = standins.pay_texts(spark, folder)
     return texts.select("o_orderkey", parse_pay(F.col("pay_text")).alias("pay")).select(
         "o_orderkey", "pay.*")
 
 
 @query
-def parse_outlook_texts(spark, folder):
+def parse_outlook_(spark, folder):
     orders = table(spark, folder, "orders")
     return orders.select("o_orderkey", parse_outlook(standins.outlook_text()).alias("outlook")).select(
         "o_orderkey", "outlook.pct", F.col("outlook.desc").alias("outlook_desc"))
 
 
 @query
-def parse_number_texts(spark, folder):
+def parse_number_(spark, folder):
     orders = table(spark, folder, "orders")
     text = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit(" See "), "o_orderpriority")).otherwise(
         F.format_string(" %,d ", F.floor("o_totalprice") - 9000))
@@ -249,7 +258,7 @@ def parse_number_texts(spark, folder):
 
 
 @query
-def impute_pay_texts(spark, folder):
+def impute_pay_(spark, folder):
     orders = table(spark, folder, "orders")
     annual = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.floor("o_totalprice").cast("string"))
     hourly = F.when(F.col("o_orderstatus") == "P", F.format_string(
@@ -259,13 +268,24 @@ def impute_pay_texts(spark, folder):
 
 
 @query
-def format_numbers(spark, folder):
+def fmt_money_(spark, folder):
+    records = standins.records(spark, folder)
+    return records.select("ord", fmt_money(F.col("pay")).alias("pay_text"))
+
+
+@query
+def fmt_magnitude_(spark, folder):
+    """Pay reaches the thousands; wages in steps of 50 reach the millions and hit ties."""
     records = standins.records(spark, folder)
     return records.select(
-        "ord", fmt_money(F.col("pay")).alias("pay_text"),
-        fmt_magnitude(F.col("pay")).alias("pay_size"),
-        fmt_magnitude(F.col("jobs") * F.floor(F.col("pay") / 100) * 50).alias("wage_size"),
-        fmt_signed(F.col("outlook")).alias("outlook_text"))
+        "ord", fmt_magnitude(F.col("pay")).alias("pay_size"),
+        fmt_magnitude(F.col("jobs") * F.floor(F.col("pay") / 100) * 50).alias("wage_size"))
+
+
+@query
+def fmt_signed_(spark, folder):
+    records = standins.records(spark, folder)
+    return records.select("ord", fmt_signed(F.col("outlook")).alias("outlook_text"))
 
 
 @query
@@ -298,13 +318,13 @@ def _typed_events(spark, folder):
 # --- replies and ratings ------------------------------------------------------------------------
 
 @query
-def strip_fences(spark, folder):
+def strip_fence_(spark, folder):
     replies = standins.replies(spark, folder)
     return replies.select("event_id", strip_fence(F.col("reply")).alias("body"))
 
 
 @query
-def parse_replies(spark, folder):
+def parse_reply_(spark, folder):
     return scoring.parse_replies(standins.replies(spark, folder)).drop("reply")
 
 
@@ -380,13 +400,19 @@ def _event_keys(spark: SparkSession, folder: str) -> DataFrame:
 def _saved_state(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, "state")
     keys = _event_keys(spark, folder)
-    state.save_checkpoint(keys.filter("step <> 'signup'"), path)
+    state.save_checkpoint(keys, path)
     # the second save of "view" replaces its first key set
     replaced = keys.filter("step = 'purchase'").withColumn("step", F.lit("view"))
     state.save_checkpoint(replaced, path)
     return path, state.read_state(spark, path)
 
 
+@query
+def checkpoint_save(spark, folder):
+    _, saved = _saved_state(spark, folder)
+    return saved.select("step", "slug").filter("slug is not null")
+
+
 @query
 def checkpoint_load(spark, folder):
     _, saved = _saved_state(spark, folder)
@@ -421,7 +447,7 @@ def _page_nodes(spark, folder):
 
 
 @query
-def html_tags(spark, folder):
+def html_nodes_(spark, folder):
     nodes = node_rows(_page_nodes(spark, folder))
     return nodes.filter("tag is not null").groupBy("page_id", "tag").agg(
         F.count(F.lit(1)).alias("n"))
@@ -623,7 +649,7 @@ def corpus_inventory(spark, folder):
 # --- files ---------------------------------------------------------------------------------------------
 
 @query
-def json_roundtrip(spark, folder):
+def io_roundtrip_json_(spark, folder):
     path = scratch_path(spark, "json")
     customers = table(spark, folder, "customer").select(
         "c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("c_name"), "c_mktsegment")
@@ -632,7 +658,7 @@ def json_roundtrip(spark, folder):
 
 
 @query
-def csv_roundtrip(spark, folder):
+def io_roundtrip_csv_(spark, folder):
     path = scratch_path(spark, "csv")
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").cast("string").alias("slug"),
@@ -658,6 +684,24 @@ def record_list(spark, folder):
     return tables.read_records(spark, f"{path}/*/*.txt")
 
 
+@query
+def compact_output(spark, folder):
+    """The compact table written as JSON lines, nulls kept, and read back."""
+    path = scratch_path(spark, "compact")
+    compact = joins.build_compact(
+        standins.document_stats(spark, folder), standins.label_scores(spark, folder))
+    tables.write_json(compact, path)
+    return tables.read_json(spark, path, compact.schema)
+
+
+@query
+def corpus_paths(spark, folder):
+    """Corpus path of each document and the key read back from it."""
+    path = corpus_path("/corpus/", F.col("slug"), ".html")
+    return standins.document_master(spark, folder).select(
+        "ord", path.alias("path"), corpus_key(path, ".html").alias("slug"))
+
+
 @query
 def corpus_table(spark, folder):
     path = scratch_path(spark, "corpus")
