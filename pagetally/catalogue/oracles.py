@@ -473,9 +473,10 @@ SELECT page_id, tag, count(*) AS n FROM tags GROUP BY page_id, tag"""
 
 
 def unescape(x: str) -> str:
-    for entity, mark in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&lt;", "<"),
-                         ("&gt;", ">"), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{mark}')"
+    """Named entities as browsers read them: the closing semicolon may be missing."""
+    for entity, mark in (("&quot", '"'), ("&middot", "·"), ("&copy", "©"), ("&lt", "<"),
+                         ("&gt", ">"), ("&amp", "&")):
+        x = f"regexp_replace({x}, '{entity};?', '{mark}', 'g')"
     return x
 
 
