@@ -47,7 +47,8 @@ PLAIN = re.compile(
     r"|<!(?:doctype|DOCTYPE) html>")
 PLAIN_ATTRIBUTE = re.compile(r"([a-zA-Z][a-zA-Z-]*)=\"([^\"]*)\"")
 CODE_TAGS = {"script", "style"}
-TEXT_TAGS = {"iframe", "noembed", "noframes", "noscript", "plaintext", "textarea", "title", "xmp"}
+RAW_TAGS = CODE_TAGS | {
+    "iframe", "noembed", "noframes", "noscript", "plaintext", "textarea", "title", "xmp"}
 
 # Workers get the code of this module with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -91,7 +92,10 @@ class Outline(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if any(tag == name for name, _ in self.stack):
+        stack = self.stack
+        if stack and stack[-1][0] == tag:
+            self.close_top()
+        elif any(tag == name for name, _ in stack):
             while self.close_top() != tag:
                 pass
 
@@ -104,44 +108,45 @@ class Outline(HTMLParser):
 
     def handle_data(self, data):
         if not self.silent:
-            self.nodes.append((self.parent, None, None, None, None, None, data))
-            self.lasts.append(len(self.nodes) - self.base)
+            nodes = self.nodes
+            nodes.append((self.parent, None, None, None, None, None, data))
+            self.lasts.append(len(nodes) - self.base)
 
     def read_plain(self, html):
         """Read plain markup from the start; the position of the first other construct."""
         place, match = 0, PLAIN.match
         while found := match(html, place):
-            text, end_tag, start_tag, attributes, closed = found.groups()
-            if text is not None:
+            place = found.end()
+            group = found.lastindex
+            if group == 1:
+                text = found[1]
                 self.handle_data(unescape(text) if "&" in text else text)
-            elif end_tag is not None:
-                self.handle_endtag(end_tag.lower())
-            elif start_tag is not None:
-                tag = start_tag.lower()
-                after = self.after_code(html, found.end(), tag, closed)
+            elif group == 2:
+                self.handle_endtag(found[2].lower())
+            elif group is not None:
+                tag, closed = found[3].lower(), found[5]
+                after = self.after_code(html, place, tag, closed)
                 if after is None:
-                    break
+                    return found.start()
                 given = [(name.lower(), value) for name, value in
-                         PLAIN_ATTRIBUTE.findall(attributes)] if attributes else ()
+                         PLAIN_ATTRIBUTE.findall(found[4])] if found[4] else ()
                 (self.handle_startendtag if closed else self.handle_starttag)(tag, given)
-                if after > found.end():
+                if after > place:
                     self.handle_endtag(tag)
                     place = after
-                    continue
-            place = found.end()
         return place
 
     @staticmethod
     def after_code(html, place, tag, closed):
         """Where reading goes on after a start tag; None when its content is not plain."""
+        if tag not in RAW_TAGS:
+            return place
         if tag in CODE_TAGS and not closed:
             end = re.compile(f"</{tag}(?=[^a-zA-Z0-9])", re.IGNORECASE).search(html, place)
             plain = end and html[end.end()] == ">"
             return end.end() + 1 if plain else None
-        if tag in TEXT_TAGS or tag in CODE_TAGS:
-            plain = re.compile(f"[^<&]*</{tag}>").match(html, place)
-            return place if plain and not closed else None
-        return place
+        plain = re.compile(f"[^<&]*</{tag}>").match(html, place)
+        return place if plain and not closed else None
 
     def unknown_decl(self, data):
         if data.upper().startswith("CDATA["):
