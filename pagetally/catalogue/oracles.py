@@ -195,7 +195,11 @@ summary AS (
   UNION ALL SELECT 3, 100 + ord, '| ' || name || ' | ' || printf('%.1f', mean_exposure) || ' | '
     || {magnitude('jobs')} || ' |' FROM banded
   UNION ALL SELECT 4, 100 + ord, '| ' || name || ' | ' || printf('%.1f', mean_exposure) || ' | '
-    || {magnitude('jobs')} || ' |' FROM grouped)
+    || {magnitude('jobs')} || ' |' FROM grouped
+  UNION ALL SELECT 7, 100, '## All ' || n || ' occupations' FROM t
+  UNION ALL SELECT 7, 101, '' FROM t
+  UNION ALL SELECT 7, 102, '{fixed.HEADINGS['order']}' FROM t
+  UNION ALL SELECT 7, 103, '' FROM t)
 """
 
 HEADS = f"""
@@ -228,10 +232,6 @@ FROM rec WHERE {test}"""
 
 ORACLES["report_lines"] = _PARTS + f"""
 {_heading_rows(fixed.HEADINGS['title'])}
-UNION ALL SELECT 7, 0, '## All ' || n || ' occupations' FROM t
-UNION ALL SELECT 7, 1, '' FROM t
-UNION ALL SELECT 7, 2, '{fixed.HEADINGS['order']}' FROM t
-UNION ALL SELECT 7, 3, '' FROM t
 UNION ALL SELECT * FROM summary
 UNION ALL {_mover_lines(5, 'outlook < 0', 'outlook')}
 UNION ALL {_mover_lines(6, 'outlook >= 10', 'outlook DESC')}

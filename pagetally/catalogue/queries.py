@@ -107,7 +107,7 @@ def report_lines(spark, folder):
 @query
 def report_text(spark, folder):
     records = standins.records(spark, folder)
-    lines = report.heading_lines(records, "Report", []).unionByName(report.summary_lines(records))
+    lines = report.heading_lines(spark, "Report", []).unionByName(report.summary_lines(records))
     return report.report_text(lines)
 
 

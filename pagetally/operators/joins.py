@@ -105,13 +105,20 @@ def group_join(df: DataFrame, value: str, groups: list[tuple[str, list]]) -> Dat
     return df.select("*", F.inline(F.array_compact(F.array(*labels))))
 
 
+def _current(df: DataFrame, *columns: str) -> DataFrame:
+    """The listed columns of each slug's last row; without ``ord`` slugs are unique already."""
+    if "ord" in df.columns:
+        return last_wins(df.select("slug", "ord", *columns), "slug")
+    return df.select("slug", *columns)
+
+
 def build_compact(stats: DataFrame, scores: DataFrame, strict: bool = False) -> DataFrame:
     """Structured table with the rating of each row, narrowed and typed.
 
-    A row without a rating keeps null. ``scores`` needs ``ord``; the last of several
+    A row without a rating keeps null. When ``scores`` has ``ord``, the last of several
     ratings of a slug counts. Text that is no whole number is null, or raises if ``strict``.
     """
-    rated = last_wins(scores.select("slug", "exposure", "rationale", "ord"), "slug").select(
+    rated = _current(scores, "exposure", "rationale").select(
         "slug", "exposure", F.col("rationale").alias("exposure_rationale"))
     url = F.coalesce(F.col("url"), F.lit("")) if "url" in stats.columns else F.lit("")
 
@@ -136,11 +143,14 @@ def build_records(master: DataFrame, stats: DataFrame, scores: DataFrame,
                   strict: bool = False) -> DataFrame:
     """Report records: the master list with its statistics and ratings.
 
-    All three inputs carry ``ord``; repeated slugs in ``stats`` and ``scores`` resolve to
-    the last one. The category comes from the statistics whenever that row exists, even if
+    ``master`` has ``ord``. Repeated slugs in ``stats`` and ``scores`` resolve to the last
+    one when they have ``ord`` too. The category comes from the statistics whenever that row exists, even if
     it is empty there.
     """
-    figures = last_wins(stats, "slug").select(
+    figures = _current(
+        stats, "category", "median_pay_annual", "num_jobs_2024", "outlook_pct", "outlook_desc",
+        "entry_education",
+    ).select(
         "slug",
         F.lit(True).alias("_found"),
         F.col("category").alias("_category"),
@@ -150,7 +160,7 @@ def build_records(master: DataFrame, stats: DataFrame, scores: DataFrame,
         F.col("outlook_desc").alias("_outlook_desc"),
         F.col("entry_education").alias("_education"),
     )
-    rated = last_wins(scores, "slug").select(
+    rated = _current(scores, "exposure", "rationale").select(
         "slug", "exposure", F.col("rationale").alias("_rationale"))
     keyed = skew_joins(master, [(figures, "left"), (rated, "left")], "slug")
 

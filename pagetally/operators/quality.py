@@ -44,9 +44,13 @@ def _result(counts: DataFrame, name: str, verdicts: list[tuple[Column, str | Col
         more.alias("details"))
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    return spark.range(0, 1, 1, 1)
+
+
 def failure(spark: SparkSession, name: str, message: str) -> DataFrame:
     """A failed check without evidence."""
-    return spark.range(1).select(
+    return one_row(spark).select(
         F.lit(name).alias("check"), F.lit(False).alias("is_valid"), F.lit(message).alias("message"),
         F.create_map().cast("map<string,string>").alias("details"))
 
@@ -168,7 +172,7 @@ def quality_report(results: DataFrame, title: str = "Data Validation Report") ->
         (F.col("ord") + 1).alias("section"),
         F.posexplode(F.concat(F.array(head), details)).alias("row", "line"))
     spark = results.sparkSession
-    heading = spark.range(1).select(
+    heading = one_row(spark).select(
         F.lit(0).alias("section"),
         F.posexplode(F.array(F.lit(title), F.lit("=" * 50))).alias("row", "line"))
     return heading.unionByName(body).withColumn("row", F.col("row").cast("bigint"))
@@ -183,7 +187,7 @@ def status(components: list[tuple[str, DataFrame | None, str, str | None]]) -> D
     rows = None
     for position, (label, frame, unit, rated) in enumerate(components):
         if frame is None:
-            row = spark.range(1).select(
+            row = one_row(spark).select(
                 F.lit("FAIL").alias("state"), F.lit("not found").alias("details"))
         else:
             with_rated = F.concat(F.lit(" ("), F.count(rated), F.lit(f" with {rated})")) if rated \
@@ -207,13 +211,13 @@ def typed_records(df: DataFrame, texts: list[str], whole: list[str], decimals: l
     def number(name: str) -> Column:
         return F.col(name).try_cast("double")
 
+    exact_types = ("string", "tinyint", "smallint", "int", "bigint")
+
     def as_whole(name: str) -> Column:
-        exact = F.col(name).try_cast("bigint") if isinstance(
-            df.schema[name].dataType.simpleString(), str) and df.schema[
-                name].dataType.simpleString() in ("string", "int", "bigint", "smallint", "tinyint") \
-            else F.lit(None).cast("bigint")
-        return F.coalesce(exact, F.when(
-            number(name) == F.rint(number(name)), number(name).try_cast("bigint")))
+        whole = F.when(number(name) == F.rint(number(name)), number(name).try_cast("bigint"))
+        if df.schema[name].dataType.simpleString() in exact_types:
+            return F.coalesce(F.col(name).try_cast("bigint"), whole)
+        return whole
 
     typed = {name: as_whole(name) for name in whole} | {name: number(name) for name in decimals}
     tests = [F.when(F.col(name).isNull(), F.lit(f"{name} is missing")) for name in texts]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagetally import fixed
-from pagetally.functions.aggregates import sum0, sum_product
 from pagetally.functions.formatting import fixed_point, fmt_magnitude, fmt_money, fmt_signed
 from pagetally.functions.text import abbreviate, sanitize_cell
 from pagetally.operators import summaries
@@ -14,6 +14,7 @@ from pagetally.operators.ordering import (
 
 # Section numbers; listings of rating r are section LISTING + (10 - r).
 HEAD, TOTALS, TIERS, BANDS, GROUPS, DOWN, UP, ALL, LISTING = range(9)
+END = 2 ** 62   # row of a section's closing line
 
 
 def rating_listing(records: DataFrame) -> DataFrame:
@@ -51,14 +52,6 @@ def _one_decimal(value: Column) -> Column:
     return fixed_point(value, 1)
 
 
-def _fixed_lines(df: DataFrame, section: int, texts: list[str], first: int = 0) -> DataFrame:
-    """Literal lines of a section, once."""
-    return df.sparkSession.range(1).select(
-        F.lit(section).alias("section"),
-        F.posexplode(F.array(*[F.lit(text) for text in texts])).alias("row", "line"),
-    ).select("section", (F.col("row") + first).cast("bigint").alias("row"), "line")
-
-
 def _table_lines(df: DataFrame, section: int, row: str, line: Column) -> DataFrame:
     return df.select(
         F.lit(section).alias("section"), (F.col(row) + 100).cast("bigint").alias("row"),
@@ -66,7 +59,7 @@ def _table_lines(df: DataFrame, section: int, row: str, line: Column) -> DataFra
 
 
 def summary_lines(records: DataFrame) -> DataFrame:
-    """Totals, tiers, bands and groups: one pass over the records, a few dozen lines."""
+    """Totals, tiers, bands, groups and the listing's heading: one pass, a few dozen lines."""
     totals = records.agg(
         *summaries.headline_columns(),
         summaries.tier_slots().alias("tiers"),
@@ -82,6 +75,9 @@ def summary_lines(records: DataFrame) -> DataFrame:
         F.concat(F.lit("- Job-weighted average AI exposure: "),
                  _one_decimal(F.col("mean_exposure")), F.lit("/10")),
     )).alias("row", "line"))
+    listed = totals.select(F.posexplode(F.array(
+        F.concat(F.lit("## All "), F.col("n"), F.lit(" occupations")), F.lit(""),
+        F.lit(fixed.HEADINGS["order"]), F.lit(""))).alias("row", "line"))
     tiers = summaries.tiers_from(totals)
     share = lambda name: F.concat(_one_decimal(F.col(name)), F.lit("%"))
     tier_line = _row(
@@ -97,40 +93,33 @@ def summary_lines(records: DataFrame) -> DataFrame:
             summaries.means_from(totals, "bands"), BANDS, "ord", mean_line))
         .unionByName(_table_lines(
             summaries.means_from(totals, "groups"), GROUPS, "ord", mean_line))
+        .unionByName(_table_lines(listed, ALL, "row", F.col("line")))
     )
 
 
-def heading_lines(records: DataFrame, title: str, intro: list[str]) -> DataFrame:
-    """Headings and table heads of the report."""
-    parts = [
-        _fixed_lines(records, HEAD, [f"# {title}", "", *intro]),
-        _fixed_lines(records, TOTALS, [fixed.HEADINGS["totals"], ""]),
-        _fixed_lines(records, TIERS, [
-            fixed.HEADINGS["tiers"], "",
-            "| Tier | Occupations | Jobs | % of jobs | Wages | % of wages | Avg pay |",
-            "|------|-------------|------|-----------|-------|------------|---------|"]),
-        _fixed_lines(records, BANDS, [
-            fixed.HEADINGS["bands"], "",
-            "| Pay band | Avg exposure | Jobs |", "|----------|-------------|------|"]),
-        _fixed_lines(records, GROUPS, [
-            fixed.HEADINGS["groups"], "",
-            "| Education | Avg exposure | Jobs |", "|-----------|-------------|------|"]),
-        _fixed_lines(records, DOWN, [
-            fixed.HEADINGS["down"], "",
-            "| Occupation | Exposure | Outlook | Jobs |",
-            "|-----------|----------|---------|------|"]),
-        _fixed_lines(records, UP, [
-            fixed.HEADINGS["up"], "",
-            "| Occupation | Exposure | Outlook | Jobs |",
-            "|-----------|----------|---------|------|"]),
-    ]
-    # a blank line closes each section
-    ends = [_fixed_lines(records, section, [""], first=2 ** 62)
-            for section in (TOTALS, TIERS, BANDS, GROUPS, DOWN, UP)]
-    lines = parts[0]
-    for part in parts[1:] + ends:
-        lines = lines.unionByName(part)
-    return lines
+def heading_lines(spark: SparkSession, title: str, intro: list[str]) -> DataFrame:
+    """Headings and table heads of the report, and the blank line that closes each section."""
+    mover_head = ["| Occupation | Exposure | Outlook | Jobs |", "|-----------|----------|---------|------|"]
+    heads = {
+        HEAD: [f"# {title}", "", *intro],
+        TOTALS: [fixed.HEADINGS["totals"], ""],
+        TIERS: [fixed.HEADINGS["tiers"], "",
+                "| Tier | Occupations | Jobs | % of jobs | Wages | % of wages | Avg pay |",
+                "|------|-------------|------|-----------|-------|------------|---------|"],
+        BANDS: [fixed.HEADINGS["bands"], "",
+                "| Pay band | Avg exposure | Jobs |", "|----------|-------------|------|"],
+        GROUPS: [fixed.HEADINGS["groups"], "",
+                 "| Education | Avg exposure | Jobs |", "|-----------|-------------|------|"],
+        DOWN: [fixed.HEADINGS["down"], "", *mover_head],
+        UP: [fixed.HEADINGS["up"], "", *mover_head],
+    }
+    places = [(section, row, line) for section, texts in heads.items()
+              for row, line in enumerate(texts)]
+    places += [(section, END, "") for section in heads if section != HEAD]
+    sections, rows, texts = zip(*places)
+    return spark.createDataFrame(pa.table({
+        "section": pa.array(sections, pa.int32()), "row": pa.array(rows, pa.int64()),
+        "line": pa.array(texts, pa.string())}))
 
 
 def mover_lines(records: DataFrame) -> DataFrame:
@@ -143,16 +132,6 @@ def mover_lines(records: DataFrame) -> DataFrame:
         _table_lines(movers(records, up=True), UP, "n", line))
 
 
-def all_lines(records: DataFrame) -> DataFrame:
-    """Heading above the listings, with the number of records."""
-    texts = F.array(
-        F.concat(F.lit("## All "), F.count(F.lit(1)), F.lit(" occupations")), F.lit(""),
-        F.lit(fixed.HEADINGS["order"]), F.lit(""))
-    return records.agg(texts.alias("lines")).select(
-        F.lit(ALL).alias("section"), F.posexplode("lines").alias("row", "line")
-    ).withColumn("row", F.col("row").cast("bigint"))
-
-
 def listing_lines(records: DataFrame) -> DataFrame:
     """Per-rating tables, highest rating first."""
     section = (F.lit(LISTING + fixed.RATING_HIGH) - F.col("exposure")).alias("section")
@@ -163,7 +142,7 @@ def listing_lines(records: DataFrame) -> DataFrame:
         F.lit("| # | Occupation | Pay | Jobs | Outlook | Education | Rationale |"),
         F.lit("|---|-----------|-----|------|---------|-----------|-----------|"),
     ).alias("lines"))
-    ends = head.select("section", F.lit(2 ** 62).cast("bigint").alias("row"), F.lit("").alias("line"))
+    ends = head.select("section", F.lit(END).cast("bigint").alias("row"), F.lit("").alias("line"))
     heads = head.select("section", F.posexplode("lines").alias("row", "line")).withColumn(
         "row", F.col("row").cast("bigint"))
     rows = rating_listing(records).select(
@@ -175,15 +154,14 @@ def listing_lines(records: DataFrame) -> DataFrame:
 
 def report_lines(records: DataFrame, title: str = fixed.HEADINGS["title"],
                  intro: list[str] = ()) -> DataFrame:
-    """The whole report. Pass a written or cached frame: it is read seven times.
+    """The whole report. Pass a written or cached frame: it is read five times.
 
     Lines are placed by ``(section, row)``; ``sources.corpus.write_report`` writes them in order.
     """
     return (
-        heading_lines(records, title, list(intro))
+        heading_lines(records.sparkSession, title, list(intro))
         .unionByName(summary_lines(records))
         .unionByName(mover_lines(records))
-        .unionByName(all_lines(records))
         .unionByName(listing_lines(records))
     )
 

@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from pagetally import fixed
+from pagetally.operators import extract, joins, scoring, summaries
 from pagetally.operators.extract import pages_to_markdown
 from pagetally.operators.outline import html_nodes
 from pagetally.plans import report, steps
+from pagetally.session import durable
+from pagetally.sources.corpus import write_report
 from pagetally.streaming.arrivals import run_arrivals
 from tests.test_tables import RECORD_SCHEMA, make_records
 
@@ -74,7 +77,7 @@ def test_report_equals_longhand(spark):
 def test_summary_sections_as_text(spark):
     frame = spark.createDataFrame(make_records(50), RECORD_SCHEMA)
     texts = {r.section: r.text for r in report.report_text(
-        report.heading_lines(frame, "T", []).unionByName(report.summary_lines(frame))).collect()}
+        report.heading_lines(spark, "T", []).unionByName(report.summary_lines(frame))).collect()}
     assert set(texts) == {report.HEAD, report.TOTALS, report.TIERS, report.BANDS, report.GROUPS}
     assert texts[report.TIERS].split("\n")[0] == fixed.HEADINGS["tiers"]
     assert len(texts[report.TIERS].split("\n")) == 10
@@ -116,3 +119,27 @@ def test_arrivals_are_processed_once(spark, tmp_path):
     assert arrive(("b", "<h1>B</h1>"), ("c", "")) == {
         ("a", "# A\n"), ("b", "# B\n"), ("c", "# Unknown Occupation\n")}
     assert spark.read.parquet(target).count() == 3
+
+
+def test_pages_to_report(spark, tmp_path):
+    """The whole way: pages, table, texts, ratings, records, report files."""
+    master = spark.createDataFrame(
+        [(i, f"Job {i}", f"j{i}", "cat", f"u{i}") for i in range(12)],
+        "ord bigint, title string, slug string, category string, url string")
+    page = ('<h1>{t}</h1><table id="quickfacts"><tbody><tr><th>Median Pay</th><td>${p} per year</td></tr>'
+            "<tr><th>Number of Jobs</th><td>{j}</td></tr><tr><th>Job Outlook</th><td>{o}% (x)</td></tr>"
+            "<tr><th>Entry-level Education</th><td>Master's degree</td></tr></tbody></table>")
+    html = [(f"j{i}", page.format(t=f"Job {i}", p=f"{30 + i},000", j=f"{i},500", o=i - 3)) for i in range(11)]
+    nodes = html_nodes(spark.createDataFrame(html, "slug string, html string"))
+    table = extract.pages_to_table(master, nodes)
+    old = spark.createDataFrame([], "slug string, title string, exposure double, rationale string, extras string")
+    run = scoring.score_incremental(master, pages_to_markdown(nodes), old, scoring.length_scorer)
+    assert {r.status: r.n for r in summaries.run_stats(run.statuses).collect()} == {"scored": 11, "no_input": 1}
+    assert joins.build_compact(table, run.scores).count() == 11
+    records = durable(joins.build_records(master, table, run.scores))
+    write_report(report.report_lines(records), str(tmp_path / "report"))
+    text = "".join(part.read_text() for part in sorted((tmp_path / "report").glob("part-*")))
+    lines = text.splitlines()
+    assert "- Total occupations: 12" in lines and "- Total jobs: 60,500 (0M)" in lines
+    assert "| Job 0 | " in text and "-3% | 500 |" in text and "10K | +7% | Master's |" in text
+    assert lines.index("## Aggregate statistics") < lines.index("## All 12 occupations")
