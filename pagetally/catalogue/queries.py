@@ -15,7 +15,7 @@ from pagetally.functions.text import clean_text, corpus_key, corpus_path, strip_
 from pagetally.operators import extract, joins, keyed, ordering, quality, scoring, summaries
 from pagetally.operators.outline import html_nodes, node_rows
 from pagetally.plans import report, steps
-from pagetally.session import durable, scratch_path
+from pagetally.session import durable, scratch_path, spread
 from pagetally.sources import corpus, state, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,7 +101,7 @@ def mean_rating(spark, folder):
 
 @query
 def report_lines(spark, folder):
-    return report.report_lines(durable(standins.records(spark, folder)))
+    return report.report_lines(durable(spread(standins.records(spark, folder))))
 
 
 @query
@@ -726,7 +726,7 @@ def read_corpus(spark, folder):
 def report_file(spark, folder):
     """Report lines written as ordered text files and read back by file order."""
     path = scratch_path(spark, "report")
-    records = durable(standins.records(spark, folder))
+    records = durable(spread(standins.records(spark, folder)))
     corpus.write_report(report.summary_lines(records).unionByName(
         report.listing_lines(records)), path)
     return spark.read.text(path).select(F.col("value").alias("line"))

@@ -64,8 +64,8 @@ def durable(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out to all cores when their source has fewer files than there are cores.
 
-    For steps that spend their time in Python. A corpus of many files is left alone: its
-    scan has enough tasks and is not shuffled.
+    For rows that cost much time each, or are read several times. A source of many files is
+    left alone: its scan has enough tasks and is not shuffled.
     """
     if df.isStreaming:
         return df
