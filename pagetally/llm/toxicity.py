@@ -22,9 +22,9 @@ from .common import as_bytes, kept, remainder, slices, written
 
 #: Toxic and unlabelled texts to learn from, about.
 POSITIVES, UNLABELLED = 3000, 12000
-#: Features a model has at most, and the standard errors by which a feature must be more
-#: frequent in toxic texts.
-FEATURES, ERRORS = 2048, 4.0
+#: Features a model has at most; the standard errors by which a feature must be more frequent in
+#: toxic texts; and the share of its unlabelled texts that toxic ones must account for.
+FEATURES, ERRORS, ACCOUNTED = 2048, 3.0, 0.5
 #: Texts count as toxic from this score on.
 THRESHOLD = 0.7
 #: Bytes of a word's beginnings that are features besides the word.
@@ -77,9 +77,9 @@ class Model:
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_features: int,
-          prior: float, rounds: int = 60, step: float = 0.05, decay: float = 1e-5,
+          prior: float, rounds: int = 120, step: float = 0.05, decay: float = 1e-5,
           seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk with logistic loss.
+    """Weights and bias that minimise the non-negative risk with sigmoid loss.
 
     Each text is the array of its feature numbers.
     """
@@ -89,8 +89,11 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_features:
             out[i, row] = 1
         return out
 
+    def sigmoid(x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
     random = np.random.Generator(np.random.PCG64(seed))
-    weights, bias = np.zeros(n_features, np.float64), float(np.log(prior / (1 - prior)))
+    weights, bias = np.zeros(n_features), -1.0
     p, u = matrix(positive), matrix(unlabelled)
     batches = max(1, len(u) // 512)
     mean, square, count = np.zeros(n_features + 1), np.zeros(n_features + 1), 0
@@ -99,18 +102,13 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_features:
         for k in range(batches):
             x_p = p[deal_p[k::batches]] if len(p) >= batches else p
             x_u = u[deal_u[k::batches]]
-            s_p = 1 / (1 + np.exp(-(x_p @ weights + bias)))
-            s_u = 1 / (1 + np.exp(-(x_u @ weights + bias)))
-            clean = -np.log(1 - np.minimum(s_u, 1 - 1e-9)).mean() \
-                if len(x_u) else 0.0
-            clean -= prior * -np.log(1 - np.minimum(s_p, 1 - 1e-9)).mean()
-            # gradients of loss(g, 1) on P, of loss(g, 0) on U and on P, by score
-            to_u = s_u / max(1, len(x_u))
-            to_p = -prior * s_p / len(x_p)
-            if clean < 0:
-                g_u, g_p = -to_u, -to_p
+            s_p, s_u = sigmoid(x_p @ weights + bias), sigmoid(x_u @ weights + bias)
+            # slopes of the loss of calling a text clean, on P and on U
+            up_p, up_u = s_p * (1 - s_p) / len(x_p), s_u * (1 - s_u) / len(x_u)
+            if s_u.mean() < prior * s_p.mean():
+                g_u, g_p = -up_u, prior * up_p
             else:
-                g_u, g_p = to_u, to_p + prior * (s_p - 1) / len(x_p)
+                g_u, g_p = up_u, -2 * prior * up_p
             gradient = np.append(x_u.T @ g_u + x_p.T @ g_p + decay * weights,
                                  g_u.sum() + g_p.sum())
             count += 1
@@ -182,7 +180,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Mod
     # about POSITIVES ids: bounded
     p = texts.join(F.broadcast(confirmed), "doc_id").select(F.lit(True).alias("positive"), "text")
     u = some(texts, total, UNLABELLED, 2).select(F.lit(False).alias("positive"), "text")
-    sample = written(p.unionByName(u), "toxicity-sample")
+    # copies of a text would make each of its words a feature
+    sample = written(p.unionByName(u).withColumn("digest", F.md5("text")).dropDuplicates(
+        ["positive", "digest"]).drop("digest"), "toxicity-sample")
     sizes = {r["positive"]: r["n"] for r in
              sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(True) or not sizes.get(False):
@@ -191,7 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Mod
     share_p, share_u = (F.col("p") + 0.5) / (n_p + 1), (F.col("u") + 0.5) / (n_u + 1)
     error = F.sqrt(share_p * (1 - share_p) / n_p + share_u * (1 - share_u) / n_u)
     lift = (share_p - share_u) / error
-    chosen = _feature_counts(sample).filter((F.col("p") >= 3) & (lift >= ERRORS)) \
+    chosen = _feature_counts(sample).filter(
+        (F.col("p") >= 3) & (lift >= ERRORS) & (share_p * prior >= share_u * ACCOUNTED)) \
         .orderBy(lift.desc(), "feature").limit(FEATURES).select("feature").toPandas()
     buckets = np.sort(chosen["feature"].to_numpy(np.int64))
     # POSITIVES + UNLABELLED rows of at most FEATURES numbers
