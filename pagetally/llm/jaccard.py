@@ -6,8 +6,9 @@ most (a + b) / 7 tokens for a similarity of 3/4. The sketch is cut into blocks o
 as the XOR of the places of their set bits; if more blocks of a set hold tokens than it may differ
 in, one of them is equal in the other set (pigeonhole). Sets meet in size bands: a set takes part
 in its own band and in the next one if a partner there can be similar enough. Sets that meet in a
-block are compared by a plain sketch of 2048 bits, whose Hamming distance bounds the difference
-from below, and then by the exact shingles of their texts.
+block are compared by the number of blocks in which they meet, then by a plain sketch of about as
+many bits as they have tokens, whose Hamming distance bounds the difference from below, and then
+by the exact shingles of their texts.
 
 Frequent shingles, as of passages that many documents share, would bring unlike sets together.
 A list of them, from a bounded sample, is left out of the blocks; taking tokens out cannot raise
@@ -34,15 +35,16 @@ from .common import as_bytes, slices, written
 WIDTH = 5
 #: Similarity as a fraction: linked if DOWN * intersection >= UP * union.
 UP, DOWN = 75, 100
-SKETCH_BITS = 2048
 #: Sets of at most so many tokens have a block for each token.
 TOKEN_BLOCKS = 64
 #: Tokens per block in the largest sets of a band.
-LOAD = 2.0
+LOAD = 2
 #: Documents, about, in the sample for frequent shingles; how often one must be in it; most kept.
 SAMPLE, OFTEN, FREQUENT = 8_000, 3, 500_000
 #: Groups of at most so many sets are paired in full at once.
 SMALL = 8
+#: Sets of a block when all sets of a large group are compared.
+BLOCK = 1024
 #: Document ids that may be broadcast.
 BROADCAST_ROWS = 2_000_000
 
@@ -60,32 +62,40 @@ def bands_of(size: int) -> list[int]:
 
 def blocks_of(number: int) -> int:
     """Blocks of a sketch in a band; 0: one for each token."""
-    most = (2 << number) - 1
-    return 0 if most <= TOKEN_BLOCKS else int(most / LOAD)
+    return 0 if 2 << number <= TOKEN_BLOCKS else (2 << number) // LOAD
 
 
 def need(size: int, alone: bool) -> int:
-    """Blocks that a set must hold so that one is equal in any similar set.
+    """Blocks that a set must hold, so that it has more than ``size / 24`` in common with any
+    similar one.
 
-    ``alone``: whichever of the pair is larger; else the set is the larger one.
+    ``alone``: whichever of the pair is larger; else the set is the larger one. The difference is
+    at most (a + b) / 7: a third of the smaller size a, and two sevenths of the larger one.
     """
-    share = DOWN - UP
-    # difference <= (a + b) * (DOWN - UP) / (DOWN + UP), with b = a * DOWN / UP or a = b
-    if alone:
-        return size * share // UP + 1
-    return 2 * size * share // (DOWN + UP) + 1
+    return size * 3 // 8 + 1 if alone else size * 55 // 168 + 1
 
 
-def block_keys(tokens: np.ndarray, number: int, every: bool, seed: int) -> np.ndarray:
-    """One key for each block that holds tokens: band, kind, block and content hashed.
+def _places(tokens: np.ndarray, blocks: int) -> np.ndarray:
+    return ((hashing.mixed(tokens, 3) >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
 
-    ``every``: blocks of one token each.
+
+def held(tokens: np.ndarray, number: int) -> int:
+    """How many blocks of a sketch in band ``number`` hold tokens."""
+    blocks = blocks_of(number)
+    return len(np.unique(_places(tokens, blocks))) if blocks else len(tokens)
+
+
+def block_keys(tokens: np.ndarray, number: int, every: bool, route: int) -> np.ndarray:
+    """One key for each block that holds tokens: band, block and content hashed.
+
+    ``every``: blocks of one token each. The last bit is ``route``: 1 if no token is left out.
     """
     blocks = 0 if every else blocks_of(number)
-    tag = np.uint64(number * 4 + seed * 2 + (blocks == 0))
+    tag = np.uint64(number * 4 + route * 2 + (blocks == 0))
+    last = np.uint64((1 << 64) - 2), np.uint64(route)
     if not blocks:
-        return hashing.mixed(tokens ^ hashing.mixed(tag[None], 5), 6)
-    at = ((hashing.mixed(tokens, 3) >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+        return hashing.mixed(tokens ^ hashing.mixed(tag[None], 5), 6) & last[0] | last[1]
+    at = _places(tokens, blocks)
     order = np.argsort(at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else \
@@ -93,13 +103,32 @@ def block_keys(tokens: np.ndarray, number: int, every: bool, seed: int) -> np.nd
     if not len(first):
         return np.zeros(0, np.uint64)
     content = np.bitwise_xor.reduceat(hashing.mixed(tokens, 4)[order], first)
-    return hashing.mixed(content ^ hashing.mixed(at[first] * np.uint64(64) + tag, 5), 6)
+    keys = hashing.mixed(content ^ hashing.mixed(at[first] * np.uint64(256) + tag, 5), 6)
+    return keys & last[0] | last[1]
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens that flip each of ``SKETCH_BITS`` bits."""
-    bits = (hashing.mixed(tokens, 7) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
-    return np.packbits(np.bincount(bits, minlength=SKETCH_BITS) & 1).tobytes()
+    """Parity of the tokens that flip each bit: 64 bits, or from 4 to 8 for each token."""
+    bits = max(64, 8 << int(band(max(1, len(tokens)))))
+    at = (hashing.mixed(tokens, 7) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1).tobytes()
+
+
+def apart(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Hamming distance of pairs of sketches; the longer one is folded, which keeps parities."""
+    sizes = np.array([[len(x), len(y)] for x, y in zip(a, b)], np.int64).reshape(-1, 2)
+    out = np.zeros(len(a), np.int64)
+    for pair in np.unique(sizes, axis=0):
+        at = np.flatnonzero((sizes == pair).all(axis=1))
+        sides = []
+        for side in (a, b):
+            x = np.frombuffer(b"".join(side[i] for i in at), np.uint8).reshape(len(at), -1)
+            while x.shape[1] > pair.min():
+                half = x.shape[1] // 2
+                x = x[:, :half] ^ x[:, half:]
+            sides.append(x)
+        out[at] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def identity(tokens: np.ndarray) -> tuple[int, int]:
@@ -121,27 +150,38 @@ def _own(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
 
+_SETS = ("doc_id long, n long, one long, two long, sketch binary, weak int, band int, "
+         "rare int, rare_up int, full int")
+
+
 def sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``doc_id, n, one, two, sketch, weak``: size, identity and sketch of each row's set.
+    """Size, identity and sketch of each row's set, and how many blocks it holds.
 
-    ``weak``: a band in which the blocks of this set would not do; it is then given token blocks.
+    ``rare`` and ``rare_up`` count them without frequent tokens, in the set's own band and in the
+    next, null where they would not do; ``full`` with all tokens, in either band at least. ``weak``
+    is its own band if even those would not do; it is then given token blocks.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = hashing.shingle_sets(as_bytes(batch, "text"), WIDTH)
-            weak = []
+            rows = []
             for tokens in found:
-                number = int(band(max(1, len(tokens))))
-                weak.append(number if len(tokens) and len(block_keys(
-                    tokens, number, False, 0)) < need(len(tokens), False) else None)
-            one, two = zip(*(identity(t) for t in found)) if found else ((), ())
+                own = int(band(max(1, len(tokens))))
+                rare = without(tokens, frequent)
+                enough = need(len(tokens), True)
+                counts = [held(rare, own + k) for k in (0, 1)]
+                full = held(tokens, own)
+                rows.append((len(tokens), *identity(tokens), sketch(tokens),
+                             own if full < need(len(tokens), False) and len(tokens) else None,
+                             own, *(c if c >= enough else None for c in counts),
+                             min(full, held(tokens, own + 1))))
+            columns = list(zip(*rows)) or [()] * 9
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(),
+                     pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(t) for t in found], pa.int64()),
-                 pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array([sketch(t) for t in found], pa.binary()), pa.array(weak, pa.int32())],
-                names=["doc_id", "n", "one", "two", "sketch", "weak"])
-    return _own(docs).mapInArrow(
-        run, "doc_id long, n long, one long, two long, sketch binary, weak int")
+                [batch.column("doc_id"), *map(pa.array, columns, kinds)],
+                names=[c.split()[0] for c in _SETS.split(", ")])
+    return _own(docs).mapInArrow(run, _SETS)
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -190,7 +230,7 @@ def _meetings(docs: DataFrame, frequent: np.ndarray, weak: frozenset[int]) -> Da
                     every = number in weak
                     own = block_keys(rare, number, every, 0)
                     parts = [own]
-                    if len(own) < need(len(tokens), True):
+                    if held(rare, number) < need(len(tokens), True):
                         parts.append(block_keys(tokens, number, every, 1))
                     for part in parts:
                         keys.append(part)
@@ -222,31 +262,58 @@ def _groups(meetings: DataFrame) -> DataFrame:
             F.when(F.col("id") != F.col("lead"), F.array("lead")).otherwise(F.array())))
 
 
-def _near_enough(pairs: DataFrame) -> DataFrame:
-    """Pairs whose sizes and sketches allow a link."""
-    limit = F.floor((F.col("n_a") + F.col("n_b")) * (DOWN - UP) / (DOWN + UP))
-    sized = pairs.filter((F.least("n_a", "n_b") * DOWN >= F.greatest("n_a", "n_b") * UP))
+def _possible(met: Column) -> Column:
+    """Whether sets _a and _b can be similar by their sizes and by the blocks they meet in.
+
+    ``met`` blocks are known; blocks of large groups, in which not all pairs are formed, may
+    come to them. The blocks of either set that are not equal in the other are at most (a + b) / 7.
+    """
+    larger = F.col("n_a") > F.col("n_b")
+
+    def pick(name: str, big: bool) -> Column:
+        first, second = (f"{name}_a", f"{name}_b") if big else (f"{name}_b", f"{name}_a")
+        return F.when(larger, F.col(first)).otherwise(F.col(second))
+
+    small_rare = F.when(F.col("band_a") == F.col("band_b"), pick("rare", False)) \
+        .otherwise(pick("rare_up", False))
+    blocks = F.coalesce(F.greatest(pick("rare", True), small_rare), pick("full", True))
+    unseen = F.least(F.col("large_a") + F.col("large_full_a"),
+                     F.col("large_b") + F.col("large_full_b"))
+    most = F.floor((F.col("n_a") + F.col("n_b")) * (DOWN - UP) / (DOWN + UP))
+    return (F.least("n_a", "n_b") * DOWN >= F.greatest("n_a", "n_b") * UP) \
+        & (met + unseen >= blocks - most)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
-                    .reshape(-1, SKETCH_BITS // 8) for c in ("sketch_a", "sketch_b"))
-            apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-            mask = apart <= batch.column("most").to_numpy(zero_copy_only=False)
-            yield batch.select(["a", "b"]).filter(pa.array(mask))
-    return sized.withColumn("most", limit.cast("long")).select(
-        "a", "b", "sketch_a", "sketch_b", "most").mapInArrow(run, "a long, b long")
 
+_MEASURES = ("n", "band", "rare", "rare_up", "full", "large", "large_full")
 
-def _with_sets(pairs: DataFrame, reps: DataFrame, by: str) -> DataFrame:
-    """Pairs (a, b) of ``by`` values as pairs of documents with sizes and sketches."""
-    left, right = (reps.select(F.col(by).alias(f"by_{s}"), F.col("rep").alias(f"rep_{s}"),
-                               F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-                   for s in "ab")
-    found = pairs.withColumnsRenamed({"a": "by_a", "b": "by_b"}) \
-        .join(left, "by_a").join(right, "by_b")
-    return found.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b")
-                        .alias("b"), "n_a", "n_b", "sketch_a", "sketch_b").filter("a < b")
+
+def _side(reps: DataFrame, side: str, *columns: str) -> DataFrame:
+    return reps.select(*(F.col(c).alias(f"{c}_{side}") for c in columns))
+
+
+def _possible_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Documents (a, b) for pairs of set ids that meet in ``met`` blocks and can be similar."""
+    columns = ("id", "rep", *_MEASURES)
+    return pairs.join(_side(reps, "a", *columns), "id_a") \
+        .join(_side(reps, "b", *columns), "id_b").filter(_possible(F.col("met"))) \
+        .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")) \
+        .filter("a < b").distinct()
+
+
+def _near_enough(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs of documents whose sketches allow a link."""
+    found = pairs.join(_side(reps, "a", "rep", "n", "sketch").withColumnRenamed("rep_a", "a"), "a") \
+        .join(_side(reps, "b", "rep", "n", "sketch").withColumnRenamed("rep_b", "b"), "b")
+    most = F.floor((F.col("n_a") + F.col("n_b")) * (DOWN - UP) / (DOWN + UP)).cast("long")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "sketch_a"):
+            far = apart(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())
+            mask = far <= batch.column("most").to_numpy(zero_copy_only=False)
+            yield batch.select(["a", "b"]).filter(pa.array(mask))
+    # an id that stands for several sets may be near by any of them
+    return found.select("a", "b", "sketch_a", "sketch_b", most.alias("most")).mapInArrow(
+        run, "a long, b long").distinct()
 
 
 def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -332,6 +399,93 @@ class _Found:
         self.labels = components(self.links)
 
 
+def _large_rows(groups: DataFrame, reps: DataFrame) -> DataFrame:
+    """``lead, route``, measures, ``count`` and ``bound`` of sets that large groups may connect.
+
+    In a large group, sets have met its first one, the lead, only. A similar pair that met nowhere
+    else has ``bound`` blocks in common in large groups at least, by the blocks of either of its
+    sets; sets with fewer blocks in such groups are done. A set has ``count`` blocks with a lead:
+    sets that share a block share its lead.
+    """
+    enough, third = F.floor(F.col("n") / 24) + 1, F.floor(F.col("n") / 3)
+    by_rare = F.when(F.col("rare").isNull() | F.col("rare_up").isNull(), enough).otherwise(
+        F.greatest(enough, F.least("rare", "rare_up") - third))
+    rows = groups.filter("lead is not null").groupBy("lead", "route", "id").agg(
+        F.count("*").alias("count")).join(reps.select("id", "rep", *_MEASURES), "id")
+    rare = F.col("route") == 0
+    return rows.withColumn("bound", F.when(rare, by_rare).otherwise(
+        F.greatest(enough, F.col("full") - third))) \
+        .filter(F.when(rare, F.col("large")).otherwise(F.col("large_full")) >= F.col("bound"))
+
+
+def _open_rows(rows: DataFrame, found: _Found) -> DataFrame:
+    """Rows of leads whose sets are in several components, with the component as ``part``."""
+    rows = found.label(rows, "rep", "part")
+    open_ = rows.groupBy("lead", "route").agg(F.min("part").alias("x"), F.max("part").alias("y")) \
+        .filter("x != y").select("lead", "route")
+    return written(rows.join(open_, ["lead", "route"]), "open-groups")
+
+
+def _central_pairs(rest: DataFrame) -> DataFrame:
+    """Each set with the one of its lead's sets that has the most blocks in large groups."""
+    central = rest.groupBy("lead", "route").agg(F.max(F.struct(
+        (F.col("large") + F.col("large_full")).alias("size"), "rep", "part")).alias("central"))
+    return rest.join(central, ["lead", "route"]).filter("part != central.part").select(
+        F.least("rep", "central.rep").alias("a"), F.greatest("rep", "central.rep").alias("b")) \
+        .distinct()
+
+
+def _open_pairs(rest: DataFrame, reps: DataFrame) -> DataFrame:
+    """Documents (a, b) of different components under one lead whose sketches allow a link.
+
+    A lead's sets are cut into blocks of about ``BLOCK`` sets; a task compares the sketches of two
+    blocks and returns only the pairs that are near enough.
+    """
+    group = ["lead", "route"]
+    sizes = rest.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rows = rest.join(sizes, group).withColumn(
+        "own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select(*group, F.least("own", "other").alias("low"),
+                       F.greatest("own", "other").alias("high"), "own", "rep", "part", "n") \
+        .join(reps.select("rep", "n", "sketch"), ["rep", "n"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        rep, part, n, own = (table.column(c).to_numpy() for c in ("rep", "part", "n", "own"))
+        sketches = table.column("sketch").to_pylist()
+        whole = own == table.column("low").to_numpy()
+        alone = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        left = np.flatnonzero(whole)
+        right = left if alone else np.flatnonzero(~whole)
+        words: dict[int, np.ndarray] = {}
+        for size in {len(sketches[i]) for i in right}:
+            at = right[[len(sketches[i]) == size for i in right]]
+            words[size] = at, np.frombuffer(b"".join(sketches[i] for i in at), np.uint64) \
+                .reshape(len(at), -1)
+        found_a, found_b = [], []
+        for i in left.tolist():
+            for size, (at, others) in words.items():
+                mine = np.frombuffer(sketches[i], np.uint64)
+                while len(mine) * 8 > size:
+                    mine = mine[:len(mine) // 2] ^ mine[len(mine) // 2:]
+                while others.shape[1] > len(mine):
+                    half = others.shape[1] // 2
+                    others = others[:, :half] ^ others[:, half:]
+                near = (part[at] != part[i]) & (np.minimum(n[at], n[i]) * DOWN
+                                                >= np.maximum(n[at], n[i]) * UP)
+                if near.any():
+                    far = np.bitwise_count(others[near] ^ mine).sum(axis=1, dtype=np.int64)
+                    ok = far <= (n[at[near]] + n[i]) * (DOWN - UP) // (DOWN + UP)
+                    for j in at[near][ok].tolist():
+                        found_a.append(min(rep[i], rep[j]))
+                        found_b.append(max(rep[i], rep[j]))
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return rows.groupBy(*group, "low", "high").applyInArrow(compare, "a long, b long") \
+        .filter("a < b").distinct()
+
+
 def join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row.
 
@@ -346,33 +500,35 @@ def join(docs: DataFrame) -> DataFrame:
     frequent = _frequent(docs)
     all_sets = written(sets(whole, frequent), "sets")
     some = all_sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    reps = written(some.groupBy("one", "two").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"),
-        F.first("sketch").alias("sketch")).withColumn("id", F.shiftright("one", 16)), "reps")
     # at most one number for each power of two
     weak = frozenset(r["weak"] for r in
                      some.select("weak").filter("weak is not null").distinct().collect())
     groups = written(_groups(_meetings(docs, frequent, weak)).select(
-        F.when(F.col("size") > SMALL, F.col("key")).alias("key"), "id", "earlier"), "groups")
-    pairs = groups.select(F.explode("earlier").alias("a"), F.col("id").alias("b")).distinct()
-    near = written(_near_enough(_with_sets(pairs, reps, "id")), "near")
+        F.when(F.col("size") > SMALL, F.col("lead")).alias("lead"),
+        F.col("key").bitwiseAND(1).alias("route"), "id", "earlier"), "groups")
+    large = groups.filter("lead is not null").groupBy("id").agg(
+        F.count(F.when(F.col("route") == 0, 1)).alias("large"),
+        F.count(F.when(F.col("route") == 1, 1)).alias("large_full"))
+    same = ("n", "sketch", "band", "rare", "rare_up", "full")
+    reps = some.groupBy("one", "two").agg(F.min("doc_id").alias("rep"),
+                                          *(F.first(c).alias(c) for c in same))
+    reps = written(reps.withColumn("id", F.shiftright("one", 16)).join(large, "id", "left")
+                   .fillna(0, ["large", "large_full"]), "reps")
+    pairs = groups.select(F.explode("earlier").alias("id_a"), F.col("id").alias("id_b")) \
+        .groupBy("id_a", "id_b").agg(F.count("*").alias("met"))
+    near = written(_near_enough(_possible_pairs(pairs, reps), reps), "near")
 
     found = _Found(docs)
     # one pair for each set first: that connects most of what is similar
     found.test(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     found.test(found.apart(near))
-    # sets of a large group have met its first one only; those still apart must all meet
-    large = groups.filter("key is not null").select("key", "id").join(
-        reps.select("id", "rep"), "id").select("key", "rep")
-    large = found.label(large, "rep", "part")
-    open_ = large.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")) \
-        .filter("x != y").select("key")
-    rest = written(large.join(open_, "key"), "open-groups")
-    if not rest.isEmpty():
-        other = rest.select("key", F.col("rep").alias("b"), F.col("part").alias("part_b"))
-        pairs = rest.select("key", F.col("rep").alias("a"), "part").join(other, "key") \
-            .filter("a < b and part != part_b").select("a", "b").distinct()
-        found.test(found.apart(_near_enough(_with_sets(pairs, reps, "rep"))))
+    rows = written(_large_rows(groups, reps), "large-rows")
+    for last in (False, False, True):
+        rest = _open_rows(rows, found)
+        if rest.isEmpty():
+            break
+        found.test(found.apart(_open_pairs(rest, reps) if last else
+                               _near_enough(_central_pairs(rest), reps)))
 
     classes = found.label(reps.select("one", "two", "rep"), "rep", "component_id") \
         .select("one", "two", "component_id")
