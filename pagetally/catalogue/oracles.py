@@ -30,7 +30,8 @@ rec AS (
          jobs,
          CASE WHEN o_custkey % 31 <> 0 THEN o_custkey % 65 - 15 END AS outlook,
          {EDUCATION} AS education,
-         CASE WHEN o_custkey % 13 <> 0 THEN o_orderkey % 11 END AS exposure,
+         CASE WHEN o_custkey % 13 <> 0 THEN o_orderkey % 11 + CASE WHEN o_custkey % 17 = 0
+             AND o_orderkey % 11 < 10 THEN 0.5::DOUBLE ELSE 0 END END AS exposure,
          o_orderpriority || '|' || o_orderstatus || chr(10) || o_custkey AS rationale
   FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey)
 """
@@ -130,7 +131,7 @@ FROM rec WHERE {_test}"""
 ORACLES["rating_groups"] = REC + """
 SELECT CAST(exposure AS INTEGER) AS exposure, count(*) AS n,
        CAST(coalesce(sum(jobs), 0) AS BIGINT) AS jobs
-FROM rec WHERE exposure BETWEEN 0 AND 10 GROUP BY 1"""
+FROM rec WHERE exposure BETWEEN 0 AND 10 AND exposure = floor(exposure) GROUP BY 1"""
 
 LISTING = f"""
 short(name, brief) AS (VALUES {SHORT}),
@@ -140,15 +141,14 @@ listing AS (
          title, {money('pay')} AS pay_text, {magnitude('jobs')} AS jobs_text,
          {signed('outlook')} AS outlook_text, coalesce(brief, education, '?') AS education_text,
          replace(replace(rationale, '|', '/'), chr(10), ' ') AS rationale
-  FROM rec LEFT JOIN short ON name = education WHERE exposure BETWEEN 0 AND 10)
+  FROM rec LEFT JOIN short ON name = education
+  WHERE exposure BETWEEN 0 AND 10 AND exposure = floor(exposure))
 """
 ORACLES["rating_listing"] = REC + "," + LISTING + "SELECT * FROM listing"
 
 ORACLES["histogram"] = REC + """
-, counts AS (SELECT exposure, count(*) AS n FROM rec WHERE exposure IS NOT NULL GROUP BY 1)
-SELECT exposure, n, repeat('█', CAST(CASE WHEN (SELECT max(n) FROM counts) <= 200 THEN n
-       ELSE ceil(n * 200 / (SELECT max(n) FROM counts)::DOUBLE) END AS BIGINT)) AS bar
-FROM counts"""
+SELECT exposure, count(*) AS n, repeat('█', count(*)) AS bar
+FROM rec WHERE exposure IS NOT NULL GROUP BY exposure"""
 
 ORACLES["mean_rating"] = REC + """
 SELECT count(exposure) AS n, round(avg(exposure), 6) AS mean FROM rec"""
@@ -206,7 +206,7 @@ HEADS = f"""
 heads AS (
   SELECT 18 - CAST(exposure AS INTEGER) AS section, CAST(exposure AS INTEGER) AS e, count(*) AS n,
          CAST(coalesce(sum(jobs), 0) AS BIGINT) AS jobs
-  FROM rec WHERE exposure BETWEEN 0 AND 10 GROUP BY exposure),
+  FROM rec WHERE exposure BETWEEN 0 AND 10 AND exposure = floor(exposure) GROUP BY exposure),
 listed AS (
   SELECT section, CAST(0 AS BIGINT) AS row, '### Exposure ' || e || '/10 (' || n || ' occupations, '
          || {magnitude('jobs')} || ' jobs)' AS line FROM heads
@@ -225,7 +225,8 @@ _PARTS = REC + "," + ",".join([TIER_TABLE, BAND_TABLE, GROUP_TABLE, LISTING, SUM
 def _mover_lines(section: int, test: str, order: str) -> str:
     return f"""
 SELECT {section}, 100 + row_number() OVER (ORDER BY {order}, {RECORD_ORDER}),
-       '| ' || title || ' | ' || coalesce(CAST(exposure AS VARCHAR), '?') || '/10 | '
+       '| ' || title || ' | ' || coalesce(CASE WHEN exposure = floor(exposure) THEN CAST(CAST(exposure AS BIGINT) AS VARCHAR)
+            ELSE CAST(exposure AS VARCHAR) END, '?') || '/10 | '
        || {signed('outlook')} || ' | ' || {magnitude('jobs')} || ' |'
 FROM rec WHERE {test}"""
 
@@ -242,8 +243,10 @@ ORACLES["report_text"] = _PARTS + f"""
 SELECT section, string_agg(line, chr(10) ORDER BY row) AS text
 FROM everything WHERE section < 5 GROUP BY section"""
 
-ORACLES["report_file"] = _PARTS + """
-SELECT line FROM summary UNION ALL SELECT line FROM listed"""
+_whole = ORACLES["report_lines"]
+_start = _whole.rindex(_PARTS) + len(_PARTS)
+ORACLES["report_file"] = f"""{_PARTS}
+SELECT row_number() OVER (ORDER BY section, row) AS n, line FROM ({_whole[_start:]})"""
 
 # --- joins and keyed rows -----------------------------------------------------------------------
 
@@ -411,7 +414,7 @@ SELECT event_id,
             WHEN 'signup' THEN 'no reply body' END AS reason,
        CASE WHEN event_type IN ('view', 'click') THEN CAST(k AS DOUBLE) END AS exposure,
        CASE WHEN event_type IN ('view', 'click') THEN event_type END AS rationale,
-       CASE WHEN event_type IN ('view', 'click') THEN '{"user":"' || user_id || '"}' END AS extras
+       CASE WHEN event_type IN ('view', 'click') THEN '{"user":' || user_id || '}' END AS extras
 FROM r"""
 
 ORACLES["score_requests"] = """
@@ -541,7 +544,8 @@ FROM w"""
 ORACLES["run_steps"] = _ORDER_FACTS + """
 SELECT 'Order ' || o_orderkey AS title, slug, o_orderstatus AS category, CAST(annual AS BIGINT) AS pay,
        price AS jobs, CASE WHEN o_orderstatus <> 'P' THEN pct END AS outlook, education,
-       CASE WHEN o_custkey % 13 <> 0 THEN o_orderkey % 11 END AS exposure,
+       CASE WHEN o_custkey % 13 <> 0 THEN o_orderkey % 11 + CASE WHEN o_custkey % 17 = 0
+           AND o_orderkey % 11 < 10 THEN 0.5::DOUBLE ELSE 0 END END AS exposure,
        'https://example.com/o/' || o_orderkey AS url
 FROM w"""
 
@@ -613,7 +617,7 @@ SELECT 'csv' AS "check", true AS is_valid, 'CSV valid: ' || count(*) || ' rows'
        'columns=ord, title, slug, category, url; count=' || count(*) AS details
 FROM orders"""
 ORACLES["check_range"] = REC + """
-, bad AS (SELECT ord, slug FROM rec WHERE category = 'P' AND exposure = 10)
+, bad AS (SELECT ord, slug FROM rec WHERE category = 'P' AND exposure > 9)
 SELECT 'scores' AS "check", false AS is_valid,
        'Found ' || count(*) || ' scores with invalid exposure values' AS message,
        'invalid=' || (SELECT string_agg(slug, ', ' ORDER BY ord)

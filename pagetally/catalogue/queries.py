@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pagetally import fixed
 from pagetally.catalogue import standins
@@ -36,7 +36,8 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def headline(spark, folder):
-    return summaries.headline(standins.records(spark, folder))
+    return summaries.headline(standins.records(spark, folder)).withColumn(
+        "mean_exposure", F.round("mean_exposure", 6))
 
 
 @query
@@ -91,12 +92,13 @@ def rating_listing(spark, folder):
 @query
 def histogram(spark, folder):
     rated = standins.records(spark, folder).filter("exposure is not null")
-    return summaries.histogram(rated, "exposure")
+    return summaries.histogram(rated, "exposure", rows_per_mark=1)
 
 
 @query
 def mean_rating(spark, folder):
-    return summaries.mean_of(standins.records(spark, folder), "exposure")
+    return summaries.mean_of(standins.records(spark, folder), "exposure").withColumn(
+        "mean", F.round("mean", 6))
 
 
 @query
@@ -107,8 +109,9 @@ def report_lines(spark, folder):
 @query
 def report_text(spark, folder):
     records = standins.records(spark, folder)
-    lines = report.heading_lines(spark, "Report", []).unionByName(report.summary_lines(records))
-    return report.report_text(lines)
+    heads = report.heading_lines(spark, "Report", []).filter(F.col("section") < report.DOWN)
+    lines = report.summary_lines(records).filter(F.col("section") < report.DOWN)
+    return report.summary_text(heads.unionByName(lines))
 
 
 # --- joins and keyed rows -------------------------------------------------------------
@@ -337,7 +340,7 @@ def score_requests(spark, folder):
 
 @query
 def score_table(spark, folder):
-    replies = scoring.score_table(standins.document_corpus(spark, folder), scoring.length_scorer)
+    replies = scoring.score_table(spread(standins.document_corpus(spark, folder)), scoring.length_scorer)
     return replies.select("slug", "reply")
 
 
@@ -381,7 +384,7 @@ def run_incremental(spark, folder):
 def run_steps(spark, folder):
     catalog = {
         "master": standins.order_master(spark, folder),
-        "html": standins.order_pages(spark, folder),
+        "html": spread(standins.order_pages(spark, folder)),
         "scores": standins.records(spark, folder).select("slug", "ord", "exposure", "rationale"),
     }
     made, _ = steps.run_steps(catalog, {
@@ -443,7 +446,7 @@ def checkpoint_clear(spark, folder):
 # --- pages -------------------------------------------------------------------------------------------
 
 def _page_nodes(spark, folder):
-    return html_nodes(table(spark, folder, "pages").select("page_id", "html"))
+    return html_nodes(spread(table(spark, folder, "pages").select("page_id", "html")))
 
 
 @query
@@ -473,31 +476,31 @@ def index_entries(spark, folder):
 
 @query
 def facts(spark, folder):
-    pages = extract.facts(html_nodes(standins.order_pages(spark, folder)))
+    pages = extract.facts(html_nodes(spread(standins.order_pages(spark, folder))))
     return pages.select("slug", F.posexplode("facts").alias("at", "fact")).select(
         "slug", "at", "fact.*")
 
 
 @query
 def facts_to_wide(spark, folder):
-    pages = extract.facts(html_nodes(standins.order_pages(spark, folder)))
+    pages = extract.facts(html_nodes(spread(standins.order_pages(spark, folder))))
     return extract.facts_to_wide(pages).drop("ord", "nodes", "facts")
 
 
 @query
 def first_row_cells(spark, folder):
-    pages = html_nodes(standins.order_pages(spark, folder))
+    pages = html_nodes(spread(standins.order_pages(spark, folder)))
     return extract.first_row_cells(pages).drop("ord", "nodes")
 
 
 @query
 def pages_to_table(spark, folder):
     return extract.pages_to_table(
-        standins.order_master(spark, folder), html_nodes(standins.order_pages(spark, folder)))
+        standins.order_master(spark, folder), html_nodes(spread(standins.order_pages(spark, folder))))
 
 
 def _sectioned(spark, folder):
-    return extract.sections(html_nodes(standins.part_pages(spark, folder))).select(
+    return extract.sections(html_nodes(spread(standins.part_pages(spark, folder)))).select(
         "p_partkey", "nodes", F.explode("sections").alias("section"))
 
 
@@ -545,12 +548,12 @@ def labelled_cells(spark, folder):
 
 @query
 def pages_to_markdown(spark, folder):
-    return extract.pages_to_markdown(html_nodes(standins.part_pages(spark, folder)))
+    return extract.pages_to_markdown(html_nodes(spread(standins.part_pages(spark, folder))))
 
 
 @query
 def documents_to_markdown(spark, folder):
-    return extract.pages_to_markdown(html_nodes(standins.document_pages(spark, folder)))
+    return extract.pages_to_markdown(html_nodes(spread(standins.document_pages(spark, folder))))
 
 
 # --- checks --------------------------------------------------------------------------------------------
@@ -724,9 +727,16 @@ def read_corpus(spark, folder):
 
 @query
 def report_file(spark, folder):
-    """Report lines written as ordered text files and read back by file order."""
+    """The report written as ordered text files and read back with each line's place."""
     path = scratch_path(spark, "report")
-    records = durable(spread(standins.records(spark, folder)))
-    corpus.write_report(report.summary_lines(records).unionByName(
-        report.listing_lines(records)), path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    corpus.write_report(report.report_lines(durable(spread(standins.records(spark, folder)))), path)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"),
+        F.monotonically_increasing_id().alias("at"))
+    within = Window.partitionBy("file").orderBy("at")
+    # one row per file
+    sizes = lines.groupBy("file").agg(F.count("*").alias("n")).withColumn(
+        "before", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)))
+    return lines.withColumn("nth", F.row_number().over(within)).join(sizes, "file").select(
+        (F.col("before") + F.col("nth")).alias("n"), "line")

@@ -47,7 +47,9 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
         "jobs",
         F.when(F.col("o_custkey") % 31 != 0, F.col("o_custkey") % 65 - 15).alias("outlook"),
         education().alias("education"),
-        F.when(F.col("o_custkey") % 13 != 0, F.col("o_orderkey") % 11).alias("exposure"),
+        F.when(F.col("o_custkey") % 13 != 0, F.col("o_orderkey") % 11 + F.when(
+            (F.col("o_custkey") % 17 == 0) & (F.col("o_orderkey") % 11 < 10), 0.5)
+            .otherwise(0.0)).alias("exposure"),
         F.concat("o_orderpriority", F.lit("|"), "o_orderstatus", F.lit("\n"),
                  _text("o_custkey")).alias("rationale"),
     )

@@ -52,9 +52,11 @@ def corpus_path(folder: str, key: Column, suffix: str) -> Column:
 
 
 def corpus_key(path: Column, suffix: str) -> Column:
-    """Inverse of :func:`corpus_path`."""
+    """Inverse of :func:`corpus_path`; also for a folder ``<column>=<key><suffix>`` of a writer."""
     escaped = suffix.replace(".", "\\.")
-    return F.regexp_extract(path, f"([^/=]+){escaped}(?:/[^/]*)?$", 1)
+    folder = F.regexp_extract(path, f"/[^/=]*=([^/]+){escaped}/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(
+        F.regexp_extract(path, f"([^/]+){escaped}(?:/[^/]*)?$", 1))
 
 
 def abbreviate(name: Column, short: dict[str, str], missing: str = "?") -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagetally import fixed
@@ -150,12 +150,16 @@ def check_range(df: DataFrame, column: str = "exposure", name: str = "scores",
 
 
 def validate_all(spark: SparkSession, checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """All checks in order, with their position; one that cannot be set up is a failed row."""
+    """All checks in order, with their position; one that fails, or cannot be set up, is a failed row.
+
+    Each check is one row; it is run here, so that a failure while it runs is its own.
+    """
     results = None
     for position, (name, check) in enumerate(checks.items()):
         try:
-            row = check()
-        except AnalysisException as problem:
+            frame = check()
+            row = spark.createDataFrame(frame.collect(), frame.schema)
+        except PySparkException as problem:
             row = failure(spark, name, f"Failed to load {name}: {problem.getCondition()}")
         row = row.withColumn("ord", F.lit(position))
         results = row if results is None else results.unionByName(row)

@@ -16,7 +16,7 @@ from pagetally.functions.text import strip_fence
 from pagetally.operators.joins import skew_join
 from pagetally.operators.keyed import first_wins, upsert
 from pagetally.operators.ordering import slice_rows
-from pagetally.session import durable, spread
+from pagetally.session import durable
 
 # Workers get the code of this module with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -60,7 +60,7 @@ def score_table(docs: DataFrame, scorer: Callable[[str], str], text: str = "text
         *[docs.schema[name] for name in kept],
         T.StructField("reply", T.StringType()), T.StructField("error", T.StringType())])
     filled = docs.select(*kept, text).filter(F.octet_length(text) > 0)
-    return spread(filled).mapInPandas(reply_to, schema)
+    return filled.mapInPandas(reply_to, schema)
 
 
 def score_requests(docs: DataFrame, model: str, rubric: str = RUBRIC,
@@ -80,21 +80,26 @@ def score_requests(docs: DataFrame, model: str, rubric: str = RUBRIC,
 def parse_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
     """Adds ``status`` (``scored`` or ``failed``), ``reason``, ``exposure``, ``rationale``, ``extras``.
 
-    The reply must be exactly one JSON object, fenced or not. It is read as the only element
-    of an array, because the JSON reader ignores text after a bare object. An explicit null
-    rating is kept; values outside the scale are kept for the range check to find.
+    The reply must be exactly one strict JSON object, fenced or not. The JSON reader ignores text
+    after a value, so the reply is read as the only element of an array and as the only member of
+    an object: no text after it can close both. An explicit null rating is kept; values outside
+    the scale are kept for the range check to find. Extras keep their types.
     """
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
     body = replies.withColumn("_body", strip_fence(F.col(reply)))
     boxed = F.concat(F.lit("["), F.col("_body"), F.lit("]"))
+    member = F.concat(F.lit('{"a":'), F.col("_body"), F.lit("}"))
     read = body.withColumns({
-        "_typed": F.from_json(boxed, "array<struct<exposure:double,rationale:string>>"),
-        "_pairs": F.from_json(boxed, "array<map<string,string>>"),
+        "_typed": F.from_json(boxed, "array<struct<exposure:double,rationale:string>>", strict),
+        "_pairs": F.from_json(boxed, "array<map<string,variant>>", strict),
+        "_alone": F.from_json(member, "a map<string,variant>", strict)["a"].isNotNull(),
     }).withColumns({
         "_typed": F.get("_typed", F.lit(0)),
-        "_pairs": F.when(F.size("_pairs") == 1, F.get("_pairs", F.lit(0))),
+        "_pairs": F.when(F.coalesce("_alone", F.lit(False)) & (F.size("_pairs") == 1),
+                         F.get("_pairs", F.lit(0))),
     })
     has_rating = F.map_contains_key("_pairs", F.lit("exposure"))
-    text_rating = F.col("_pairs")["exposure"].isNotNull() & F.col("_typed.exposure").isNull()
+    text_rating = ~F.is_variant_null(F.col("_pairs")["exposure"]) & F.col("_typed.exposure").isNull()
     reason = (
         F.when(F.col("_body").isNull(), "no reply body")
         .when(F.col("_pairs").isNull(), "not one JSON object")
@@ -110,7 +115,7 @@ def parse_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
         F.when(good, "scored").otherwise("failed").alias("status"),
         "reason",
         F.when(good, F.col("_typed.exposure")).alias("exposure"),
-        F.when(good, F.col("_pairs")["rationale"]).alias("rationale"),
+        F.when(good, F.col("_typed.rationale")).alias("rationale"),
         F.when(good & (F.size(extras) > 0), F.to_json(extras)).alias("extras"),
     )
 

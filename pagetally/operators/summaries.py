@@ -32,7 +32,7 @@ def headline_columns() -> list[Column]:
         F.count(F.lit(1)).alias("n"),
         sum0(weight()).alias("jobs"),
         sum_product(weight(), pay()).alias("wages"),
-        F.round(weighted_mean(rating(), weight()), 6).alias("mean_exposure"),
+        weighted_mean(rating(), weight()).cast("double").alias("mean_exposure"),
     ]
 
 
@@ -42,11 +42,20 @@ def headline(records: DataFrame) -> DataFrame:
 
 
 def _slots(groups: list[tuple[str, Column]], measures: dict[str, Column]) -> Column:
-    """Array with one struct per group: position, name, row count and summed measures."""
+    """Array with one struct per group: position, name, row count and summed measures.
+
+    ``weighted`` measures are sums of products with a rating, which may have fractions.
+    """
+    def total(test: Column, label: str, value: Column) -> Column:
+        chosen = F.when(test, value)
+        if label == "weighted":
+            return F.coalesce(F.sum(chosen), F.lit(0)).cast("double")
+        return sum0(chosen)
+
     return F.array(*[
         F.struct(
             F.lit(i).alias("ord"), F.lit(name).alias("name"), F.count_if(test).alias("n"),
-            *[sum0(F.when(test, value)).alias(label) for label, value in measures.items()])
+            *[total(test, label, value).alias(label) for label, value in measures.items()])
         for i, (name, test) in enumerate(groups)
     ])
 
@@ -138,21 +147,19 @@ def rating_groups(records: DataFrame) -> DataFrame:
 def mean_of(df: DataFrame, column: str) -> DataFrame:
     """Unweighted mean; nulls are left out."""
     return df.agg(
-        F.count(column).alias("n"), F.round(F.avg(column), 6).alias("mean"))
+        F.count(column).alias("n"), F.avg(column).alias("mean"))
 
 
-def histogram(df: DataFrame, column: str, width: int | None = 200) -> DataFrame:
-    """Rows per value with a bar of one mark per row.
+def histogram(df: DataFrame, column: str, rows_per_mark: int | None = None) -> DataFrame:
+    """Rows per value, and with ``rows_per_mark`` a ``bar`` of one mark for that many rows or part.
 
-    When the largest count exceeds ``width`` all bars shrink in proportion; counts are exact.
+    Counts are always exact. A bar of one mark per row is as long as the count.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    marks = F.col("n")
-    if width is not None:
-        longest = counts.agg(F.max("n")).scalar()
-        marks = F.when(longest <= width, marks).otherwise(
-            F.ceil(F.col("n") * F.lit(width) / longest))
-    return counts.select(column, "n", F.repeat(F.lit("█"), marks.cast("int")).alias("bar"))
+    if rows_per_mark is None:
+        return counts
+    marks = F.ceil(F.col("n") / rows_per_mark).cast("int")
+    return counts.withColumn("bar", F.repeat(F.lit("█"), marks))
 
 
 def run_stats(statuses: DataFrame, status: str = "status") -> DataFrame:

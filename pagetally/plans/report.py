@@ -123,10 +123,12 @@ def heading_lines(spark: SparkSession, title: str, intro: list[str]) -> DataFram
 
 
 def mover_lines(records: DataFrame) -> DataFrame:
-    """Declining and growing tables; a missing rating prints as ``?``."""
+    """Declining and growing tables; a missing rating prints as ``?``, a whole one without fraction."""
+    rating = F.col("exposure")
+    whole = F.when(rating == F.floor(rating), rating.cast("bigint").cast("string"))
     line = _row(
         F.col("title"),
-        F.concat(F.coalesce(F.col("exposure").cast("string"), F.lit("?")), F.lit("/10")),
+        F.concat(F.coalesce(whole, rating.cast("string"), F.lit("?")), F.lit("/10")),
         F.col("outlook_text"), F.col("jobs_text"))
     return _table_lines(movers(records, up=False), DOWN, "n", line).unionByName(
         _table_lines(movers(records, up=True), UP, "n", line))
@@ -166,12 +168,14 @@ def report_lines(records: DataFrame, title: str = fixed.HEADINGS["title"],
     )
 
 
-def report_text(lines: DataFrame) -> DataFrame:
-    """One text per summary section.
+def summary_text(lines: DataFrame) -> DataFrame:
+    """One text per summary section; for lines of summary sections only.
 
-    Only sections before the mover tables are joined: they have a few lines each, while
-    movers and listings grow with the data and go to ``write_report``.
+    These sections have a few lines each. Mover tables and listings grow with the data and go to
+    ``write_report``; their lines are an error here.
     """
     ordered = F.array_sort(F.collect_list(F.struct("row", "line")))
-    return lines.filter(F.col("section") < DOWN).groupBy("section").agg(
+    section = F.when(F.col("section") < DOWN, F.col("section")).otherwise(
+        F.raise_error(F.lit("not a line of a summary section")))
+    return lines.withColumn("section", section).groupBy("section").agg(
         F.array_join(F.transform(ordered, lambda pair: pair["line"]), "\n").alias("text"))

@@ -62,12 +62,11 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when their source has fewer files than there are cores.
+    """Deal rows out to all cores when their source has fewer partitions than there are cores.
 
-    For rows that cost much time each, or are read several times. A source of many files is
-    left alone: its scan has enough tasks and is not shuffled.
+    For callers whose tables are small files of one row group; operators never call it.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if 0 < df.rdd.getNumPartitions() < cores else df

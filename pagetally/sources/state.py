@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-LOG_SCHEMA = "step string, slug string, generation bigint, ts timestamp"
+LOG_SCHEMA = "step string, slug string, generation bigint, ts timestamp, keys bigint"
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -35,14 +35,17 @@ def _next_generation(spark: SparkSession, path: str) -> int:
 def save_checkpoint(keys: DataFrame, path: str) -> None:
     """Replace the key sets of the steps in ``keys(step, slug)``.
 
-    Each step also gets a row with a null key, so that an empty set is recorded too.
+    Each step also gets a row with a null key, so that an empty set is recorded too; that row has
+    the number of keys.
     """
     generation = _next_generation(keys.sparkSession, path)
-    marks = keys.select("step").distinct().withColumn("slug", F.lit(None).cast("string"))
-    rows = keys.filter("slug is not null").select("step", "slug").distinct().unionByName(marks)
+    marks = keys.groupBy("step").agg(F.countDistinct("slug").alias("keys")).withColumn(
+        "slug", F.lit(None).cast("string"))
+    rows = keys.filter("slug is not null").select("step", "slug").distinct().unionByName(
+        marks, allowMissingColumns=True)
     _append(rows.select(
         "step", "slug", F.lit(generation).cast("bigint").alias("generation"),
-        F.current_timestamp().alias("ts")), path)
+        F.current_timestamp().alias("ts"), "keys"), path)
 
 
 def clear_steps(spark: SparkSession, path: str, steps: list[str] | None = None) -> None:
@@ -54,14 +57,22 @@ def clear_steps(spark: SparkSession, path: str, steps: list[str] | None = None)
     _append(known.select(
         "step", F.lit(None).cast("string").alias("slug"),
         F.lit(generation).cast("bigint").alias("generation"),
-        F.lit(None).cast("timestamp").alias("ts")), path)
+        F.lit(None).cast("timestamp").alias("ts"), F.lit(0).cast("bigint").alias("keys")), path)
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """Newest generation of every step: ``(step, slug, ts)``; a null key marks the save."""
+    """Newest generation of every step: ``(step, slug, ts)``; a null key marks the save.
+
+    A newest generation with fewer or more keys than its mark says, as after the loss of a file,
+    counts as nothing recorded.
+    """
     log = read_log(spark, path)
-    newest = log.groupBy("step").agg(F.max("generation").alias("generation"))
-    return log.join(newest, ["step", "generation"]).filter("ts is not null").select(
+    saves = log.groupBy("step", "generation").agg(
+        F.count("slug").alias("found"), F.max("keys").alias("keys"))
+    newest = saves.groupBy("step").agg(F.max(F.struct("generation", "found", "keys")).alias("top")) \
+        .filter("top.found = top.keys").select("step", "top.generation")
+    # one row per step: the join then leaves the keys of a step where they are
+    return log.join(F.broadcast(newest), ["step", "generation"]).filter("ts is not null").select(
         "step", "slug", "ts")
 
 

@@ -14,11 +14,12 @@ def read_records(spark: SparkSession, path: str, schema: str = MASTER_SCHEMA) ->
 
     Files are taken in name order and positions run on from file to file. A JSON array
     cannot be split, so the unit of parallelism is the file: keep a large list as many
-    array files, or as JSON lines that carry ``ord`` (see :func:`read_json`).
+    array files, or as JSON lines that carry ``ord`` (see :func:`read_json`). A file that is
+    no JSON array ends the read with an error.
     """
     files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
-        F.from_json("value", f"array<struct<{schema}>>").alias("records"),
+        F.from_json("value", f"array<struct<{schema}>>", {"mode": "FAILFAST"}).alias("records"),
     )
     # one row per file: the running offset is over file names, not over records
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)

@@ -14,7 +14,11 @@ def test_parse_replies(spark):
         '{"exposure": 7.5}': ("scored", 7.5, None, None),
         '{"exposure": 42, "rationale": null}': ("scored", 42.0, None, None),
         '{"exposure": null, "rationale": "r"}': ("scored", None, "r", None),
-        '{"exposure": 1, "rationale": "r", "tone": "x", "n": 2}': ("scored", 1.0, "r", {"tone": "x", "n": "2"}),
+        '{"exposure": 1, "rationale": "r", "tone": "x", "n": 2}': ("scored", 1.0, "r", {"tone": "x", "n": 2}),
+        "{'exposure': 1}": ("failed", None, None, None),
+        '{"exposure": 5}] tail': ("failed", None, None, None),
+        '{"exposure": 5}} tail': ("failed", None, None, None),
+        '{"exposure": NaN}': ("failed", None, None, None),
         '{"exposure": "8"}': ("failed", None, None, None),
         '{"rationale": "r"}': ("failed", None, None, None),
         "{}": ("failed", None, None, None), "null": ("failed", None, None, None),

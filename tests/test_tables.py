@@ -133,40 +133,28 @@ def make_records(n=400, seed=2):
              pick(None, random.randint(0, 10), random.randint(0, 10)), f"r|{i}") for i in range(n)]
 
 
-def test_summaries_equal_brute_force(spark):
-    rows = make_records()
-    frame = spark.createDataFrame(rows, RECORD_SCHEMA)
-    jobs = lambda group: sum(r[3] or 0 for r in group)
-    wages = lambda group: sum((r[3] or 0) * (r[2] or 0) for r in group)
-    weighed = [r for r in rows if r[6] is not None and r[3]]
-    mean = lambda group: sum(r[6] * r[3] for r in group) / jobs(group)
-
+def test_summaries_by_hand(spark):
+    """Fractional ratings count in full; nulls, zero weights and unknown groups do not."""
+    schema = RECORD_SCHEMA.replace("exposure bigint", "exposure double").replace(
+        "exposure int", "exposure double")
+    frame = spark.createDataFrame([
+        (0, "a", 40_000, 100, 1, "Bachelor's degree", 7.5, ""),
+        (1, "b", 50_000, 300, 1, "Bachelor's degree", 7.0, ""),
+        (2, "c", 34_999, 10, 1, "Master's degree", 1.0, ""),
+        (3, "d", 0, 10, 1, "Master's degree", 2.0, ""),
+        (4, "e", 90_000, 0, 1, "none of them", 9.0, ""),
+        (5, "f", None, None, None, "", None, "")], schema)
     top = summaries.headline(frame).first()
-    assert (top.n, top.jobs, top.wages) == (len(rows), jobs(rows), wages(rows))
-    assert top.mean_exposure == pytest.approx(mean(weighed), abs=1e-6)
-
-    tiers = {row.name: row for row in summaries.tier_summary(frame).collect()}
-    for name, low, high in fixed.TIERS:
-        group = [r for r in rows if r[6] is not None and low <= r[6] <= high]
-        row = tiers[name]
-        assert (row.n, row.jobs, row.wages) == (len(group), jobs(group), wages(group))
-        assert row.jobs_share == pytest.approx(jobs(group) / jobs(rows) * 100)
-        assert row.wages_share == pytest.approx(wages(group) / wages(rows) * 100)
-        assert row.avg_pay == int(wages(group) / jobs(group))
-
-    bands = {row.name: row for row in summaries.band_means(frame).collect()}
-    for name, low, high in fixed.PAY_BANDS:
-        group = [r for r in weighed if r[2] and low <= r[2] < (high or float("inf"))]
-        assert bands[name].mean_exposure == pytest.approx(mean(group)) and bands[name].jobs == jobs(group)
-
-    groups = {row.name: row for row in summaries.group_means(frame).collect()}
-    for name, members in fixed.EDUCATION_GROUPS:
-        group = [r for r in weighed if r[5] in members]
-        assert groups[name].mean_exposure == pytest.approx(mean(group)) and groups[name].jobs == jobs(group)
-
-    counts = {row.exposure: (row.n, row.jobs) for row in summaries.rating_groups(frame).collect()}
-    assert counts == {e: (len(g), jobs(g)) for e in range(11)
-                      if (g := [r for r in rows if r[6] == e])}
+    assert (top.n, top.jobs, top.wages) == (6, 420, 4_000_000 + 15_000_000 + 349_990)
+    assert top.mean_exposure == pytest.approx((750 + 2100 + 10 + 20) / 420)
+    bands = [(r.jobs, r.mean_exposure) for r in summaries.band_means(frame).orderBy("ord").collect()]
+    assert bands == [(10, 1.0), (100, 7.5), (300, 7.0)]
+    groups = {r.jobs: r.mean_exposure for r in summaries.group_means(frame).collect()}
+    assert groups == {400: pytest.approx(7.125), 20: 1.5}
+    counts = {r.exposure: (r.n, r.jobs) for r in summaries.rating_groups(frame).collect()}
+    assert counts == {1: (1, 10), 2: (1, 10), 7: (1, 300), 9: (1, 0)}
+    tiers = [r.n for r in summaries.tier_summary(frame).orderBy("ord").collect()]
+    assert tiers == [1, 1, 0, 1, 1]
 
 
 def test_empty_groups(spark):
@@ -179,9 +167,9 @@ def test_empty_groups(spark):
     assert summaries.headline(frame).first().mean_exposure == 0.0
 
 
-def test_histogram_marks(spark):
-    frame = spark.createDataFrame([(1,)] * 3 + [(2,)], "e int")
-    assert {(r.e, r.n, r.bar) for r in summaries.histogram(frame, "e").collect()} == {
-        (1, 3, "███"), (2, 1, "█")}
-    scaled = {(r.e, r.n, r.bar) for r in summaries.histogram(frame, "e", width=2).collect()}
-    assert scaled == {(1, 3, "██"), (2, 1, "█")}
+def test_histogram_counts_and_marks(spark):
+    frame = spark.createDataFrame([(1,)] * 300 + [(2,)], "e int")
+    assert {(r.e, r.n) for r in summaries.histogram(frame, "e").collect()} == {(1, 300), (2, 1)}
+    bars = {(r.e, len(r.bar)) for r in summaries.histogram(frame, "e", 1).collect()}
+    assert bars == {(1, 300), (2, 1)}
+    assert {len(r.bar) for r in summaries.histogram(frame, "e", 7).collect()} == {43, 1}
