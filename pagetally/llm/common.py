@@ -7,13 +7,15 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetally.session import scratch_path
 
 #: Text bytes that a task handles at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+#: Rows of an Arrow batch, so that long texts do not add up in a Python worker.
+BATCH_ROWS = 1000
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str,
@@ -28,6 +30,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str,
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch
+    pa.default_memory_pool().release_unused()
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of at most ``BATCH_ROWS`` rows from now on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
 
 
 def as_bytes(batch: pa.RecordBatch, column: str) -> list[bytes | None]:

@@ -29,7 +29,7 @@ WIDTH = 10
 #: Text bytes of the benchmark that one pass over the documents searches for.
 BLOCK_BYTES = 4 << 20
 #: Text bytes of a shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 #: Words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ once A-Z is lower-cased.
 WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128
               else 32 for b in range(256))

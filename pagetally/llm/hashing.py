@@ -15,7 +15,7 @@ _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.u
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 _ORDER = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 
 
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -11,6 +11,7 @@ from pagetally.session import scratch_path
 
 from . import (boilerplate, chat, decontamination, jaccard, language, licenses, neighbours,
                packing, rollups, toxicity)
+from .common import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,7 +22,7 @@ def _query(function: Callable[[SparkSession, str], DataFrame]) -> Callable:
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 @_query
