@@ -9,33 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pagetally.llm import decontamination, jaccard, language, packing, toxicity
-from pagetally.llm.common import written
+from pagetally.llm.common import bounded_batches, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose language cannot be told: those without text or letters."""
+    bounded_batches(spark)
     return language.identified(docs, language.fit(docs, ~language.held_out()))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that score as toxic."""
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.clean(docs, toxicity.fit(docs, labels, ~toxicity.held_out()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group that similar shingles connect."""
+    bounded_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which a window of a benchmark item occurs."""
+    bounded_batches(spark)
     return decontamination.decontaminated(
         docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places the remaining documents' tokens in sequences."""
+    bounded_batches(spark)
     return packing.pack(docs)
 
 
