@@ -47,6 +47,12 @@ SMALL = 8
 BLOCK = 1024
 #: Document ids that may be broadcast.
 BROADCAST_ROWS = 2_000_000
+#: Rows with the facts of a lead that may be broadcast.
+BROADCAST_LEADS = 500_000
+#: Documents, about, in the sample for hot blocks; sets that must meet in one; most kept.
+HOT_SAMPLE, HOT, HOT_BLOCKS = 2_000, 20, 100_000
+#: Pieces into which the rows of a hot block or lead are spread.
+SPREAD = 64
 
 
 def band(size: np.ndarray | int) -> np.ndarray | int:
@@ -184,11 +190,15 @@ def sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return _own(docs).mapInArrow(run, _SETS)
 
 
-def _frequent(docs: DataFrame) -> np.ndarray:
+def _sample(docs: DataFrame, number: int, size: int) -> DataFrame:
+    """About ``size`` of ``number`` documents, and at least a millionth of the ids."""
+    share = max(1, round(2 ** 20 * min(1.0, size / max(1, number))))
+    return _own(docs).filter(F.pmod(F.xxhash64("doc_id"), F.lit(2 ** 20)) < share)
+
+
+def _frequent(docs: DataFrame, number: int) -> np.ndarray:
     """Shingles that are often in a sample of distinct sets, sorted; steers the work only."""
-    number = docs.count()
-    share = max(1, round(1024 * min(1.0, SAMPLE / max(1, number))))
-    some = _own(docs).filter(F.pmod(F.xxhash64("doc_id"), F.lit(1024)) < share)
+    some = _sample(docs, number, SAMPLE)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -243,20 +253,38 @@ def _meetings(docs: DataFrame, frequent: np.ndarray, weak: frozenset[int]) -> Da
     return _own(docs).mapInArrow(run, "key long, id long")
 
 
-def _groups(meetings: DataFrame) -> DataFrame:
+def _hot_blocks(docs: DataFrame, number: int, frequent: np.ndarray,
+                weak: frozenset[int]) -> DataFrame:
+    """``key, first``: blocks in which many sets of a sample meet, and one of these sets.
+
+    Steers the work only: the rows of other blocks are grouped by key alone.
+    """
+    some = _meetings(_sample(docs, number, HOT_SAMPLE), frequent, weak)
+    return written(some.groupBy("key").agg(
+        F.countDistinct("id").alias("sets"), F.min("id").alias("first"))
+        .filter(F.col("sets") >= HOT).orderBy(F.desc("sets"), "key").limit(HOT_BLOCKS)
+        .select("key", "first"), "hot-blocks")
+
+
+def _groups(meetings: DataFrame, hot: DataFrame) -> DataFrame:
     """``key, id, lead, size, earlier``: rows of blocks in which several sets meet.
 
-    ``earlier`` has the other sets before this one where the group is small.
+    ``earlier`` has the other sets before this one where the group is small. A block of ``hot`` is
+    a large group whose lead is known, so that its rows need not meet: they are spread.
     """
-    order = Window.partitionBy("key").orderBy("id")
-    rows = meetings.withColumn("before", F.lag("id").over(order)) \
+    known = F.col("first").isNotNull()
+    spread = meetings.join(F.broadcast(hot), "key", "left").withColumn(
+        "piece", F.when(known, F.pmod("id", F.lit(SPREAD))).otherwise(0))
+    whole = Window.partitionBy("key", "piece")
+    order = whole.orderBy("id")
+    rows = spread.withColumn("before", F.lag("id").over(order)) \
         .withColumn("after", F.lead("id").over(order)) \
-        .filter(F.col("before").isNotNull() | F.col("after").isNotNull()) \
+        .filter(known | F.col("before").isNotNull() | F.col("after").isNotNull()) \
         .filter(F.col("before").isNull() | (F.col("before") != F.col("id"))) \
         .drop("before", "after")
-    whole = Window.partitionBy("key")
-    return rows.withColumn("size", F.count("*").over(whole)).filter(F.col("size") > 1) \
-        .withColumn("lead", F.min("id").over(whole)) \
+    return rows.withColumn("size", F.when(known, SMALL + 1).otherwise(F.count("*").over(whole))) \
+        .filter(F.col("size") > 1) \
+        .withColumn("lead", F.coalesce("first", F.min("id").over(whole))) \
         .withColumn("earlier", F.when(F.col("size") <= SMALL, F.collect_list("id").over(
             order.rowsBetween(1 - SMALL, -1))).otherwise(
             F.when(F.col("id") != F.col("lead"), F.array("lead")).otherwise(F.array())))
@@ -418,19 +446,30 @@ def _large_rows(groups: DataFrame, reps: DataFrame) -> DataFrame:
         .filter(F.when(rare, F.col("large")).otherwise(F.col("large_full")) >= F.col("bound"))
 
 
+def _by_lead(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` joined with the one row of ``facts`` of their lead; a lead's rows stay apart."""
+    facts, on = written(facts, "leads"), ["lead", "route"]
+    if facts.count() <= BROADCAST_LEADS:
+        return rows.join(F.broadcast(facts), on)
+    copies = facts.withColumn("piece", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    return rows.withColumn("piece", F.pmod(F.xxhash64("rep"), F.lit(SPREAD).cast("long"))) \
+        .join(copies, [*on, "piece"]).drop("piece")
+
+
 def _open_rows(rows: DataFrame, found: _Found) -> DataFrame:
     """Rows of leads whose sets are in several components, with the component as ``part``."""
     rows = found.label(rows, "rep", "part")
     open_ = rows.groupBy("lead", "route").agg(F.min("part").alias("x"), F.max("part").alias("y")) \
         .filter("x != y").select("lead", "route")
-    return written(rows.join(open_, ["lead", "route"]), "open-groups")
+    return written(_by_lead(rows, open_), "open-groups")
 
 
 def _central_pairs(rest: DataFrame) -> DataFrame:
     """Each set with the one of its lead's sets that has the most blocks in large groups."""
     central = rest.groupBy("lead", "route").agg(F.max(F.struct(
         (F.col("large") + F.col("large_full")).alias("size"), "rep", "part")).alias("central"))
-    return rest.join(central, ["lead", "route"]).filter("part != central.part").select(
+    return _by_lead(rest, central).filter("part != central.part").select(
         F.least("rep", "central.rep").alias("a"), F.greatest("rep", "central.rep").alias("b")) \
         .distinct()
 
@@ -443,7 +482,7 @@ def _open_pairs(rest: DataFrame, reps: DataFrame) -> DataFrame:
     """
     group = ["lead", "route"]
     sizes = rest.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    rows = rest.join(sizes, group).withColumn(
+    rows = _by_lead(rest, sizes).withColumn(
         "own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select(*group, F.least("own", "other").alias("low"),
@@ -497,13 +536,15 @@ def join(docs: DataFrame) -> DataFrame:
     """
     whole = _own(docs)
     docs = whole.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    frequent = _frequent(docs)
+    number = docs.count()
+    frequent = _frequent(docs, number)
     all_sets = written(sets(whole, frequent), "sets")
     some = all_sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # at most one number for each power of two
     weak = frozenset(r["weak"] for r in
                      some.select("weak").filter("weak is not null").distinct().collect())
-    groups = written(_groups(_meetings(docs, frequent, weak)).select(
+    hot = _hot_blocks(docs, number, frequent, weak)
+    groups = written(_groups(_meetings(docs, frequent, weak), hot).select(
         F.when(F.col("size") > SMALL, F.col("lead")).alias("lead"),
         F.col("key").bitwiseAND(1).alias("route"), "id", "earlier"), "groups")
     large = groups.filter("lead is not null").groupBy("id").agg(

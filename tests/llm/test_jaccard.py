@@ -65,9 +65,12 @@ def rows_of(frame):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in frame.collect()), key=str)
 
 
-@pytest.mark.parametrize("small, block, often", [(8, 1024, 3), (2, 16, 3), (1, 7, 10 ** 9)])
-def test_join_equals_brute_force(spark, monkeypatch, small, block, often):
+@pytest.mark.parametrize("small, block, often, hot, leads", [
+    (8, 1024, 3, 20, 500), (2, 16, 3, 4, 0), (1, 7, 10 ** 9, 20, 0)])
+def test_join_equals_brute_force(spark, monkeypatch, small, block, often, hot, leads):
     monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "BROADCAST_LEADS", leads)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "OFTEN", often)
     rows = corpus(small)
