@@ -5,7 +5,10 @@ The texts run on any engine with the given tables registered as views.
 
 from __future__ import annotations
 
+import json
+
 from pagetally import fixed
+from pagetally.operators.scoring import RUBRIC
 
 ORACLES: dict[str, str] = {}
 
@@ -299,6 +302,14 @@ WITH seen AS (
   SELECT p_name AS title, '/' || replace(p_name, ' ', '-') AS url, min(p_partkey) AS ord
   FROM part WHERE p_type <> 'LARGE' GROUP BY p_name)
 SELECT url, title, ord, row_number() OVER (ORDER BY lower(title), ord) AS n FROM seen"""
+ORACLES["index_to_master"] = """
+WITH seen AS (
+  SELECT p_name AS title, '/' || replace(p_name, ' ', '-') AS url, min(p_partkey) AS ord
+  FROM part WHERE p_type <> 'LARGE' GROUP BY p_name)
+SELECT row_number() OVER (ORDER BY lower(title), ord) - 1 AS ord, title, url FROM seen"""
+ORACLES["index_to_aliases"] = """
+SELECT p_brand AS alias, p_name AS canonical, '/' || replace(p_name, ' ', '-') AS url
+FROM part WHERE p_type = 'PROMO'"""
 ORACLES["alias_entries"] = """
 SELECT p_partkey AS ord, p_brand AS alias, p_name AS canonical,
        '/' || replace(p_name, ' ', '-') AS url
@@ -417,10 +428,11 @@ SELECT event_id,
        CASE WHEN event_type IN ('view', 'click') THEN '{"user":' || user_id || '}' END AS extras
 FROM r"""
 
-ORACLES["score_requests"] = """
+_RUBRIC = json.dumps(RUBRIC).replace("'", "''")
+ORACLES["score_requests"] = f"""
 SELECT CAST(doc_id AS VARCHAR) AS slug,
-       '{"model":"example/model","messages":[{"role":"system","content":"Rate it."},{"role":"user","content":'
-       || CAST(to_json(text) AS VARCHAR) || '}],"temperature":0.2}' AS request
+       '{{"model":"example/model","messages":[{{"role":"system","content":{_RUBRIC}}},{{"role":"user","content":'
+       || CAST(to_json(text) AS VARCHAR) || '}}],"temperature":0.2}}' AS request
 FROM documents"""
 ORACLES["score_table"] = """
 SELECT CAST(doc_id AS VARCHAR) AS slug,
@@ -431,7 +443,8 @@ SELECT CAST(d.doc_id AS VARCHAR) AS slug,
        CASE WHEN l.doc_id IS NULL THEN source || ' ' || d.doc_id ELSE 'old' END AS title,
        CASE WHEN l.doc_id IS NULL THEN CAST(length(text) % 11 AS DOUBLE)
             ELSE CAST(quality * 7 + toxic * 3 AS DOUBLE) END AS exposure,
-       CASE WHEN l.doc_id IS NULL THEN length(text) || ' characters' ELSE 'quality ' || quality END AS rationale
+       CASE WHEN l.doc_id IS NULL THEN length(text) || ' characters' ELSE 'quality ' || quality END AS rationale,
+       CAST(NULL AS VARCHAR) AS extras
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NOT NULL OR text <> ''"""
 ORACLES["scoring_stats"] = """
 SELECT CASE WHEN l.doc_id IS NOT NULL THEN 'cached' WHEN text <> '' THEN 'scored' ELSE 'no_input' END AS status,
@@ -546,7 +559,8 @@ SELECT 'Order ' || o_orderkey AS title, slug, o_orderstatus AS category, CAST(an
        price AS jobs, CASE WHEN o_orderstatus <> 'P' THEN pct END AS outlook, education,
        CASE WHEN o_custkey % 13 <> 0 THEN o_orderkey % 11 + CASE WHEN o_custkey % 17 = 0
            AND o_orderkey % 11 < 10 THEN 0.5::DOUBLE ELSE 0 END END AS exposure,
-       'https://example.com/o/' || o_orderkey AS url
+       'https://example.com/o/' || o_orderkey AS url, outlook_desc,
+       o_orderpriority || '|' || o_orderstatus || chr(10) || o_custkey AS exposure_rationale
 FROM w"""
 
 _PART_PAGE = "CAST(floor(p_retailprice) AS BIGINT)"

@@ -195,6 +195,19 @@ def alias_entries(spark, folder):
     return aliases
 
 
+@query
+def index_to_master(spark, folder):
+    """From the markup of index pages to the sorted list."""
+    pages = html_nodes(standins.index_pages(spark, folder))
+    return extract.index_to_master(pages)[0]
+
+
+@query
+def index_to_aliases(spark, folder):
+    pages = html_nodes(standins.index_pages(spark, folder))
+    return extract.index_to_master(pages)[1]
+
+
 # --- order, slices, samples ---------------------------------------------------------------
 
 def _parts(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,7 +347,7 @@ def parse_reply_(spark, folder):
 @query
 def score_requests(spark, folder):
     return scoring.score_requests(
-        standins.document_corpus(spark, folder), model="example/model", rubric="Rate it."
+        standins.document_corpus(spark, folder), model="example/model"
     ).select("slug", "request")
 
 
@@ -350,12 +363,12 @@ def _scoring_run(spark, folder):
         F.lit(None).cast("string").alias("extras"))
     return scoring.score_incremental(
         standins.document_master(spark, folder), standins.document_corpus(spark, folder),
-        old, scoring.length_scorer)
+        old, scoring.length_scorer, log=scratch_path(spark, "answers"), batches=2)
 
 
 @query
 def score_incremental(spark, folder):
-    return _scoring_run(spark, folder).scores.drop("extras")
+    return _scoring_run(spark, folder).scores
 
 
 @query
@@ -392,7 +405,7 @@ def run_steps(spark, folder):
         "csv": lambda t: extract.pages_to_table(t["master"], t["nodes"]),
         "build": lambda t: joins.build_compact(t["csv"], t["scores"]),
     })
-    return made["build"].drop("outlook_desc", "exposure_rationale")
+    return made["build"]
 
 
 def _event_keys(spark: SparkSession, folder: str) -> DataFrame:

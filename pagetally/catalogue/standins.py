@@ -182,6 +182,22 @@ def index_page_entries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def index_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Index pages of 100 parts each, with the entries of :func:`index_page_entries`."""
+    link = lambda place: _html("<a href=\"", F.get("hrefs", F.lit(place)), "\">",
+                               F.get("names", F.lit(place)), "</a>")
+    two = F.size("names") > 1
+    item = _html("<li>", F.when(two, _html(link(0), ", see: ", link(1))).otherwise(
+        _html(link(0), F.when(F.col("text").contains("elsewhere"), ", see elsewhere").otherwise(""))),
+        "</li>")
+    rows = index_page_entries(spark, folder).select(
+        F.floor(F.col("ord") / 100).alias("page"), F.struct("ord", item.alias("item")).alias("row"))
+    items = F.transform(F.array_sort(F.collect_list("row")), lambda row: row["item"])
+    return rows.groupBy("page").agg(_html(
+        "<html><body><ul><li><a href=\"/n\">outside</a></li></ul><div class=\"big a-z-list\"><ul>",
+        F.array_join(items, "\n"), "</ul></div></body></html>").alias("html"))
+
+
 def replies(spark: SparkSession, folder: str) -> DataFrame:
     """Model replies in five shapes by event type."""
     kind = F.col("event_type")

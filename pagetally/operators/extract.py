@@ -16,6 +16,7 @@ from pagetally.functions.predicates import contains_any, has_token, money_or_per
 from pagetally.functions.text import clean_text, dash_to_missing, strip
 from pagetally.operators.joins import skew_join
 from pagetally.operators.keyed import first_wins
+from pagetally.operators.ordering import number_rows, title_order
 
 
 def page_nodes() -> Column:
@@ -376,6 +377,18 @@ def index_entries(pages: DataFrame, box=classed("div", fixed.INDEX_CLASS)) -> Da
         *keep, "entry", "_item.*")
 
 
+def index_to_master(pages: DataFrame, page: str = "page",
+                    box=classed("div", fixed.INDEX_CLASS)) -> tuple[DataFrame, DataFrame]:
+    """Master list ``(ord, title, url)`` sorted by title, and aliases, of whole index pages.
+
+    Pages are taken in the order of ``page``, their entries as they stand.
+    """
+    entries = index_entries(pages, box).withColumn("ord", F.struct(page, "entry"))
+    canonical, aliases = resolve_aliases(entries)
+    numbered = number_rows(canonical, title_order())
+    return numbered.select((F.col("n") - 1).alias("ord"), "title", "url"), aliases.drop("ord")
+
+
 def resolve_aliases(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Canonical pages ``(title, url, ord)`` and aliases ``(alias, canonical, url)``.
 

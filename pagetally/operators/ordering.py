@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pagetally.session import durable
+from pagetally.session import durable, written
 
 BROADCAST_ROWS = 100_000    # a few MB; a longer offset table is joined by shuffle
 
@@ -36,15 +36,15 @@ def number_rows(df: DataFrame, order: list[Column], within: str | None = None,
 
     A window over ``within`` would bring a whole group into one task. Here rows are range
     partitioned and numbered inside their partition; each partition then adds the number of
-    rows that earlier partitions hold of the same group. The placed rows are checkpointed,
-    because the numbers depend on where rows landed.
+    rows that earlier partitions hold of the same group. The placed rows are written as a
+    table, because the numbers depend on where rows landed: select what is needed first.
     """
     group = [F.col(within)] if within else []
     keys = [*group, *order]
-    placed = durable(
+    placed = written(
         df.repartitionByRange(*keys).sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_at", 33))
+        .withColumn("_part", F.shiftright("_at", 33)), "placed"
     )
     # one row per partition and group: at most partitions + groups rows
     runs = placed.groupBy(*([within] if within else []), "_part").agg(

@@ -12,7 +12,9 @@ import sys
 from html import unescape
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -151,6 +153,13 @@ class Outline(HTMLParser):
         if data.upper().startswith("CDATA["):
             self.handle_data(data[len("CDATA["):])
 
+    def parse_marked_section(self, i, report=1):
+        """An unknown ``<![`` declaration ends at its first ``>``, like a bogus comment."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or -1
+
     def read(self, html):
         """Add one page; False when the markup is beyond the tokenizer."""
         self.start_page()
@@ -186,11 +195,19 @@ def _node_arrays(pages):
         pa.array(offsets, pa.int32()), nodes, mask=pa.array(missing, pa.bool_()))
 
 
+BYTES_AT_ONCE = 4 << 20     # of markup, or one page: bounds an output batch
+
+
 def _outline_batches(batches):
-    rows_at_once = 64   # keeps one output batch small when pages are large
     for batch in batches:
-        for start in range(0, batch.num_rows, rows_at_once):
-            part = batch.slice(start, rows_at_once)
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            limit = (ends[start - 1] if start else 0) + BYTES_AT_ONCE
+            stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
+            part = batch.slice(start, stop - start)
+            start = stop
             html = part.column(part.num_columns - 1).to_pylist()
             kept = [part.column(i) for i in range(part.num_columns - 1)]
             names = [part.schema.field(i).name for i in range(part.num_columns - 1)]

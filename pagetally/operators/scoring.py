@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pagetally import fixed
 from pagetally.functions.text import strip_fence
-from pagetally.operators.joins import skew_join
-from pagetally.operators.keyed import first_wins, upsert
+from pagetally.operators.keyed import first_wins
 from pagetally.operators.ordering import slice_rows
-from pagetally.session import durable
+from pagetally.session import durable, written
 
 # Workers get the code of this module with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -120,6 +121,20 @@ def parse_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
     )
 
 
+ANSWERS = ("ord bigint, slug string, title string, status string, exposure double, "
+           "rationale string, extras string, reason string, run string, ts timestamp")
+
+
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """The log of answers that runs have appended at ``path``; empty when there is none yet."""
+    try:
+        return spark.read.schema(ANSWERS).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ANSWERS)
+
+
 @dataclass
 class ScoringRun:
     """Outcome of an incremental run: the new score table and one status per item."""
@@ -130,24 +145,51 @@ class ScoringRun:
 
 def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
                       scorer: Callable[[str], str], start: int | None = 0,
-                      end: int | None = None, force: bool = False) -> ScoringRun:
+                      end: int | None = None, force: bool = False, log: str | None = None,
+                      batches: int = 1) -> ScoringRun:
     """Rate the documents of the master rows ``[start:end)`` that have no rating yet.
 
     ``master`` has ``ord, slug, title``, ``docs`` has ``slug, text`` and ``old`` is a score
     table. ``force`` starts from an empty table, so ratings outside the slice are lost then.
-    The scorer runs once per pending document: its replies are checkpointed.
+    The scorer runs once per pending document: its replies are written before they are used.
+
+    ``log`` is a folder to which each of ``batches`` parts of the pending documents, dealt by
+    key, appends its answers when it is done. A run that died is resumed by calling it again:
+    ratings in the log count as known, failed answers are asked for again. Each batch reads the
+    text table once.
     """
+    spark = master.sparkSession
     rows = first_wins(slice_rows(master, start, end).select("ord", "slug", "title"), "slug")
     known = old.limit(0) if force else old
+    if log and not force:
+        # the latest rating of each key that the old table lacks; fixed before the log grows
+        logged = read_answers(spark, log).filter("status = 'scored'").groupBy("slug").agg(
+            F.max_by(F.struct("title", "exposure", "rationale", "extras"), "ts").alias("_row"))
+        known = known.unionByName(
+            written(logged.select("slug", "_row.*").join(old.select("slug"), "slug", "left_anti"),
+                    "logged"), allowMissingColumns=True)
     seen = known.select("slug", F.lit(True).alias("_known"))
-    marked = skew_join(rows, seen, "slug")
+    marked = written(rows.join(seen, "slug", "left"), "marked")
     texts = docs.filter(F.octet_length("text") > 0).select("slug", "text")
     # texts drive this join, so that a short list of pending keys can be broadcast to them
     todo = texts.join(marked.filter("_known is null").drop("_known"), "slug")
-    answers = durable(
-        parse_replies(score_table(todo, scorer))
-        .select("ord", "slug", "title", "status", "exposure", "rationale", "extras",
-                F.coalesce("error", "reason").alias("reason")))
+
+    def answered_by(part: DataFrame) -> DataFrame:
+        return parse_replies(score_table(part, scorer)).select(
+            "ord", "slug", "title", "status", "exposure", "rationale", "extras",
+            F.coalesce("error", "reason").alias("reason"))
+
+    if log:
+        run = uuid.uuid4().hex
+        for number in range(batches):
+            part = todo.filter(F.pmod(F.xxhash64("slug"), F.lit(batches)) == number)
+            answered_by(part).select(
+                F.col("ord").cast("bigint").alias("ord"), "slug", "title", "status", "exposure",
+                "rationale", "extras", "reason", F.lit(run).alias("run"),
+                F.current_timestamp().alias("ts")).write.mode("append").parquet(log)
+        answers = read_answers(spark, log).filter(F.col("run") == run)
+    else:
+        answers = durable(answered_by(todo))
     fresh = answers.filter("status = 'scored'").select(
         "slug", "title", "exposure", "rationale", "extras")
     answered = answers.select("slug", "status", "reason")
@@ -156,4 +198,5 @@ def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
         F.when(F.col("_known"), "cached").otherwise(
             F.coalesce("status", F.lit("no_input"))).alias("status"),
         "reason")
-    return ScoringRun(upsert(known, fresh), statuses)
+    # what is pending is not known: a union, no join
+    return ScoringRun(known.unionByName(fresh, allowMissingColumns=True), statuses)

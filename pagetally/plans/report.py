@@ -19,7 +19,8 @@ END = 2 ** 62   # row of a section's closing line
 
 def rating_listing(records: DataFrame) -> DataFrame:
     """Rows of each rating in record order, numbered from 1, with their report cells."""
-    rated = summaries.on_scale(records).withColumn("exposure", F.col("exposure").cast("int"))
+    rated = summaries.on_scale(records).withColumn("exposure", F.col("exposure").cast("int")).select(
+        "ord", "title", "exposure", "pay", "jobs", "outlook", "education", "rationale")
     numbered = number_rows(rated, record_order(), within="exposure")
     return numbered.select(
         "exposure", "n", "title",
@@ -33,7 +34,8 @@ def rating_listing(records: DataFrame) -> DataFrame:
 
 def movers(records: DataFrame, up: bool) -> DataFrame:
     """Growing or declining records in report order, numbered from 1."""
-    chosen = summaries.growing(records) if up else summaries.declining(records)
+    narrow = records.select("ord", "title", "exposure", "jobs", "outlook")
+    chosen = summaries.growing(narrow) if up else summaries.declining(narrow)
     numbered = number_rows(chosen, growth_order() if up else decline_order())
     return numbered.select(
         "n", "title", "exposure", "outlook", fmt_signed(F.col("outlook")).alias("outlook_text"),

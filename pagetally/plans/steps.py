@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
 from pagetally.operators.joins import pending, skew_joins
 from pagetally.operators.keyed import upsert
-from pagetally.session import durable
+from pagetally.session import written
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -37,18 +38,19 @@ def run_statuses(todo: DataFrame, corpus: DataFrame, done: DataFrame, key: str =
 
 
 def run_steps(catalog: dict[str, DataFrame],
-              steps: dict[str, Callable[[dict[str, DataFrame]], DataFrame]],
-              names: Iterable[str] | None = None) -> tuple[dict[str, DataFrame], list[str]]:
+              steps: dict[str, Callable[..., DataFrame]], names: Iterable[str] | None = None,
+              force: bool = False) -> tuple[dict[str, DataFrame], list[str]]:
     """Run the named steps in the given order over a catalog of tables.
 
-    A step reads tables of the catalog and its result becomes the table of its own name.
-    Results are checkpointed, since later steps build on them. Unknown names are skipped and
-    returned.
+    A step reads tables of the catalog and its result becomes the table of its own name; one
+    with a parameter ``force`` is told whether to redo what is done. Results are written as
+    tables, since later steps build on them. Unknown names are skipped and returned.
     """
     tables, unknown = dict(catalog), []
     for name in (list(steps) if names is None else names):
         if name in steps:
-            tables[name] = durable(steps[name](tables))
+            told = {"force": force} if "force" in inspect.signature(steps[name]).parameters else {}
+            tables[name] = written(steps[name](tables, **told), name)
         else:
             unknown.append(name)
     return tables, unknown

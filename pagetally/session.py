@@ -26,6 +26,7 @@ def build_session(app: str = "pagetally", master: str | None = None, **conf: str
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         # pages are large cells: keep one Arrow batch well below a worker's memory
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
         **conf,
     }
     for key, value in settings.items():
@@ -61,6 +62,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, pruned when it is read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out to all cores when their source has fewer partitions than there are cores.
 

@@ -213,6 +213,22 @@ def test_index_entries_and_aliases(spark, pages):
     assert [(r.alias, r.canonical, r.url) for r in aliases.collect()] == [("Beekeeper", "Beta two", "/b")]
 
 
+def test_unknown_declarations_do_not_lose_a_page(pages):
+    text = one(extract.pages_to_markdown(pages(
+        '<h1>T</h1><![foo[bar]]><div id="panes"><div id="tab-2"><h2>A</h2><p>kept</p></div></div>'))).text
+    assert "kept" in text and text.startswith("# T")
+
+
+def test_large_pages_are_batches_of_their_own():
+    import pyarrow as pa
+    from pagetally.operators import outline
+    big = "<p>" + "x" * outline.BYTES_AT_ONCE + "</p>"
+    batch = pa.RecordBatch.from_pydict({"k": [1, 2, 3, 4, 5], "html": ["a", big, None, "b", ""]})
+    parts = list(outline._outline_batches([batch]))
+    assert [p.column(0).to_pylist() for p in parts] == [[1], [2], [3, 4, 5]]
+    assert list(outline._outline_batches([batch.slice(0, 0)])) == []
+
+
 def test_structured_table_columns_and_missing_pages(spark, pages):
     master = spark.createDataFrame(
         [(0, "Dev", "0", "tech", "u0"), (1, "None", "9", "x", "u9")],

@@ -72,6 +72,14 @@ def test_named_steps(spark):
     assert unknown == ["nope"] and tables["double"].first().text == "xx" and tables["count"].first()[0] == 1
 
 
+def test_forced_steps_are_told(spark):
+    plan = {"made": lambda t, force: t["base"].withColumn("forced", F.lit(force)),
+            "plain": lambda t: t["made"]}
+    for force in (False, True):
+        tables, _ = steps.run_steps({"base": frame(spark, ("a", "x"))}, plan, force=force)
+        assert tables["plain"].first().forced is force
+
+
 def test_arrivals_are_processed_once(spark, tmp_path):
     source, target = str(tmp_path / "pages"), str(tmp_path / "texts")
     step = lambda pages: pages_to_markdown(html_nodes(pages))

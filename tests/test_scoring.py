@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagetally.operators import scoring, summaries
@@ -103,3 +104,38 @@ def test_scorer_runs_once_per_document(spark, tmp_path):
 
     outcome(scoring.score_incremental(master, docs, old, counting))
     assert sorted(path.name.split("-")[0] for path in log.iterdir()) == ["bad one", "boom", "five"]
+
+
+def test_a_run_that_died_is_resumed(spark, tmp_path):
+    rows = [(i, f"s{i}", f"T{i}") for i in range(12)]
+    master = spark.createDataFrame(rows, "ord bigint, slug string, title string")
+    docs = spark.createDataFrame([(f"s{i}", f"text {i}") for i in range(12)], "slug string, text string")
+    old = spark.createDataFrame(
+        [], "slug string, title string, exposure double, rationale string, extras string")
+    calls, down, log = tmp_path / "calls", tmp_path / "down", str(tmp_path / "log")
+    calls.mkdir()
+    batch = {r.slug: r.b for r in docs.select("slug", F.pmod(F.xxhash64("slug"), F.lit(3)).alias("b")).collect()}
+    doomed = {f"text {slug[1:]}" for slug, b in batch.items() if b == 1}
+    assert set(batch.values()) == {0, 1, 2}
+    down.write_text("")
+
+    def counting(text):
+        import uuid
+        if text in doomed and down.exists():
+            raise KeyboardInterrupt     # no failure of a row: it ends the task
+        (calls / f"{text}-{uuid.uuid4().hex}").write_text("")
+        return json.dumps({"exposure": len(text) % 11, "rationale": "r", "more": [1]})
+
+    with pytest.raises(Exception):
+        scoring.score_incremental(master, docs, old, counting, log=log, batches=3)
+    assert {p.name.split("-")[0] for p in calls.iterdir()} == {
+        f"text {slug[1:]}" for slug, b in batch.items() if b == 0}
+    down.unlink()
+    run = scoring.score_incremental(master, docs, old, counting, log=log, batches=3)
+    assert sorted(p.name.split("-")[0] for p in calls.iterdir()) == sorted(f"text {i}" for i in range(12))
+    assert {r.slug: (r.exposure, r.extras) for r in run.scores.collect()} == {
+        f"s{i}": (float(len(f"text {i}")), '{"more":[1]}') for i in range(12)}
+    assert {r.slug: r.status for r in run.statuses.collect()} == {
+        slug: "cached" if b == 0 else "scored" for slug, b in batch.items()}
+    again = scoring.score_incremental(master, docs, old, counting, log=log)
+    assert again.scores.count() == 12 and len(list(calls.iterdir())) == 12
