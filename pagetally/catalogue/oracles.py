@@ -706,6 +706,9 @@ ORACLES["corpus_table"] = """
 SELECT CAST(page_id AS VARCHAR) AS slug, html AS text, strlen(html) AS bytes FROM pages"""
 ORACLES["read_corpus"] = """
 SELECT CAST(page_id AS VARCHAR) AS slug, html AS text FROM pages"""
+ORACLES["empty_files"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS slug, CASE WHEN s_acctbal > 0 THEN s_name ELSE '' END AS text,
+       NOT s_acctbal > 0 AS empty FROM supplier"""
 ORACLES["compact_output"] = ORACLES["build_compact"]
 ORACLES["corpus_paths"] = """
 SELECT doc_id AS ord, '/corpus/' || doc_id || '.html' AS path, CAST(doc_id AS VARCHAR) AS slug FROM documents"""

@@ -738,6 +738,18 @@ def read_corpus(spark, folder):
         "slug", F.regexp_replace("text", "\n$", "").alias("text"))
 
 
+@query
+def empty_files(spark, folder):
+    """One file per supplier with a credit; the others are expected and have no text."""
+    path = scratch_path(spark, "suppliers")
+    suppliers = table(spark, folder, "supplier").withColumn("slug", F.col("s_suppkey").cast("string"))
+    suppliers.filter("s_acctbal > 0").select(
+        F.concat("slug", F.lit(".md")).alias("file"), "s_name").write.partitionBy("file").text(path)
+    found = corpus.with_expected(corpus.read_corpus(spark, path, ".md"), suppliers)
+    return found.select("slug", F.regexp_replace("text", "\n$", "").alias("text"),
+                        (F.col("bytes") == 0).alias("empty"))
+
+
 @query
 def report_file(spark, folder):
     """The report written as ordered text files and read back with each line's place."""

@@ -11,8 +11,9 @@ def read_corpus(spark: SparkSession, path: str, suffix: str = ".html") -> DataFr
     """``(slug, text, bytes)`` from a folder with one file per key.
 
     The key is the file name, or the value of the folder when a writer partitioned the
-    corpus by ``<key><suffix>``. Zero-byte files do not show up in Spark's text reader. Keep a large corpus as a table:
-    millions of small files cost more to list than to read.
+    corpus by ``<key><suffix>``. Zero-byte files do not show up in Spark's text reader; see
+    :func:`with_expected`. Keep a large corpus as a table: millions of small files cost more to
+    list than to read.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     slug = corpus_key(F.url_decode("_metadata.file_path"), suffix)
@@ -23,6 +24,18 @@ def read_corpus(spark: SparkSession, path: str, suffix: str = ".html") -> DataFr
     )
 
 
+def with_expected(corpus: DataFrame, expected: DataFrame, key: str = "slug") -> DataFrame:
+    """The corpus and an empty text for each expected key that it lacks.
+
+    A key whose file is empty or was never written is then found by the checks. Keys are
+    compared; no text is moved.
+    """
+    lacking = expected.select(F.col(key).alias("slug")).filter(F.col("slug").isNotNull()) \
+        .join(corpus.select("slug"), "slug", "left_anti").distinct()
+    return corpus.unionByName(lacking.select(
+        "slug", F.lit("").alias("text"), F.lit(0).cast("bigint").alias("bytes")))
+
+
 def write_corpus(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """``(slug, text)`` as a Parquet table."""
     df.select("slug", "text").write.mode(mode).parquet(path)

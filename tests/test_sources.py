@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pagetally.operators import quality
 from pagetally.sources import corpus, state, tables
 
 
@@ -54,6 +55,17 @@ def test_corpus_files_and_table(spark, tmp_path):
     assert (inventory.component, inventory.n, inventory.n_empty) == ("markdown", 3, 2)
 
 
+def test_expected_files_that_are_empty(spark, tmp_path):
+    (tmp_path / "full.html").write_text("x")
+    (tmp_path / "blank.html").write_text("")
+    expected = spark.createDataFrame([("full",), ("blank",), ("blank",), ("gone",), (None,)], "slug string")
+    found = corpus.with_expected(corpus.read_corpus(spark, str(tmp_path)), expected)
+    assert sorted((r.slug, r.text, r.bytes) for r in found.collect()) == [
+        ("blank", "", 0), ("full", "x", 1), ("gone", "", 0)]
+    result = quality.check_corpus(found, "html_files", "HTML").first()
+    assert (result.is_valid, result.details) == (False, {"empty_files": "blank, gone"})
+
+
 def test_report_files_read_in_order(spark, tmp_path):
     lines = spark.range(5000).select(
         F.floor(F.col("id") / 1000).cast("int").alias("section"), (F.col("id") % 1000).alias("row"),
