@@ -4,7 +4,9 @@ A page is read into blocks of text with their path in the markup. A classifier g
 a cost of being called content and one of being called boilerplate: these are the capacities to
 the two terminals. Neighbouring blocks, and blocks whose parents are near in the tree, are joined
 by smoothness edges. The minimum cut is the cheapest labelling; it is found by augmenting paths.
-Markup that says what it is (menus, footers, forms, comments) has costs too great to be outvoted.
+Elements that are boilerplate by their kind (menus, footers, forms) have costs too great to be
+outvoted. Other tags and the words of class, id and role are terms of the cost beside words, links
+and endings, so that text and neighbours can outvote them.
 """
 
 from __future__ import annotations
@@ -60,6 +62,9 @@ MODIFIERS = frozenset("has no with without js".split())
 HEAD_TAGS = frozenset("title meta link base script style noscript template".split())
 #: Cost that no sum of the others reaches.
 CERTAIN = 1000.0
+#: What a content mark adds to a block's score, and what a boilerplate mark takes off. A strong word
+#: outweighs the longest prose with a content mark inside.
+MARKED, AGAINST, STRONGLY = 3.0, 4.0, 9.0
 #: Weights of the smoothness edges: next in the page, and same or related parent.
 NEXT, NEAR = 0.6, 0.6
 
@@ -80,9 +85,9 @@ class Node:
     depth: int
     hidden: bool = False
     boiler: bool = False
-    content: bool = False
+    content: float = 0.0
+    against: float = 0.0
     link: bool = False
-    header: bool = False
 
 
 @dataclass
@@ -96,28 +101,26 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def _verdict(names: str, tag: str, inside: bool) -> int:
-    """What class, id or role say: -1 for boilerplate, 1 for content, else 0.
+def _verdict(names: str, tag: str, inside: bool) -> float:
+    """What class, id or role say: below 0 for boilerplate, above for content, else 0.
 
     Of several words in one name the last known one counts, as in ``main-nav``.
     """
     if tag in ("html", "body"):
-        return 0
-    found = 0
+        return 0.0
+    found = 0.0
     for name in names.split():
         said = [w.lower() for w in _WORD.findall(name)]
         if not said or said[0] in MODIFIERS:
             continue
         known = [w for w in said if w in BOILER_WORDS or w in CONTENT_WORDS]
         if any(w in STRONG_WORDS for w in said):
-            return -1
+            return -STRONGLY
         if not known or tag in CONTENT_TAGS:
             continue
         if known[-1] in TITLE_WORDS and (inside or len(known) > 1):
             continue
-        if known[-1] in BOILER_WORDS:
-            return -1
-        found = 1
+        found = min(found, -AGAINST) if known[-1] in BOILER_WORDS else found or MARKED
     return found
 
 
@@ -125,14 +128,15 @@ def _opened(tag: str, attributes: str, parent: Node | None) -> Node:
     node = Node(tag, parent, parent.depth + 1 if parent else 0)
     if parent:
         node.hidden, node.boiler = parent.hidden, parent.boiler
-        node.content, node.link, node.header = parent.content, parent.link, parent.header
+        node.content, node.against, node.link = parent.content, parent.against, parent.link
     node.hidden |= tag in HIDDEN
     node.link |= tag == "a"
     node.boiler |= tag in BOILER_TAGS
+    verdicts = [0.0]
     if tag in CONTENT_TAGS:
-        node.content = True
+        node.content = MARKED
     if tag == "header" and not node.content:
-        node.boiler = True
+        verdicts.append(-AGAINST)
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
@@ -140,9 +144,12 @@ def _opened(tag: str, attributes: str, parent: Node | None) -> Node:
                     or name == "style" and _UNSEEN.search(value):
                 node.hidden = True
             elif name in ("class", "id", "role"):
-                verdict = _verdict(value, tag, node.content)
-                node.boiler |= verdict < 0
-                node.content |= verdict > 0
+                verdicts.append(_verdict(value, tag, node.content > 0))
+    if min(verdicts) < 0:
+        # content marks around this element say nothing of it
+        node.content, node.against = 0.0, max(node.against, -min(verdicts))
+    elif max(verdicts) > 0:
+        node.content = MARKED
     return node
 
 
@@ -230,16 +237,11 @@ def blocks(html: str) -> list[Block]:
     return [block for block in found if block.text()]
 
 
-def costs(block: Block, text: str, article: bool) -> tuple[float, float]:
-    """Cost of calling the block content, and of calling it boilerplate.
-
-    ``article``: the page has an element that says it holds the content.
-    """
+def costs(block: Block, text: str) -> tuple[float, float]:
+    """Cost of calling the block content, and of calling it boilerplate."""
     node = block.node
     if node.boiler:
         return CERTAIN, 0.0
-    if article:
-        return (0.0, CERTAIN) if node.content else (CERTAIN / 10, 0.5)
     words = text.count(" ") + 1
     links = block.linked / max(1, len(text))
     ends = text[-1] in ".!?…:;\"'”’)"
@@ -248,8 +250,11 @@ def costs(block: Block, text: str, article: bool) -> tuple[float, float]:
         score = max(score, 0.3)
     elif node.tag in ("p", "blockquote", "pre", "td", "li"):
         score += 0.6 if node.tag == "p" else 0.0
-    if "©" in text or re.match(r"(?i)\s*copyright\b|all rights reserved", text):
+    # a marked text keeps the notices that are its own
+    if not node.content and ("©" in text or re.match(
+            r"(?i)\s*copyright\b|all rights reserved", text)):
         score -= 6
+    score += node.content - node.against
     return max(0.0, -score), max(0.0, score)
 
 
@@ -344,8 +349,7 @@ def main_text(html: str | None) -> str:
     if not found:
         return ""
     texts = [block.text() for block in found]
-    article = any(b.node.content and not b.node.boiler for b in found)
-    pairs = [costs(block, text, article) for block, text in zip(found, texts)]
+    pairs = [costs(block, text) for block, text in zip(found, texts)]
     keep = cut([c for c, _ in pairs], [b for _, b in pairs], _edges(found))
     return "\n".join(text for text, kept in zip(texts, keep) if kept)
 

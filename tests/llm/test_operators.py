@@ -149,6 +149,38 @@ def test_page_text(spark, html, text):
     assert row.n_chars == len(row.text) and (row.text == text or html == "just words")
 
 
+LONG = "This long paragraph tells the reader in some detail what happened on that day in town. "
+
+
+@pytest.mark.parametrize("html, text", [
+    # a mark on one element only does not decide for the rest of the page
+    (f"<h1 class='entry-title'>T</h1><div class='wrap'><p>{LONG}</p><p>{LONG}</p></div>",
+     f"T\n{LONG}\n{LONG}"),
+    (f"<div class='post-meta'><p>By A B</p></div><section><p>{LONG}</p></section>",
+     f"By A B\n{LONG}"),
+    # text outvotes a word of the class, short text does not
+    (f"<div class='promotion'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<main><p>{LONG}</p><div class='sidebar'><p>More here</p><p>Top</p></div></main>", LONG),
+    (f"<main><p>{LONG}</p><div class='comments'><p>{LONG}</p><p>{LONG}</p></div></main>", LONG),
+    (f"<article><p>{LONG}</p><div class='ad'>{LONG * 4}</div><p>{LONG}</p></article>",
+     f"{LONG}\n{LONG}"),
+    # neighbours change a label: without markers, and inside of a marker
+    ("<div><p>Oh yes</p></div>", ""),
+    (f"<div><p>{LONG}</p><p>Oh yes</p><p>{LONG}</p></div>", f"{LONG}\nOh yes\n{LONG}"),
+    ("<article><p><a href='/s'>Source</a></p></article>", ""),
+    (f"<article><p>{LONG}</p><p><a href='/s'>Source</a></p><p>{LONG}</p></article>",
+     f"{LONG}\nSource\n{LONG}"),
+    # what is boilerplate by its kind stays so
+    (f"<article><p>{LONG}</p><nav><p>{LONG}</p></nav><footer>{LONG}</footer></article>", LONG),
+    (f"<article><p>{LONG}</p><p>All rights reserved.</p></article>"
+     "<p>All rights reserved.</p>", f"{LONG}\nAll rights reserved."),
+])
+def test_page_text_is_cut(html, text):
+    def clean(lines):
+        return "\n".join(" ".join(line.split()) for line in lines.split("\n"))
+    assert boilerplate.main_text(html) == clean(text)
+
+
 def test_cut_equals_brute_force():
     rng = random.Random(6)
     for _ in range(200):
