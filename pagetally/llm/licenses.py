@@ -5,16 +5,20 @@ Templates of similar length share a window size, chosen so that any occurrence o
 candidates if they agree in a band of MinHash values; the number of bands follows from the least
 resemblance that a window with a match can have, so that a match is missed with a probability of
 at most ``MISS``. A candidate counts if the window holds the share ``CONTAINED`` of the template's
-five-word shingles, counted exactly.
+five-word shingles, counted exactly. A template of fewer words is one shingle of its own width.
+Of templates that are much alike, such as the notices of GPL and LGPL, one does not count where
+the place that is most like it shows less of what only it has than of what only the other has.
 
-A window without a shingle of any template agrees in no band, so only windows that hold one are
-signed. Texts are read where they lie; nothing is shuffled.
+Only windows that hold enough shingles of a group's templates for a match are signed. Texts are
+read where they lie; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +30,17 @@ from .common import as_bytes, slices
 from .decontamination import WORDS
 
 SHINGLE, CONTAINED, MISS = 5, 0.75, 1e-4
+#: Resemblance from which two templates are told apart by what only one has.
+ALIKE = 0.4
 
-#: Short notices and opening sentences of common licenses.
+#: Notices, short texts and opening sentences of common licenses. Whole texts are in
+#: the folder ``license_texts``.
 TEMPLATES = {
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "agpl-notice":
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice":
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
@@ -40,11 +52,46 @@ TEMPLATES = {
     "cc-by-4.0": "Licensed under CC BY 4.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
+    "cc0": "has waived all copyright and related or neighboring rights to this work",
+    "cc0-1.0": "Licensed under CC0 1.0 Universal.",
+    "epl-1.0-notice":
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License v1.0 which accompanies this distribution",
+    "epl-2.0-notice":
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at",
+    "gpl-1.0-notice":
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 1, or (at your option) any later version.",
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-2.0-notice":
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-notice":
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version.",
+    "isc":
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    "lgpl-2.0-notice":
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Library General Public License as published by the Free Software Foundation; "
+        "either version 2 of the License, or (at your option) any later version.",
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-2.1-notice":
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-3.0-notice":
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
     "mit": "Released under the MIT License.",
     "mit-notice":
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -54,19 +101,45 @@ TEMPLATES = {
         "permit persons to whom the Software is furnished to do so",
     "mpl-2.0":
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "ofl-1.1-notice":
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "unlicense-notice": "This is free and unencumbered software released into the public domain.",
+    "zlib":
+        "This software is provided 'as-is', without any express or implied warranty. In no event "
+        "will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions",
 }
+for _code, *_names in (
+        ("cc-by", "Attribution"),
+        ("cc-by-sa", "Attribution-ShareAlike", "Attribution-Share Alike"),
+        ("cc-by-nc", "Attribution-NonCommercial", "Attribution-Non-Commercial"),
+        ("cc-by-nd", "Attribution-NoDerivatives", "Attribution-NoDerivs"),
+        ("cc-by-nc-sa", "Attribution-NonCommercial-ShareAlike",
+         "Attribution-Non-Commercial-Share Alike"),
+        ("cc-by-nc-nd", "Attribution-NonCommercial-NoDerivatives",
+         "Attribution-NonCommercial-NoDerivs")):
+    for _version in ("3.0 Unported", "4.0 International"):
+        for _kind, _name in zip(("long", "variant"), _names):
+            TEMPLATES[f"{_code}-{_version[:3]}-{_kind}"] = f"Creative Commons {_name} {_version}"
+for _name in ("0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0",
+              "CC0-1.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0",
+              "Unlicense", "Zlib"):
+    TEMPLATES[f"spdx-{_name.lower()}"] = f"SPDX-License-Identifier: {_name}"
 
 
-def word_shingles(text: bytes | None) -> tuple[np.ndarray, int]:
-    """Shingle hashes of a text by the place of their first word, and the number of words.
+@lru_cache(1)
+def all_templates() -> dict[str, str]:
+    """``TEMPLATES`` and the whole texts, as ``name-text``."""
+    files = resources.files(__package__).joinpath("license_texts").iterdir()
+    return TEMPLATES | {f"{f.name[:-4]}-text": f.read_text("utf-8") for f in files
+                        if f.name.endswith(".txt")}
 
-    Words are runs of letters, digits and other than ASCII; a text of fewer than five words, but
-    not none, has its whole sequence as the one shingle.
-    """
-    words, _ = hashing.word_hashes([(text or b"").translate(WORDS)])
-    if 0 < len(words) < SHINGLE:
-        return hashing.runs(words, len(words)), len(words)
-    return hashing.runs(words, SHINGLE), len(words)
+
+def text_words(text: bytes | None) -> np.ndarray:
+    """Hashes of the words of a text: runs of letters, digits and other than ASCII."""
+    return hashing.word_hashes([(text or b"").translate(WORDS)])[0]
 
 
 def bands_for(resemblance: float, miss: float = MISS) -> tuple[int, int]:
@@ -85,17 +158,19 @@ def bands_for(resemblance: float, miss: float = MISS) -> tuple[int, int]:
 
 
 class Group:
-    """Templates of one length class: window, step, bands, and the bands' keys."""
+    """Templates of one length class and shingle size: window, step, bands, and the bands' keys."""
 
-    def __init__(self, members: dict[str, np.ndarray], longest: int) -> None:
-        self.members = members
+    def __init__(self, members: dict[str, np.ndarray], longest: int, shingle: int) -> None:
+        self.members, self.shingle = members, shingle
+        self.known = np.unique(np.concatenate(list(members.values())))
         occurrence = -(-4 * longest // 3) + 1
         self.step = max(1, occurrence // 2)
         #: shingles of a window: an occurrence, wherever it begins within a step
-        self.width = max(1, occurrence + self.step - SHINGLE + 1)
+        self.width = max(1, occurrence + self.step - shingle + 1)
         least = min(len(set(t.tolist())) for t in members.values())
-        held = int(np.ceil(CONTAINED * least))
-        self.bands, self.rows = bands_for(held / (self.width + least - held))
+        #: distinct shingles of a template that a window with a match has at least
+        self.held = int(np.ceil(CONTAINED * least))
+        self.bands, self.rows = bands_for(self.held / (self.width + least - self.held))
         self.keys = defaultdict(set)
         for name, shingles in members.items():
             for key in self.signature(shingles):
@@ -115,44 +190,76 @@ class Scanner:
     """All templates, grouped by length, ready to scan texts."""
 
     def __init__(self, templates: dict[str, str]) -> None:
-        by_length: dict[int, dict[str, np.ndarray]] = defaultdict(dict)
-        longest: dict[int, int] = defaultdict(int)
+        by_length: dict[tuple[int, int], dict[str, np.ndarray]] = defaultdict(dict)
+        longest: dict[tuple[int, int], int] = defaultdict(int)
         for name, text in sorted(templates.items()):
-            shingles, words = word_shingles(text.encode())
-            if words:
-                size = words.bit_length()
-                by_length[size][name] = shingles
-                longest[size] = max(longest[size], words)
-        self.groups = [Group(by_length[k], longest[k]) for k in sorted(by_length)]
-        every = [t for g in self.groups for t in g.members.values()]
-        self.known = np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64)
-
-    def scan(self, shingles: np.ndarray) -> dict[str, tuple[float, int]]:
+            words = text_words(text.encode())
+            if len(words):
+                shingle = min(SHINGLE, len(words))
+                size = shingle, len(words).bit_length()
+                by_length[size][name] = np.unique(hashing.runs(words, shingle))
+                longest[size] = max(longest[size], len(words))
+        self.groups = [Group(by_length[k], longest[k], k[0]) for k in sorted(by_length)]
+        self.shingles = sorted({g.shingle for g in self.groups})
+        self.rivals = self._rivals({n: t for g in self.groups if g.shingle == SHINGLE
+                                    for n, t in g.members.items()})
+
+    @staticmethod
+    def _rivals(members: dict[str, np.ndarray]) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
+        """By template, for each other one that is much alike: what only it, only the other has."""
+        found = defaultdict(list)
+        for name, own in members.items():
+            for other, its in members.items():
+                small, large = sorted((len(own), len(its)))
+                if other == name or small < ALIKE * large:
+                    continue
+                both = len(np.intersect1d(own, its, assume_unique=True))
+                if both >= ALIKE * (small + large - both) and both < len(its):
+                    found[name].append((np.setdiff1d(own, its, True), np.setdiff1d(its, own, True)))
+        return dict(found)
+
+    def _outdone(self, name: str, own: np.ndarray, part: np.ndarray) -> bool:
+        """Whether the place that is most like the template shows more of what another has alone."""
+        if name not in self.rivals:
+            return False
+        total = np.concatenate(([0], np.cumsum(np.isin(part, own))))
+        size, slack = min(len(own), len(part)), max(SHINGLE, len(own) // 4)
+        best = int((total[size:] - total[:len(total) - size]).argmax())
+        part = part[max(0, best - slack):best + size + slack]
+
+        def shown(shingles: np.ndarray) -> float:
+            return float(np.isin(shingles, part).mean()) if len(shingles) else 1.0
+        return any(shown(mine) < shown(its) for mine, its in self.rivals[name])
+
+    def scan(self, words: np.ndarray) -> dict[str, tuple[float, int]]:
         """By template the best containment in a window, and the place of its first match."""
         found: dict[str, tuple[float, int]] = {}
-        if not len(self.known) or not len(shingles):
-            return found
-        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-        hits = np.flatnonzero(self.known[at] == shingles)
-        for group in self.groups if len(hits) else ():
+        runs = {n: hashing.runs(words, n) for n in self.shingles}
+        for group in self.groups:
+            shingles = runs[group.shingle]
+            at = np.minimum(np.searchsorted(group.known, shingles), len(group.known) - 1)
+            hits = np.flatnonzero(group.known[at] == shingles)
+            if len(hits) < group.held:
+                continue
             first = np.maximum(0, (hits - group.width) // group.step + 1)
             windows = np.unique(np.concatenate(
                 [first + k for k in range(-(-group.width // group.step) + 1)]))
-            windows = windows[(windows * group.step < len(shingles))]
-            for window in windows.tolist():
-                start = window * group.step
+            starts = windows[windows * group.step < len(shingles)] * group.step
+            inside = np.searchsorted(hits, starts + group.width) - np.searchsorted(hits, starts)
+            for start in starts[inside >= group.held].tolist():
                 part = shingles[start:start + group.width]
                 candidates = set()
                 for key in group.signature(part):
                     candidates |= group.keys.get(key, set())
                 for name in candidates:
-                    template = group.members[name]
-                    inside = np.isin(part, template)
-                    own = np.unique(template)
-                    share = len(np.unique(part[inside])) / len(own)
-                    place = start + int(inside.argmax())
+                    own = group.members[name]
+                    equal = np.isin(part, own)
+                    share = len(np.unique(part[equal])) / len(own)
+                    place = start + int(equal.argmax())
                     if share >= CONTAINED and (-share, place) < (
-                            -found.get(name, (0.0, 0))[0], found.get(name, (0.0, 0))[1]):
+                            -found.get(name, (0.0, 0))[0], found.get(name, (0.0, 0))[1]) \
+                            and not self._outdone(name, own, shingles[max(0, start - group.width):
+                                                                      start + 2 * group.width]):
                         found[name] = (share, place)
         return found
 
@@ -165,14 +272,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     ignored; an empty table gives no rows. ``templates`` (name to text) go to every task: a list
     of notices, not a corpus.
     """
-    templates = TEMPLATES if templates is None else templates
+    templates = all_templates() if templates is None else templates
     if sum(map(len, templates.values())) > 8 << 20:
         raise ValueError("templates of more than 8 MiB are to be scanned for in parts")
     scanner = Scanner(templates)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            rows = [sorted(scanner.scan(word_shingles(t)[0]).items())
+            rows = [sorted(scanner.scan(text_words(t)).items())
                     for t in as_bytes(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(r) for r in rows], pa.int32()),

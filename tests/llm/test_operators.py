@@ -254,3 +254,44 @@ def test_licenses(spark):
     for similarity in (0.05, 0.3, 0.6, 0.9):
         bands, width = licenses.bands_for(similarity)
         assert (1 - similarity ** width) ** bands <= licenses.MISS * 1.001
+
+
+def test_license_families(spark):
+    filler = " ".join(f"w{i}" for i in range(60))
+    every = licenses.all_templates()
+    texts = {
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.":
+            ["lgpl-2.1-notice"],
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.": ["agpl-notice"],
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.":
+            ["cc-by-4.0-long"],
+        "a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License":
+            ["cc-by-nc-sa-3.0-long"],
+        "This work is licensed under the GNU General Public License, version 3.": ["gpl-3.0"],
+        "This work is licensed under the GNU General Public License, version 2.": ["gpl-2.0"],
+        "SPDX-License-Identifier: MIT": ["spdx-mit"],
+        every["isc"]: ["isc"], every["zlib"]: ["zlib"], every["gpl-notice"]: ["gpl-notice"],
+        every["epl-2.0-notice"]: ["epl-2.0-notice"], every["gpl-notice"] + every["lgpl-2.1-notice"]:
+            ["gpl-notice", "lgpl-2.1-notice"],
+        every["unlicense-text"]: ["unlicense-notice", "unlicense-text"],
+        every["cc0-1.0-text"]: ["cc0-1.0-text"], every["lgpl-3.0-text"]: ["lgpl-3.0-text"],
+        every["gpl-2.0-text"]: ["gpl-2.0-notice", "gpl-2.0-text"],
+        every["epl-1.0-text"]: ["epl-1.0-text"],
+    }
+    docs = docs_of(spark, *(f"{filler} {text} {filler}" for text in texts))
+    rows = {r.doc_id: r.licenses for r in licenses.scan(docs).collect()}
+    assert [rows[i] for i in range(len(texts))] == list(texts.values())
+
+
+def test_short_license_templates(spark):
+    templates = {"one": "Copyleft", "three": "All rights reserved", "five": "a b c d e"}
+    docs = docs_of(spark, "w x All Rights Reserved. y z w x", "copyleft", "a b c copyleft d e f g",
+                   "all rights", None, "a b c d e")
+    rows = {r.doc_id: (r.licenses, r.first_words)
+            for r in licenses.scan(docs, templates).collect()}
+    assert rows == {0: (["three"], [2]), 1: (["one"], [0]), 2: (["one"], [3]), 3: ([], []),
+                    4: ([], []), 5: (["five"], [0])}
