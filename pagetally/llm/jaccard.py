@@ -592,11 +592,30 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all columns."""
+    """The rows of ``docs`` whose id is the smallest of its component, with all columns.
+
+    Where ids repeat or are null, the rows that are left are compared once more, each as a document
+    of its own, so that no two of them are alike; rows with an id go before rows without.
+    """
+    repeated = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.count("*").alias("rows")).filter("rows > 1 OR doc_id IS NULL")
+    unlike = not repeated.isEmpty()
     found = join(docs) if found is None else found
+    left = _without_losers(docs, docs["doc_id"].cast("long"), found)
+    if not unlike:
+        return left
+    # written, so that a row has one number in the join and after it
+    number = F.monotonically_increasing_id() + F.when(
+        F.col("doc_id").isNull(), F.lit(1 << 62)).otherwise(F.lit(0))
+    rows = written(left.withColumn("row number", number), "unlike")
+    found = join(rows.select(F.col("row number").alias("doc_id"), "text"))
+    return _without_losers(rows, rows["row number"], found).drop("row number")
+
+
+def _without_losers(docs: DataFrame, number: Column, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``number`` is not above its component in ``found``."""
     losers = written(found.filter(F.col("doc_id") != F.col("component_id"))
                      .select(F.col("doc_id").alias("lost id")).distinct(), "losers")
     if losers.count() <= BROADCAST_ROWS:
         losers = F.broadcast(losers)
-    return docs.join(losers, docs["doc_id"].cast("long") == losers["lost id"], "left_anti")
-
+    return docs.join(losers, number == losers["lost id"], "left_anti")

@@ -105,6 +105,20 @@ def test_odd_rows(spark):
     assert jaccard.join(frame.limit(0)).collect() == []
 
 
+def test_one_row_of_copies(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    other = " ".join(f"v{i}" for i in range(30))
+    third = " ".join(f"u{i}" for i in range(30))
+    rows = [(4, text), (4, text), (4, text), (9, text), (9, third), (4, other), (None, text),
+            (None, third), (None, third), (None, None), (2, "alone in this table of rows"), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.one_of_each(frame)
+    # 9 goes with 4; of its other text one copy is left, under a null id
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+        [(4, text), (4, other), (None, third), (None, None), (None, ""),
+         (2, "alone in this table of rows")], key=str)
+
+
 def test_sketches_bound_the_difference():
     import numpy as np
     rng = np.random.default_rng(1)
