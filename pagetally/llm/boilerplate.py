@@ -24,14 +24,17 @@ from pyspark.sql import functions as F
 from .common import slices
 
 #: Elements whose text is never shown, or is no text.
-HIDDEN = frozenset("script style template noscript iframe object svg math head title select "
-                   "option textarea button datalist canvas audio video map".split())
+HIDDEN = frozenset("script style template iframe svg head title select option textarea button "
+                   "datalist canvas audio video map annotation annotation-xml".split())
 #: Elements whose content is raw until their end tag.
 RAW = frozenset(("script", "style", "textarea", "title", "iframe", "noembed", "xmp"))
 #: Elements that do not break a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd "
                    "label mark nobr q rb rp rt ruby s samp small span strike strong sub sup time "
-                   "tt u var wbr br".split())
+                   "tt u var wbr br math annotation annotation-xml semantics maction menclose "
+                   "merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts "
+                   "mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr "
+                   "munder munderover".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that an opening tag of the same group ends.
 CLOSED_BY = {"li": ("li",), "p": ("p",), "dt": ("dt", "dd"), "dd": ("dt", "dd"),
@@ -135,7 +138,7 @@ def _opened(tag: str, attributes: str, parent: Node | None) -> Node:
     verdicts = [0.0]
     if tag in CONTENT_TAGS:
         node.content = MARKED
-    if tag == "header" and not node.content:
+    if tag == "header" and not node.content or tag == "noscript":
         verdicts.append(-AGAINST)
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, value in _ATTRIBUTE.findall(attributes):

@@ -181,6 +181,18 @@ def test_page_text_is_cut(html, text):
     assert boilerplate.main_text(html) == clean(text)
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<article><p>So <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup>"
+     "<annotation>E=mc^2</annotation></math> holds.</p></article>", "So E=mc2 holds."),
+    (f"<article><object data='x'><p>{LONG}</p></object><button>Go</button></article>", LONG),
+    (f"<head><noscript>{LONG}</noscript></head><noscript>Please enable JavaScript.</noscript>"
+     f"<article><p>{LONG}</p></article>", LONG),
+    (f"<body><noscript><p>{LONG * 3}</p></noscript></body>", LONG * 3),
+])
+def test_page_text_of_fallbacks(html, text):
+    assert boilerplate.main_text(html) == " ".join(text.split())
+
+
 def test_cut_equals_brute_force():
     rng = random.Random(6)
     for _ in range(200):
