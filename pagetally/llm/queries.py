@@ -11,7 +11,7 @@ from pagetally.session import scratch_path
 
 from . import (boilerplate, chat, decontamination, jaccard, language, licenses, neighbours,
                packing, rollups, toxicity)
-from .common import bounded_batches
+from .common import bounded_batches, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,10 +88,11 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
     Documents come in three batches, the first of which is committed twice; all counts by words
     are kept beside those by the tokenizer. Then each source's odd documents are revised from
-    words to the tokenizer's count under a second version, and documents labelled toxic go.
+    words to the tokenizer's count under a second version, and documents labelled toxic go. Texts
+    are split once: the batches are cut from the counts of single documents.
     """
     docs = _table(spark, folder, "documents")
-    words = rollups.counted(docs, "words/1")
+    words = written(rollups.counted(docs, "words/1"), "words")
     rollup = rollups.Rollup(spark, scratch_path(spark, "rollup"))
     for part in range(3):
         for _ in range(2 if part == 0 else 1):

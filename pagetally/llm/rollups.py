@@ -6,12 +6,15 @@ and appended as one folder of a Parquet log under the batch's name. Totals are t
 log, so they are additive, need no old documents, and can be compacted.
 
 A commit is idempotent: a batch name that is in the log is not written again, and a batch
-counts once even where two writers both wrote it, since each attempt has a number of its own and
-only the first complete one of a batch is read.
+counts once even where two writers both wrote it, since each attempt has a name of its own and
+only the first whole one of a batch is read. Each attempt states in a mark row how many rows it
+has. One of which only a part is there, as when a driver dies while files are published or a store
+publishes them one by one, is not whole: it counts for nothing and its batch can be committed again.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -19,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, written
 from .tokens import encoder
 
 KEYS = ("source", "lang", "tokenizer")
 AMOUNTS = ("documents", "tokens", "characters")
 LOG = "source string, lang string, tokenizer string, documents long, tokens long, " \
-      "characters long, batch string, attempt string"
+      "characters long, batch string, attempt string, rows long"
 
 
 def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -89,31 +92,39 @@ class Rollup:
                 return self.spark.createDataFrame([], LOG)
             raise
 
+    def _whole(self) -> DataFrame:
+        """``batch, attempt`` of the first whole attempt of each batch: one row a batch."""
+        attempts = self._log().groupBy("batch", "attempt").agg(
+            F.count(F.lit(1)).alias("found"), F.max("rows").alias("rows"))
+        return attempts.filter(F.col("found") == F.col("rows")).groupBy("batch").agg(
+            F.min("attempt").alias("attempt"))
+
     def committed(self, batch: str) -> bool:
-        return not self._log().filter(F.col("batch") == batch).isEmpty()
+        """Whether a whole attempt of the batch is in the log."""
+        return not self._whole().filter(F.col("batch") == batch).isEmpty()
 
     def commit(self, batch: str, signed: DataFrame | Callable[[], DataFrame]) -> bool:
         """Append the sums of a batch; False, and nothing done, if it is there already.
 
-        Spark's writer publishes an attempt's files when the whole job has succeeded. Each
-        commit writes at least one row, so that an empty batch is committed too.
+        The sums, one row for each key, are kept first, so that the mark row can state how many
+        there are. Each commit writes at least that row, so that an empty batch is committed too.
+        Attempts are named by time: a later one of another writer does not displace the first.
         """
         if self.committed(batch):
             return False
         signed = signed() if callable(signed) else signed
-        sums = signed.groupBy(*KEYS).agg(*(F.sum(a).alias(a) for a in AMOUNTS))
+        sums = written(signed.groupBy(*KEYS).agg(*(F.sum(a).alias(a) for a in AMOUNTS)), "sums")
         mark = self.spark.range(1).select(
             *(F.lit(None).cast("string").alias(k) for k in KEYS),
-            *(F.lit(0).cast("long").alias(a) for a in AMOUNTS))
-        sums.unionByName(mark).withColumn("batch", F.lit(batch)) \
-            .withColumn("attempt", F.lit(uuid.uuid4().hex)) \
+            *(F.lit(0).cast("long").alias(a) for a in AMOUNTS),
+            F.lit(sums.count() + 1).cast("long").alias("rows"))
+        sums.unionByName(mark, allowMissingColumns=True).withColumn("batch", F.lit(batch)) \
+            .withColumn("attempt", F.lit(f"{time.time_ns():020d}-{uuid.uuid4().hex}")) \
             .write.mode("append").parquet(self.path)
         return True
 
     def _once(self) -> DataFrame:
-        log = self._log()
-        first = log.groupBy("batch").agg(F.min("attempt").alias("attempt"))
-        return log.join(first, ["batch", "attempt"])
+        return self._log().join(self._whole(), ["batch", "attempt"])
 
     def totals(self, *by: str) -> DataFrame:
         """Sums by ``by`` (source, language and tokenizer unless named); rows of nothing go."""
