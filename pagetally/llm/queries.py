@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetally.session import scratch_path
 
 from . import (boilerplate, chat, decontamination, jaccard, language, licenses, neighbours,
-               packing, rollups, toxicity)
+               packing, repair, rollups, toxicity)
 from .common import bounded_batches, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,29 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+@_query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Cheapest repairs of all conversations after damage that depends on their keys.
+
+    Of 20 remainders of ``conv_id:turn``, one drops the row, one empties its text, one takes its
+    sentence ends away, one repeats it, one makes it a user row. Nulls are one space.
+    """
+    rows = _table(spark, folder, "conversations")
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), space))
+    text = F.coalesce("text", space)
+    damaged = rows.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"),
+        (F.crc32(key.cast("binary")) % 20).alias("n"))
+    damaged = damaged.select(
+        "conv_id", "turn", F.when(F.col("n") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("n") == 1, "").when(F.col("n") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text")).alias("text"), (F.col("n") == 0).alias("gone"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("n") == 3, 2).otherwise(1))))
+    return repair.Repair(damaged, "gone").summary()
+
+
 ORACLES = {
     "op1_chat_formatting": r"""
 WITH rows AS (
@@ -183,4 +206,83 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS step),
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations),
+hashed AS (
+    SELECT keyed.*, xor(list_reduce(
+        list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+        lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS n
+    FROM keyed, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE n WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE n WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text
+            END AS text,
+        unnest(range(CASE n WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE n <> 0),
+ordered AS (
+    SELECT conv_id, turn, role, text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                           sha256(role || chr(10) || text)) AS i
+    FROM damaged),
+repeats AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth
+    FROM ordered),
+faulty AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN nth > 1 THEN 2
+            WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+        CASE left(role, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 WHEN 'a' THEN 3 ELSE 4 END AS kind
+    FROM repeats),
+counts AS (
+    SELECT conv_id, count(*) AS size,
+        coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+        count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (before IS NOT NULL AND (before, kind) NOT IN ((1, 2), (2, 3), (3, 2)))
+            AS illegal
+    FROM (SELECT *, lag(kind) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM faulty)
+    GROUP BY conv_id),
+-- best way from each of four states: start, after system, after user, after assistant
+best AS (
+    SELECT conv_id, size + 1 AS i,
+        [{'c': 0::BIGINT, 'a': '', 't': ''},
+         {'c': 6, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'},
+         {'c': 3, 'a': 'I', 't': chr(10) || 'assistant:'}, {'c': 0, 'a': '', 't': ''}] AS v
+    FROM counts
+    UNION ALL
+    SELECT conv_id, i, list_transform([1, 2, 3, 4], lambda s: list_min([w[s],
+        {'c': 3 + w[[3, 3, 4, 3][s]].c, 'a': 'I' || w[[3, 3, 4, 3][s]].a,
+         't': chr(10) || ['user:', 'user:', 'assistant:', 'user:'][s] || w[[3, 3, 4, 3][s]].t},
+        {'c': 6 + w[[4, 4, 3, 4][s]].c, 'a': 'II' || w[[4, 4, 3, 4][s]].a,
+         't': chr(10) || ['user:', 'user:', 'assistant:', 'user:'][s] || chr(10)
+            || ['assistant:', 'assistant:', 'user:', 'assistant:'][s] || w[[4, 4, 3, 4][s]].t}]))
+    FROM (
+        SELECT best.conv_id, faulty.i, list_transform([1, 2, 3, 4], lambda s: list_min([
+            {'c': 4 + v[s].c, 'a': 'D' || v[s].a, 't': v[s].t},
+            CASE WHEN fault NOT IN (1, 2) AND [[2, 3, 0, 0], [0, 3, 0, 0], [0, 0, 4, 0],
+                                               [0, 3, 0, 0]][s][kind] > 0
+                THEN {'c': fault + v[[[2, 3, 0, 0], [0, 3, 0, 0], [0, 0, 4, 0],
+                                      [0, 3, 0, 0]][s][kind]].c,
+                      'a': 'K' || v[[[2, 3, 0, 0], [0, 3, 0, 0], [0, 0, 4, 0],
+                                     [0, 3, 0, 0]][s][kind]].a,
+                      't': chr(10) || role || ':' || text || v[[[2, 3, 0, 0], [0, 3, 0, 0],
+                            [0, 0, 4, 0], [0, 3, 0, 0]][s][kind]].t} END,
+            CASE WHEN fault NOT IN (1, 2) THEN
+                {'c': 3 + fault + v[[3, 3, 4, 3][s]].c, 'a': 'R' || v[[3, 3, 4, 3][s]].a,
+                 't': chr(10) || ['user:', 'user:', 'assistant:', 'user:'][s] || text
+                    || v[[3, 3, 4, 3][s]].t} END])) AS w
+        FROM best JOIN faulty ON faulty.conv_id IS NOT DISTINCT FROM best.conv_id
+            AND faulty.i = best.i - 1))
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(v[1].c, 0) AS cost, coalesce(v[1].a, '') AS audit,
+    sha256(substr(coalesce(v[1].t, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+    LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id AND best.i = 1""",
 }
