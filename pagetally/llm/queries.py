@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pagetally.session import scratch_path
 
-from . import (boilerplate, chat, decontamination, jaccard, language, licenses, neighbours,
-               packing, repair, rollups, toxicity)
+from . import (boilerplate, chat, clusters, decontamination, jaccard, language, licenses,
+               neighbours, packing, repair, rollups, toxicity)
 from .common import bounded_batches, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,12 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+@_query
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight clusters of all embeddings after ten rounds, from hash-chosen first centroids."""
+    return clusters.Clusters(_table(spark, folder, "embeddings")).report()
+
+
 @_query
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Cheapest repairs of all conversations after damage that depends on their keys.
@@ -148,6 +154,44 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.Repair(damaged, "gone").summary()
 
 
+def _clustering_sql(count: int, rounds: int, seed: int) -> str:
+    """Rounds of assignment and exact floor of the mean, one after the other."""
+    text = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id,
+        list_transform(embedding, lambda x: floor({clusters.SCALE} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = {clusters.DIMENSIONS}
+        AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = {clusters.DIMENSIONS}),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY hash, v) - 1 AS number, v AS c
+    FROM (SELECT *, sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')) AS hash FROM kept)
+    ORDER BY hash, v LIMIT {count}),"""
+    for i in range(rounds + 1):
+        text += f"""
+a{i} AS MATERIALIZED (
+    SELECT rid, vec_id, v, min(struct_pack(d := list_sum(list_transform(
+        list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, n := number)) AS best
+    FROM kept, c{i} GROUP BY rid, vec_id, v),"""
+        if i < rounds:
+            text += f"""
+m{i} AS MATERIALIZED (
+    SELECT number, list(mean ORDER BY place) AS c
+    FROM (SELECT best.n AS number, place, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))
+            // count(*) AS mean
+          FROM (SELECT best, unnest(v) AS x, unnest(range(len(v))) AS place FROM a{i})
+          GROUP BY best.n, place)
+    GROUP BY number),
+c{i + 1} AS MATERIALIZED (
+    SELECT number, coalesce(m{i}.c, c{i}.c)::BIGINT[] AS c FROM c{i} LEFT JOIN m{i} USING (number)),"""
+    return text.rstrip(",") + f"""
+SELECT vec_id, best.n::INTEGER AS cluster, best.d AS distance,
+    sum(best.d) OVER (PARTITION BY best.n)::BIGINT AS cluster_inertia,
+    sum(best.d) OVER ()::BIGINT AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON number = best.n"""
+
+
 ORACLES = {
     "op1_chat_formatting": r"""
 WITH rows AS (
@@ -206,6 +250,7 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)""",
+    "op12_centroid_clustering": _clustering_sql(8, 10, 3),
     "op13_conversation_repair": r"""
 WITH RECURSIVE crc AS (
     SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
