@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetally.session import scratch_path
 
 from . import (boilerplate, chat, clusters, decontamination, jaccard, language, licenses,
-               neighbours, packing, repair, rollups, toxicity)
+               neighbours, packing, repair, rollups, toxicity, urls)
 from .common import bounded_batches, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,12 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+@_query
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return urls.judged(_table(spark, folder, "pages").select("page_id", "url"))
+
+
 @_query
 def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     """Eight clusters of all embeddings after ten rounds, from hash-chosen first centroids."""
