@@ -438,6 +438,11 @@ ORACLES["score_table"] = """
 SELECT CAST(doc_id AS VARCHAR) AS slug,
        '{"exposure": ' || (length(text) % 11) || ', "rationale": "' || length(text) || ' characters"}' AS reply
 FROM documents WHERE text <> ''"""
+ORACLES["score_documents"] = """
+SELECT CAST(doc_id AS VARCHAR) AS slug, CASE WHEN length(text) % 7 <> 0 THEN
+       '{"exposure": ' || (length(text) % 11) || ', "rationale": "' || length(text) || ' characters"}' END AS reply,
+       CASE WHEN length(text) % 7 = 0 THEN 'refused' END AS error
+FROM documents WHERE text <> ''"""
 ORACLES["score_incremental"] = """
 SELECT CAST(d.doc_id AS VARCHAR) AS slug,
        CASE WHEN l.doc_id IS NULL THEN source || ' ' || d.doc_id ELSE 'old' END AS title,

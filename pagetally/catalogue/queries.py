@@ -13,6 +13,7 @@ from pagetally.functions.formatting import fmt_magnitude, fmt_money, fmt_signed
 from pagetally.functions.parsing import impute_pay, parse_number, parse_outlook, parse_pay
 from pagetally.functions.text import clean_text, corpus_key, corpus_path, strip_fence, text_sizes
 from pagetally.operators import extract, joins, keyed, ordering, quality, scoring, summaries
+from pagetally.operators.calls import CallPolicy, Retry
 from pagetally.operators.outline import html_nodes, node_rows
 from pagetally.plans import report, steps
 from pagetally.session import durable, scratch_path, spread
@@ -357,6 +358,14 @@ def score_table(spark, folder):
     return replies.select("slug", "reply")
 
 
+@query
+def score_documents(spark, folder):
+    """Ratings with many calls in flight, equal texts asked once, by a service that fails."""
+    policy = CallPolicy(in_flight=32, retries=(Retry((ConnectionError,), first_wait=0.01),))
+    return scoring.score_documents(
+        standins.document_corpus(spark, folder), scoring.shaky_scorer, policy)
+
+
 def _scoring_run(spark, folder):
     old = standins.label_scores(spark, folder).select(
         "slug", F.lit("old").alias("title"), "exposure", "rationale",

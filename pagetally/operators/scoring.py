@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from pagetally import fixed
 from pagetally.functions.text import strip_fence
+from pagetally.operators.calls import CallPolicy, Calls
+from pagetally.operators.joins import skew_join
 from pagetally.operators.keyed import first_wins
 from pagetally.operators.ordering import slice_rows
 from pagetally.session import durable, written
@@ -36,14 +38,39 @@ def length_scorer(text: str) -> str:
     return json.dumps({"exposure": len(text) % 11, "rationale": f"{len(text)} characters"})
 
 
-def score_table(docs: DataFrame, scorer: Callable[[str], str], text: str = "text") -> DataFrame:
+_FIRST_TRIES: set[str] = set()
+
+
+def shaky_scorer(text: str) -> str:
+    """A stand-in that fails as services do: each text's first try in a process loses its
+    connection, and texts whose length is a multiple of 7 are refused."""
+    if text not in _FIRST_TRIES:
+        _FIRST_TRIES.add(text)
+        raise ConnectionError("connection lost")
+    _FIRST_TRIES.discard(text)
+    if len(text) % 7 == 0:
+        raise ValueError("refused")
+    return length_scorer(text)
+
+
+def score_table(docs: DataFrame, scorer: Callable[[str], str], text: str = "text",
+                policy: CallPolicy | None = None) -> DataFrame:
     """Replies of ``scorer`` to each text: all columns but the text, ``reply`` and ``error``.
 
-    An exception fails its row only. Rows without text are not sent.
+    An exception fails its row only. Rows without text are not sent. Without ``policy`` each core
+    has one call at a time; with one, ``scorer`` may be a coroutine function, and each task keeps
+    a window of calls in flight (see :class:`CallPolicy`). Replies and their order are the same.
     """
     kept = [name for name in docs.columns if name != text]
+    # no more tasks than this run at once, so the shares of a rate add up to it at most
+    pause = policy.pause(docs.sparkSession.sparkContext.defaultParallelism) if policy else 0.0
+
+    def answered(batch, replies, errors):
+        return batch[kept].assign(
+            reply=pd.Series(replies, index=batch.index, dtype=object),
+            error=pd.Series(errors, index=batch.index, dtype=object))
 
-    def reply_to(batches):
+    def one_by_one(batches):
         for batch in batches:
             replies, errors = [], []
             for document in batch[text]:
@@ -53,15 +80,51 @@ def score_table(docs: DataFrame, scorer: Callable[[str], str], text: str = "text
                 except Exception as problem:  # user code: any failure is that row's outcome
                     replies.append(None)
                     errors.append(str(problem))
-            yield batch[kept].assign(
-                reply=pd.Series(replies, index=batch.index, dtype=object),
-                error=pd.Series(errors, index=batch.index, dtype=object))
+            yield answered(batch, replies, errors)
+
+    def many_at_once(batches):
+        begun = []      # batches whose rows are being asked: the window runs on into the next one
+
+        def texts():
+            for batch in batches:
+                begun.append(batch)
+                yield from batch[text]
+
+        replies, errors = [], []
+        for reply, error in Calls(scorer, policy, pause).answers(texts()):
+            replies.append(reply)
+            errors.append(error)
+            if len(replies) == len(begun[0]):
+                yield answered(begun.pop(0), replies, errors)
+                replies, errors = [], []
+                while begun and not len(begun[0]):
+                    begun.pop(0)
 
     schema = T.StructType([
         *[docs.schema[name] for name in kept],
         T.StructField("reply", T.StringType()), T.StructField("error", T.StringType())])
     filled = docs.select(*kept, text).filter(F.octet_length(text) > 0)
-    return filled.mapInPandas(reply_to, schema)
+    return filled.mapInPandas(many_at_once if policy else one_by_one, schema)
+
+
+def score_documents(docs: DataFrame, scorer: Callable[[str], str],
+                    policy: CallPolicy = CallPolicy(), text: str = "text") -> DataFrame:
+    """As :func:`score_table`, but equal texts are asked once and get the same reply.
+
+    Texts are equal when their SHA-256 is. The answers are written before they are used, so that
+    nothing is asked twice when a later stage is repeated. The different texts are dealt over as
+    many tasks as there are shuffle partitions or cores, whatever their size, since it is calls
+    that take the time.
+    """
+    spark, key = docs.sparkSession, "_text_sha256"
+    filled = docs.filter(F.octet_length(text) > 0).withColumn(
+        key, F.sha2(F.col(text).cast("binary"), 256))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                spark.sparkContext.defaultParallelism)
+    questions = filled.groupBy(key).agg(F.any_value(text).alias(text)).repartition(tasks, key)
+    answers = written(score_table(questions, scorer, text, policy), "answers")
+    kept = [name for name in docs.columns if name != text]
+    return skew_join(filled.select(*kept, key), answers, key, "left").drop(key)
 
 
 def score_requests(docs: DataFrame, model: str, rubric: str = RUBRIC,
@@ -146,7 +209,7 @@ class ScoringRun:
 def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
                       scorer: Callable[[str], str], start: int | None = 0,
                       end: int | None = None, force: bool = False, log: str | None = None,
-                      batches: int = 1) -> ScoringRun:
+                      batches: int = 1, policy: CallPolicy | None = None) -> ScoringRun:
     """Rate the documents of the master rows ``[start:end)`` that have no rating yet.
 
     ``master`` has ``ord, slug, title``, ``docs`` has ``slug, text`` and ``old`` is a score
@@ -156,7 +219,7 @@ def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
     ``log`` is a folder to which each of ``batches`` parts of the pending documents, dealt by
     key, appends its answers when it is done. A run that died is resumed by calling it again:
     ratings in the log count as known, failed answers are asked for again. Each batch reads the
-    text table once.
+    text table once. With ``policy`` calls run as :func:`score_documents` says.
     """
     spark = master.sparkSession
     rows = first_wins(slice_rows(master, start, end).select("ord", "slug", "title"), "slug")
@@ -175,7 +238,8 @@ def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
     todo = texts.join(marked.filter("_known is null").drop("_known"), "slug")
 
     def answered_by(part: DataFrame) -> DataFrame:
-        return parse_replies(score_table(part, scorer)).select(
+        replies = score_documents(part, scorer, policy) if policy else score_table(part, scorer)
+        return parse_replies(replies).select(
             "ord", "slug", "title", "status", "exposure", "rationale", "extras",
             F.coalesce("error", "reason").alias("reason"))
 
