@@ -738,25 +738,22 @@ def corpus_table(spark, folder):
 
 @query
 def read_corpus(spark, folder):
-    """One file per page, each in a folder named by its key."""
+    """One file per page, written under its key and read back."""
     path = scratch_path(spark, "pages")
-    pages = table(spark, folder, "pages").select(
-        F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("file"), "html")
-    pages.write.partitionBy("file").text(path)
-    return corpus.read_corpus(spark, path, ".html").select(
-        "slug", F.regexp_replace("text", "\n$", "").alias("text"))
+    corpus.write_corpus_files(table(spark, folder, "pages").select(
+        F.col("page_id").cast("string").alias("slug"), F.col("html").alias("text")), path, ".html")
+    return corpus.read_corpus(spark, path, ".html").select("slug", "text")
 
 
 @query
 def empty_files(spark, folder):
-    """One file per supplier with a credit; the others are expected and have no text."""
+    """One file per supplier, empty for those without a credit."""
     path = scratch_path(spark, "suppliers")
-    suppliers = table(spark, folder, "supplier").withColumn("slug", F.col("s_suppkey").cast("string"))
-    suppliers.filter("s_acctbal > 0").select(
-        F.concat("slug", F.lit(".md")).alias("file"), "s_name").write.partitionBy("file").text(path)
-    found = corpus.with_expected(corpus.read_corpus(spark, path, ".md"), suppliers)
-    return found.select("slug", F.regexp_replace("text", "\n$", "").alias("text"),
-                        (F.col("bytes") == 0).alias("empty"))
+    corpus.write_corpus_files(table(spark, folder, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("slug"),
+        F.when(F.col("s_acctbal") > 0, F.col("s_name")).otherwise("").alias("text")), path, ".md")
+    return corpus.read_corpus(spark, path, ".md").select(
+        "slug", "text", (F.col("bytes") == 0).alias("empty"))
 
 
 @query

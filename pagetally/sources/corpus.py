@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagetally.functions.text import corpus_key
+from pagetally.sources.files import file_system, read_files, write_files
 
 
-def read_corpus(spark: SparkSession, path: str, suffix: str = ".html") -> DataFrame:
-    """``(slug, text, bytes)`` from a folder with one file per key.
+def read_corpus(spark: SparkSession, path: str, suffix: str = ".html",
+                escaped: bool = False) -> DataFrame:
+    """``(slug, text, bytes)`` from a folder with one file per key; empty files are rows too.
 
     The key is the file name, or the value of the folder when a writer partitioned the
-    corpus by ``<key><suffix>``. Zero-byte files do not show up in Spark's text reader; see
-    :func:`with_expected`. Keep a large corpus as a table: millions of small files cost more to
-    list than to read.
+    corpus by ``<key><suffix>``; ``escaped`` names are those of :func:`write_corpus_files`. The
+    files are listed once and packed by bytes into tasks. A store that only Spark's own readers
+    reach is read through them; these skip empty files (see :func:`with_expected`). Keep a large
+    corpus as a table: millions of small files cost more to list than to read.
     """
+    try:
+        file_system(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return _read_by_spark(spark, path, suffix, escaped)
+    return read_files(spark, path, suffix, escaped)
+
+
+def _read_by_spark(spark: SparkSession, path: str, suffix: str, escaped: bool) -> DataFrame:
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    slug = corpus_key(F.url_decode("_metadata.file_path"), suffix)
+    # a path is percent-encoded by Spark, and an escaped name once more by its writer; a plus sign
+    # stands for itself
+    name = F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))
+    slug = corpus_key(F.url_decode(name), suffix)
+    if escaped:
+        slug = F.url_decode(F.replace(slug, F.lit("+"), F.lit("%2B")))
     return files.filter(slug != "").select(
         slug.alias("slug"),
         F.col("value").alias("text"),
@@ -24,6 +41,15 @@ def read_corpus(spark: SparkSession, path: str, suffix: str = ".html") -> DataFr
     )
 
 
+def write_corpus_files(df: DataFrame, path: str, suffix: str = ".html") -> None:
+    """``(slug, text)`` as one file per key, all of them or none.
+
+    Files appear under their names when every task has written its own; a task that fails or runs
+    twice leaves neither halves nor repeats. Characters that file names cannot hold are escaped.
+    """
+    write_files(df, path, suffix)
+
+
 def with_expected(corpus: DataFrame, expected: DataFrame, key: str = "slug") -> DataFrame:
     """The corpus and an empty text for each expected key that it lacks.
 
