@@ -72,7 +72,7 @@ class Simplex:
                     break
                 self.base = np.pad(np.vstack([self.base, apex[best]]), ((0, 0), (0, 1)))
                 chosen.append(best)
-        self.pivots = sample[chosen].astype(np.int64).reshape(len(chosen), -1)
+        self.pivots = sample[chosen].astype(np.int64)
 
     @staticmethod
     def _project(pivots: np.ndarray, points: np.ndarray, base: np.ndarray) -> np.ndarray:
@@ -136,7 +136,7 @@ class Clusters:
         # the vectors of the smallest hashes: a bounded sample for centroids and pivots
         first = kept.withColumn("hash", order_hash(seed, F.col("key"))).orderBy("hash", "v") \
             .limit(max(count, PIVOT_SAMPLE)).select("v").collect()
-        sample = np.array([r.v for r in first], np.int64).reshape(len(first), -1)
+        sample = np.array([r.v for r in first], np.int64).reshape(len(first), DIMENSIONS)
         if len(sample) and np.abs(sample).max() >= LARGEST:
             raise ValueError(f"components beyond {LARGEST}")
         self.simplex = Simplex(sample)

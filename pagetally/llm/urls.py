@@ -203,9 +203,13 @@ def cut(scores: DataFrame) -> float:
     steps = sorted({s for c in counts.values() for s in c})
     below = {True: 0, False: 0}
     best = []
-    for step in [*steps, steps[-1] + 1]:
+    for before, step in zip([None, *steps], [*steps, None]):
         right = (totals[True] - below[True]) * totals[False] + below[False] * totals[True]
-        best.append((-right, abs(step), step))
+        # all cuts above ``before`` and up to ``step`` part the URLs alike: the one nearest to 0
+        low, high = before if before is None else before + 1, step
+        near = max(0, low) if low is not None else 0
+        near = near if high is None else min(near, high)
+        best.append((-right, abs(near), near))
         for good in below:
             below[good] += counts[good].get(step, 0)
     return min(best)[2] / STEPS
