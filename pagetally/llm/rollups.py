@@ -28,7 +28,7 @@ from .tokens import encoder
 KEYS = ("source", "lang", "tokenizer")
 AMOUNTS = ("documents", "tokens", "characters")
 LOG = "source string, lang string, tokenizer string, documents long, tokens long, " \
-      "characters long, batch string, attempt string, rows long"
+      "characters long, batch string, rows long, attempt string"
 
 
 def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -118,9 +118,9 @@ class Rollup:
             *(F.lit(None).cast("string").alias(k) for k in KEYS),
             *(F.lit(0).cast("long").alias(a) for a in AMOUNTS),
             F.lit(sums.count() + 1).cast("long").alias("rows"))
+        # a folder for each attempt: two writers to one would take each other's unfinished files away
         sums.unionByName(mark, allowMissingColumns=True).withColumn("batch", F.lit(batch)) \
-            .withColumn("attempt", F.lit(f"{time.time_ns():020d}-{uuid.uuid4().hex}")) \
-            .write.mode("append").parquet(self.path)
+            .write.parquet(f"{self.path}/attempt={time.time_ns():020d}-{uuid.uuid4().hex}")
         return True
 
     def _once(self) -> DataFrame:

@@ -21,7 +21,7 @@ def documents(spark, n, seed=3):
 
 
 def parts(path):
-    return {f.name for f in path.glob("part-*")}
+    return {f.relative_to(path) for f in path.glob("*/part-*")}
 
 
 def test_torn_attempt_is_committed_again(spark, tmp_path):
@@ -37,13 +37,13 @@ def test_torn_attempt_is_committed_again(spark, tmp_path):
         rollup.commit("b", rollups.changes(inserted=counts.filter("doc_id >= 10")))
         whole = sorted(map(tuple, rollup.totals().collect()), key=str)
         new = sorted(parts(path) - old)
-        has_mark = {f: any(n is not None for n in pq.read_table(path / f)["rows"].to_pylist())
+        has_mark = {f: any(n is not None for n in pq.ParquetFile(path / f).read()["rows"].to_pylist())
                     for f in new}
         assert len(new) > 1 and sum(has_mark.values()) == 1
         for name in new:
             if has_mark[name] != keep_mark:
-                (path / name).rename(path / f"_lost-{name}")
-                (path / f".{name}.crc").unlink(missing_ok=True)
+                (path / name).rename((path / name).parent / f"_lost-{name.name}")
+                (path / name).with_name(f".{name.name}.crc").unlink(missing_ok=True)
         assert not rollup.committed("b") and rollup.committed("a")
         assert sorted(map(tuple, rollup.totals().collect()), key=str) == sorted(
             map(tuple, before), key=str)
