@@ -191,7 +191,8 @@ ANSWERS = ("ord bigint, slug string, title string, status string, exposure doubl
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
     """The log of answers that runs have appended at ``path``; empty when there is none yet."""
     try:
-        return spark.read.schema(ANSWERS).parquet(path)
+        columns = [part.split()[0] for part in ANSWERS.split(", ")]
+        return spark.read.schema(ANSWERS).parquet(path).select(*columns)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -249,8 +250,9 @@ def score_incremental(master: DataFrame, docs: DataFrame, old: DataFrame,
             part = todo.filter(F.pmod(F.xxhash64("slug"), F.lit(batches)) == number)
             answered_by(part).select(
                 F.col("ord").cast("bigint").alias("ord"), "slug", "title", "status", "exposure",
-                "rationale", "extras", "reason", F.lit(run).alias("run"),
-                F.current_timestamp().alias("ts")).write.mode("append").parquet(log)
+                "rationale", "extras", "reason", F.current_timestamp().alias("ts")
+                # a folder of its own: two runs may write to one log
+            ).write.parquet(f"{log.rstrip('/')}/run={run}/batch={number}")
         answers = read_answers(spark, log).filter(F.col("run") == run)
     else:
         answers = durable(answered_by(todo))
