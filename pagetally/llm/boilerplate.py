@@ -4,7 +4,7 @@ A page is read into blocks of text with their path in the markup. A classifier g
 a cost of being called content and one of being called boilerplate: these are the capacities to
 the two terminals. Neighbouring blocks, and blocks whose parents are near in the tree, are joined
 by smoothness edges. The minimum cut is the cheapest labelling; it is found by augmenting paths.
-Elements that are boilerplate by their kind (menus, footers, forms) have costs too great to be
+Elements that are boilerplate by their kind (menus, footers) have costs too great to be
 outvoted. Other tags and the words of class, id and role are terms of the cost beside words, links
 and endings, so that text and neighbours can outvote them.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Generator, Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -45,7 +45,7 @@ ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset fig
                            "h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table "
                            "ul".split())
 #: Elements and words of class, id or role that mark boilerplate, and such that mark content.
-BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
+BOILER_TAGS = frozenset("nav footer aside menu dialog fieldset".split())
 BOILER_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs footer foot header masthead topbar "
     "banner sidebar side aside rail ad ads advert adverts advertisement advertising adsbox "
@@ -71,9 +71,9 @@ MARKED, AGAINST, STRONGLY = 3.0, 4.0, 9.0
 #: Weights of the smoothness edges: next in the page, and same or related parent.
 NEXT, NEAR = 0.6, 0.6
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>", re.S)
-_UNENDED = re.compile(r"<[a-zA-Z/!?].*", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>", re.S)
+#: A tag that ends at the first ``>``, for pages whose quotes do not pair.
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|"
                         r"[^\s\"'>]+))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -90,7 +90,10 @@ class Node:
     boiler: bool = False
     content: float = 0.0
     against: float = 0.0
+    form: float = 0.0
     link: bool = False
+    #: The nearest element, this one included, that is not inline.
+    holder: Node | None = None
 
 
 @dataclass
@@ -127,17 +130,23 @@ def _verdict(names: str, tag: str, inside: bool) -> float:
     return found
 
 
-def _opened(tag: str, attributes: str, parent: Node | None) -> Node:
-    node = Node(tag, parent, parent.depth + 1 if parent else 0)
-    if parent:
-        node.hidden, node.boiler = parent.hidden, parent.boiler
-        node.content, node.against, node.link = parent.content, parent.against, parent.link
+def _opened(tag: str, attributes: str, parent: Node, first: bool) -> Node:
+    """A new element; ``first`` says that nothing of the page has been said before it.
+
+    A form is boilerplate as strongly as any mark says, but for an article inside it, and for a form
+    that wraps the page from its start.
+    """
+    node = Node(tag, parent, parent.depth + 1, parent.hidden, parent.boiler, parent.content,
+                parent.against, parent.form, parent.link)
+    node.holder = parent.holder if tag in INLINE else node
+    if tag == "form" and not (first and parent.tag in ("", "html", "body", "div")):
+        node.content, node.form = 0.0, STRONGLY
     node.hidden |= tag in HIDDEN
     node.link |= tag == "a"
     node.boiler |= tag in BOILER_TAGS
     verdicts = [0.0]
     if tag in CONTENT_TAGS:
-        node.content = MARKED
+        node.content, node.form = MARKED, 0.0
     if tag == "header" and not node.content or tag == "noscript":
         verdicts.append(-AGAINST)
     if attributes and "=" in attributes or "hidden" in attributes:
@@ -156,12 +165,54 @@ def _opened(tag: str, attributes: str, parent: Node | None) -> Node:
     return node
 
 
+def _tags(html: str) -> Generator[tuple[int, int, re.Match | str | None], int | None, None]:
+    """(start, end, match) of each tag, with the text of a CDATA section or None for comments.
+
+    One pass: what has no end is looked for once. A tag without an end, its quotes closed or not,
+    ends the page. When a tag's quotes swallow the rest of the page, quotes no longer count.
+    """
+    last = html.rfind(">")
+    at, pattern, sections = 0, _TAG, True
+    while (at := html.find("<", at)) >= 0:
+        mark = html[at + 1:at + 2]
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            end = len(html) if end < 0 else end + 3
+            yield at, end, None
+        elif mark in ("!", "?"):
+            end = html.find("]]>", at) if sections and html.startswith("<![CDATA[", at) else -1
+            sections = sections and (end >= 0 or not html.startswith("<![CDATA[", at))
+            if end >= 0:
+                yield at, end + 3, html[at + 9:end]
+                end += 3
+            else:
+                end = html.find(">", at) + 1 or len(html)
+                yield at, end, None
+        elif mark.isascii() and mark.isalpha() or mark == "/" and html[at + 2:at + 3].isascii() \
+                and html[at + 2:at + 3].isalpha():
+            match = pattern.match(html, at) if at < last else None
+            if match is None and at < last:
+                pattern = _PLAIN_TAG
+                match = pattern.match(html, at)
+            if match is None:
+                yield at, len(html), None
+                return
+            # the reader of the page may go on behind an element's raw text
+            end = (yield at, match.end(), match) or match.end()
+        else:
+            at += 1
+            continue
+        at = end
+
+
 def blocks(html: str) -> list[Block]:
     """The visible blocks of a page, in page order."""
-    stack = [Node("", None, 0)]
+    root = Node("", None, 0)
+    root.holder = root
+    stack = [root]
+    open_at: dict[str, list[int]] = {}
     found: list[Block] = []
     current: Block | None = None
-    at = 0
 
     def said(text: str) -> None:
         nonlocal current
@@ -171,29 +222,34 @@ def blocks(html: str) -> list[Block]:
         if current is None:
             if text.isspace():
                 return
-            holder = node
-            while holder.tag in INLINE and holder.parent:
-                holder = holder.parent
-            current = Block(holder)
+            current = Block(node.holder)
             found.append(current)
         text = unescape(text)
         current.parts.append(text)
         if node.link:
             current.linked += len(text)
 
+    def close(index: int) -> None:
+        for node in stack[index:]:
+            open_at[node.tag].pop()
+        del stack[index:]
+
+    at, tags, skip = 0, _tags(html), None
     while True:
-        match = _TAG.search(html, at)
-        if match is None:
-            said(_UNENDED.sub("", html[at:]))
+        try:
+            start, end, match = tags.send(skip)
+        except StopIteration:
+            said(html[at:])
             break
-        said(html[at:match.start()])
-        at = match.end()
-        tag = match[2]
-        if tag is None:
-            if match[0].startswith("<![CDATA["):
-                said(match[0][9:-3].replace("&", "&amp;"))
+        skip = None
+        said(html[at:start])
+        at = end
+        if match is None:
             continue
-        tag = tag.lower()
+        if isinstance(match, str):
+            said(match.replace("&", "&amp;"))
+            continue
+        tag = match[2].lower()
         if tag == "br":
             if current is not None:
                 current.parts.append(" ")
@@ -202,40 +258,34 @@ def blocks(html: str) -> list[Block]:
         if not inline:
             current = None
         if match[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if inline and stack[i].tag not in INLINE:
-                    break
+            places = open_at.get(tag)
+            # an inline element ends only inside its block
+            if places and (not inline or places[-1] > stack[-1].holder.depth):
+                close(places[-1])
             continue
         if tag in VOID:
             continue
         if stack[-1].tag == "head" and tag not in HEAD_TAGS:
-            stack.pop()
+            close(len(stack) - 1)
         ends = CLOSED_BY.get(tag, ())
         if tag in ENDS_PARAGRAPH and "p" not in ends:
             ends = (*ends, "p")
-        if not inline:
-            # formatting that a paragraph left open ends with it
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
-                    del stack[i:]
-                    break
-                if stack[i].tag not in INLINE:
-                    break
-        node = _opened(tag, match[3], stack[-1])
+        # formatting that a paragraph left open ends with it
+        if not inline and stack[-1].holder.tag in ends:
+            close(stack[-1].holder.depth)
+        node = _opened(tag, match[3], stack[-1], not found)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            raw = html[at:end.start() if end else len(html)]
+            finish = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            raw = html[at:finish.start() if finish else len(html)]
             if tag == "xmp" and not node.hidden:
                 stack.append(node)
                 said(raw.replace("&", "&amp;"))
                 stack.pop()
-            at = end.end() if end else len(html)
+            at = skip = finish.end() if finish else len(html)
             continue
         if match[3].endswith("/") and inline:
             continue
+        open_at.setdefault(tag, []).append(len(stack))
         stack.append(node)
     return [block for block in found if block.text()]
 
@@ -257,7 +307,7 @@ def costs(block: Block, text: str) -> tuple[float, float]:
     if not node.content and ("©" in text or re.match(
             r"(?i)\s*copyright\b|all rights reserved", text)):
         score -= 6
-    score += node.content - node.against
+    score += node.content - max(node.against, node.form)
     return max(0.0, -score), max(0.0, score)
 
 
