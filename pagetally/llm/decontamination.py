@@ -137,10 +137,14 @@ def _bound(ids: np.ndarray, suffixes: np.ndarray, words: np.ndarray, starts: np.
 
 def _shared(a: np.ndarray, i: int, b: np.ndarray, j: int) -> int:
     """Words that two suffixes have in common from their beginning."""
-    n = 0
-    while i + n < len(a) and j + n < len(b) and a[i + n] and a[i + n] == b[j + n]:
-        n += 1
-    return n
+    n, step = 0, 16
+    while True:
+        x, y = a[i + n:i + n + step], b[j + n:j + n + step]
+        size = min(len(x), len(y))
+        differ = np.flatnonzero((x[:size] != y[:size]) | (x[:size] == 0))
+        if len(differ) or not size:
+            return n + (int(differ[0]) if len(differ) else 0)
+        n, step = n + size, min(2 * step, 1 << 16)
 
 
 class Shard:
@@ -174,11 +178,11 @@ class Shard:
         first = self.able[np.append(True, np.diff(self.able) > 1)]
         sizes = room[first] + 1
         offsets = np.concatenate(([0], np.cumsum(sizes)))
-        source = np.repeat(first - offsets[:-1], sizes) + np.arange(offsets[-1])
-        small = self.ids[source]
-        at = np.flatnonzero(np.isin(source, self.able, assume_unique=True))
-        ordered, _ = sorted_suffixes(small, at, self.items.depth)
-        return source[ordered]
+        self.source = np.repeat(first - offsets[:-1], sizes) + np.arange(offsets[-1])
+        self.able_at = np.flatnonzero(np.isin(self.source, self.able, assume_unique=True))
+        # windows are found by their own words; longer matches are sorted where there are any
+        ordered, _ = sorted_suffixes(self.ids[self.source], self.able_at, int(self.items.sizes.max()))
+        return self.source[ordered]
 
     def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per word whether it is hit; pairs (document, window) that occur."""
@@ -199,25 +203,54 @@ class Shard:
     def longest(self) -> dict[int, tuple[int, int, int]]:
         """By document (length, first word, item) of the longest match that a suffix search meets.
 
-        Every benchmark suffix is placed by binary search; its longest match in the shard is
-        with one of the two suffixes beside the place. Only matches of whole windows count.
+        Benchmark suffixes that begin with a whole window's words of this shard are sorted among
+        its own suffixes; the longest match of each is with one of its two neighbours. A suffix
+        inside a match that was found from an earlier one, at the same distance between the two
+        places, ends where that match ends, so no words of it are compared again.
         """
         items, best = self.items, {}
         if not len(self.suffixes):
             return best
         able = np.flatnonzero(items.suffix_sizes >= items.shortest)
-        at, sizes = items.suffix_at[able], items.suffix_sizes[able]
-        place = _bound(self.ids, self.suffixes, items.words, at, sizes, False)
-        for side in (np.maximum(place - 1, 0), np.minimum(place, len(self.suffixes) - 1)):
-            starts = self.suffixes[side]
-            alike = _compare(self.ids, starts, items.words, at,
-                             np.full(len(at), items.shortest)) == 0
-            for i in np.flatnonzero(alike).tolist():
-                start = int(starts[i])
-                n = _shared(self.ids, start, items.words, int(at[i]))
+        at, sizes = items.suffix_at[able], np.full(len(able), items.shortest)
+        met = np.flatnonzero(
+            _bound(self.ids, self.suffixes, items.words, at, sizes, False)
+            < _bound(self.ids, self.suffixes, items.words, at, sizes, True))
+        if not len(met):
+            return best
+        at, owner = at[met], items.suffix_item[able[met]]
+        # the words of the suffixes met, run by run: what follows a run is in no longer match
+        first = np.append(True, np.diff(at) > 1)
+        begin, end = at[first], at[np.append(first[1:], True)] + items.shortest
+        sizes = end - begin + 1
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        run = np.cumsum(first) - 1
+        words_at = np.repeat(begin - offsets[:-1], sizes) + np.arange(offsets[-1])
+        extra = items.words[np.minimum(words_at, len(items.words) - 1)].astype(self.ids.dtype)
+        extra[offsets[1:] - 1] = 0
+        joint = np.concatenate((self.ids[self.source], extra))
+        places = np.concatenate((
+            self.able_at, len(self.source) + offsets[run] + at - begin[run]))
+        ordered, _ = sorted_suffixes(joint, places, int(sizes.max()))
+        order = np.arange(len(ordered))
+        own = ordered < len(self.source)
+        left = np.maximum.accumulate(np.where(own, order, -1))
+        right = np.minimum.accumulate(np.where(own, order, len(order))[::-1])[::-1]
+        position = np.empty(len(joint), np.int64)
+        position[ordered] = order
+        spot = position[places[len(self.able_at):]]
+        for side in (left[spot], right[spot]):
+            there = np.flatnonzero((side >= 0) & (side < len(order)))
+            starts = self.source[ordered[side[there]]]
+            ends: dict[int, int] = {}
+            for i, start in zip(there.tolist(), starts.tolist()):
+                place = int(at[i])
+                if ends.get(start - place, 0) <= place:
+                    ends[start - place] = place + _shared(self.ids, start, items.words, place)
+                n = ends[start - place] - place
                 doc = int(np.searchsorted(self.starts, start, side="right") - 1)
-                if n > best.get(doc, (0, 0, 0))[0]:
-                    best[doc] = (n, start - int(self.starts[doc]), int(items.suffix_item[able[i]]))
+                if n >= items.shortest and n > best.get(doc, (0, 0, 0))[0]:
+                    best[doc] = (n, start - int(self.starts[doc]), int(owner[i]))
         return best
 
 

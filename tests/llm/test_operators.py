@@ -193,6 +193,27 @@ def test_page_text_of_fallbacks(html, text):
     assert boilerplate.main_text(html) == " ".join(text.split())
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<body><form id='aspnetForm'><article><p>Short one.</p></article></form>", "Short one."),
+    ("<body><form id='aspnetForm'><div><p>" + "word " * 30 + "end.</p></div></form>",
+     "word " * 30 + "end."),
+    ("<h1>A title here</h1><form><p>Subscribe to our letter and get the best stories now.</p></form>", ""),
+    ("<article><p>" + "word " * 30 + "end.</p><form><p>Leave " + "some " * 20 + "words.</p></form>",
+     "word " * 30 + "end.")])
+def test_page_text_and_forms(html, text):
+    assert boilerplate.main_text(html) == text
+
+
+def test_odd_markup_takes_linear_time():
+    import time
+    start = time.monotonic()
+    for html in ("<a " * 300_000, "<![CDATA[ > " * 90_000, '<a ">"' * 170_000, '<a "' * 250_000,
+                 "<b><i><p>one two three.</p>" * 30_000, "<b>" * 100_000 + "</x>" * 200_000,
+                 "<" * 1_000_000, "<!--" * 250_000, "<p <p >" * 100_000):
+        boilerplate.main_text(html)
+    assert time.monotonic() - start < 60
+
+
 def test_cut_equals_brute_force():
     rng = random.Random(6)
     for _ in range(200):
