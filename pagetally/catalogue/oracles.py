@@ -297,6 +297,7 @@ SELECT CAST(d.doc_id AS VARCHAR) AS slug,
        CASE WHEN l.doc_id IS NULL THEN source || ' ' || d.doc_id END AS note
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
+ORACLES["merge_on_read"] = ORACLES["upsert"]
 ORACLES["resolve_aliases"] = """
 WITH seen AS (
   SELECT p_name AS title, '/' || replace(p_name, ' ', '-') AS url, min(p_partkey) AS ord
@@ -467,6 +468,7 @@ SELECT CAST(d.doc_id AS VARCHAR) AS slug,
        CASE WHEN l.doc_id IS NOT NULL THEN 'quality ' || quality ELSE {clean('text')} END AS text
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
+ORACLES["run_into"] = ORACLES["run_incremental"]
 ORACLES["checkpoint_save"] = """
 SELECT DISTINCT event_type AS step, CAST(user_id AS VARCHAR) AS slug FROM events WHERE event_type <> 'view'
 UNION ALL SELECT DISTINCT 'view', CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase'"""

@@ -18,6 +18,7 @@ from pagetally.operators.outline import html_nodes, node_rows
 from pagetally.plans import report, steps
 from pagetally.session import durable, scratch_path, spread
 from pagetally.sources import corpus, state, tables
+from pagetally.sources.keyed_table import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,6 +185,20 @@ def upsert(spark, folder):
     return keyed.upsert(old, new)
 
 
+@query
+def merge_on_read(spark, folder):
+    """The same update into a table that is appended to and merged when it is read."""
+    old = standins.document_master(spark, folder).select(
+        "slug", F.lit(None).cast("double").alias("exposure"), F.col("title").alias("note"))
+    scores = KeyedTable(spark, scratch_path(spark, "keyed"), "slug", old.schema)
+    scores.upsert(old)
+    scores.compact()
+    new = standins.label_scores(spark, folder).select("slug", "exposure")
+    scores.upsert(new.withColumn("exposure", F.lit(-1.0)))
+    scores.upsert(new)
+    return scores.read()
+
+
 @query
 def resolve_aliases(spark, folder):
     canonical, _ = extract.resolve_aliases(standins.index_page_entries(spark, folder))
@@ -402,6 +417,15 @@ def run_incremental(spark, folder):
         docs, done, lambda rows: rows.select("slug", clean_text(F.col("text")).alias("text")))
 
 
+@query
+def run_into(spark, folder):
+    """The step of run_incremental into a table that is merged on read."""
+    done = KeyedTable(spark, scratch_path(spark, "done"), "slug", "slug string, text string")
+    done.upsert(standins.label_scores(spark, folder).select("slug", F.col("rationale").alias("text")))
+    return steps.run_into(done, standins.document_corpus(spark, folder), lambda rows: rows.select(
+        "slug", clean_text(F.col("text")).alias("text")))
+
+
 @query
 def run_steps(spark, folder):
     catalog = {

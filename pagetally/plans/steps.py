@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pagetally.operators.joins import pending, skew_joins
 from pagetally.operators.keyed import upsert
 from pagetally.session import written
+from pagetally.sources.keyed_table import KeyedTable
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -24,6 +25,15 @@ def run_incremental(todo: DataFrame, done: DataFrame, step: Step, key: str = "sl
     return upsert(done, fresh, key) if force else done.unionByName(fresh, allowMissingColumns=True)
 
 
+def run_into(table: KeyedTable, todo: DataFrame, step: Step, force: bool = False) -> DataFrame:
+    """As :func:`run_incremental`, but into a table that is merged on read: the rows in force.
+
+    The run reads the keys of the table and writes the rows of the pending keys, nothing else.
+    """
+    table.upsert(step(pending(todo, table.keys(), table.key, force)))
+    return table.read()
+
+
 def run_statuses(todo: DataFrame, corpus: DataFrame, done: DataFrame, key: str = "slug",
                  force: bool = False) -> DataFrame:
     """Outcome of each row of a run: ``missing`` input, ``cached`` or ``processed``."""
