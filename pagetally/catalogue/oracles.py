@@ -719,3 +719,8 @@ SELECT CAST(s_suppkey AS VARCHAR) AS slug, CASE WHEN s_acctbal > 0 THEN s_name E
 ORACLES["compact_output"] = ORACLES["build_compact"]
 ORACLES["corpus_paths"] = """
 SELECT doc_id AS ord, '/corpus/' || doc_id || '.html' AS path, CAST(doc_id AS VARCHAR) AS slug FROM documents"""
+
+# tables that are kept from changes equal those of the records as they are
+for _name, _kept in (("headline", "headline"), ("tiers", "tier_summary"), ("bands", "band_means"),
+                     ("groups", "group_means")):
+    ORACLES[f"{_name}_from_changes"] = ORACLES[_kept]

@@ -16,6 +16,7 @@ from pagetally.operators import extract, joins, keyed, ordering, quality, scorin
 from pagetally.operators.calls import CallPolicy, Retry
 from pagetally.operators.outline import html_nodes, node_rows
 from pagetally.plans import report, steps
+from pagetally.plans.changes import ReportTotals, changes
 from pagetally.session import durable, scratch_path, spread
 from pagetally.sources import corpus, state, tables
 from pagetally.sources.keyed_table import KeyedTable
@@ -58,6 +59,43 @@ def group_means(spark, folder):
     return _rounded(summaries.group_means(standins.records(spark, folder)), "mean_exposure")
 
 
+def _totals_from_changes(spark: SparkSession, folder: str) -> ReportTotals:
+    """Totals after a load with mistakes, their revision, and the removal of repeated records."""
+    records = standins.records(spark, folder)
+    wrong = records.filter("ord % 7 = 0").withColumns({
+        "pay": F.col("pay") + 20000, "exposure": F.lit(3.3), "education": F.lit("unknown")})
+    twice = records.filter("ord % 5 = 0")
+    totals = ReportTotals(spark, scratch_path(spark, "totals"))
+    totals.apply("load", changes(inserted=records.filter("ord % 7 <> 0").unionByName(wrong)))
+    totals.apply("again", changes(inserted=twice))
+    totals.compact()
+    fix = changes(deleted=twice, revised=(wrong, records.filter("ord % 7 = 0")))
+    for _ in range(2):
+        totals.apply("fix", fix)
+    return totals
+
+
+@query
+def headline_from_changes(spark, folder):
+    return _totals_from_changes(spark, folder).headline().withColumn(
+        "mean_exposure", F.round("mean_exposure", 6))
+
+
+@query
+def tiers_from_changes(spark, folder):
+    return _rounded(_totals_from_changes(spark, folder).tier_summary(), "jobs_share", "wages_share")
+
+
+@query
+def bands_from_changes(spark, folder):
+    return _rounded(_totals_from_changes(spark, folder).band_means(), "mean_exposure")
+
+
+@query
+def groups_from_changes(spark, folder):
+    return _rounded(_totals_from_changes(spark, folder).group_means(), "mean_exposure")
+
+
 @query
 def band_join(spark, folder):
     banded = joins.band_join(standins.records(spark, folder), "pay", fixed.PAY_BANDS, closed=False)
