@@ -693,10 +693,10 @@ def _checks(spark, folder):
                 F.col("page_id").alias("slug"), F.col("html").alias("text")), "html_files", "HTML"),
         "markdown_files": lambda: quality.check_corpus(docs, "markdown_files", "Markdown"),
         "csv": lambda: quality.check_columns(standins.document_stats(spark, folder)),
-        "scores": lambda: quality.check_range(records, order="ord"),
-        "site_data": lambda: quality.check_required(
+        "scores": lambda: (records, quality.in_range(records, order="ord")),
+        "site_data": lambda: (records, quality.required_fields(
             records, "site_data", "Site data", ["title", "slug", "category"], per_field=True,
-            rated="exposure"),
+            rated="exposure")),
         "archive": lambda: quality.check_columns(spark.read.parquet(f"{folder}/absent.parquet")),
     })
 
@@ -706,6 +706,19 @@ def validate_all(spark, folder):
     return _shown(_checks(spark, folder))
 
 
+@query
+def checks_while_writing(spark, folder):
+    """Two checks of the records, measured in the pass that writes them."""
+    path = scratch_path(spark, "checked")
+    records = standins.records(spark, folder)
+    found = quality.check_while(
+        records, [quality.in_range(records, order="ord"), quality.required_fields(
+            records, "site_data", "Site data", ["title", "slug", "category"], per_field=True,
+            rated="exposure")],
+        lambda frame: frame.write.mode("overwrite").parquet(path), lambda: spark.read.parquet(path))
+    return _shown(found)
+
+
 @query
 def quality_report(spark, folder):
     return quality.quality_report(_checks(spark, folder))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from pagetally import fixed
 from pagetally.functions.text import label_case
@@ -55,6 +57,26 @@ def failure(spark: SparkSession, name: str, message: str) -> DataFrame:
         F.create_map().cast("map<string,string>").alias("details"))
 
 
+@dataclass(frozen=True)
+class Check:
+    """A check as aggregates over its table and what follows from them.
+
+    ``offenders`` names the first bad rows of a table; they are looked for only where the measure
+    ``wrong`` is above zero. ``finish`` makes the result from one row of measures and those names.
+    """
+
+    name: str
+    measures: dict[str, Column]
+    finish: Callable[[DataFrame, Column], DataFrame]
+    wrong: str | None = None
+    offenders: Callable[[DataFrame], Column] | None = None
+
+    def of(self, df: DataFrame) -> DataFrame:
+        """The result as a lazy row."""
+        named = self.offenders(df) if self.offenders else F.lit("")
+        return self.finish(df.agg(*(c.alias(n) for n, c in self.measures.items())), named)
+
+
 def _missing_fields(df: DataFrame, columns: list[str], nulls_fail: bool) -> Column:
     """Array of the required fields a row lacks."""
     def lacking(name: str) -> Column:
@@ -64,10 +86,10 @@ def _missing_fields(df: DataFrame, columns: list[str], nulls_fail: bool) -> Colu
     return F.array_compact(F.array(*[lacking(name) for name in columns]))
 
 
-def check_required(df: DataFrame, name: str = "master_list", label: str = "Master list",
-                   columns: list[str] = fixed.MASTER_COLUMNS, key: str = "slug",
-                   order: str = "ord", per_field: bool = False, nulls_fail: bool = False,
-                   rated: str | None = None) -> DataFrame:
+def required_fields(df: DataFrame, name: str = "master_list", label: str = "Master list",
+                    columns: list[str] = fixed.MASTER_COLUMNS, key: str = "slug",
+                    order: str = "ord", per_field: bool = False, nulls_fail: bool = False,
+                    rated: str | None = None) -> Check:
     """Rows exist and each has the required fields.
 
     Fields are required to be columns; ``nulls_fail`` also requires values. By default the
@@ -77,91 +99,197 @@ def check_required(df: DataFrame, name: str = "master_list", label: str = "Maste
     lacks = _missing_fields(df, columns, nulls_fail)
     slug = F.coalesce(F.col(key), F.lit("unknown")) if key in df.columns else F.lit("unknown")
     bad = F.size(lacks) > 0
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.size(lacks)), F.lit(0)).cast("bigint").alias("n_fields"),
-        F.min_by(slug, F.when(bad, F.col(order))).alias("first_bad"),
-        (F.count(rated) if rated else F.lit(None).cast("bigint")).alias("n_rated"),
-    )
-    if per_field:
+    measures = {
+        "n": F.count(F.lit(1)),
+        "n_fields": F.coalesce(F.sum(F.size(lacks)), F.lit(0)).cast("bigint"),
+        "first_bad": F.min_by(slug, F.when(bad, F.col(order))),
+        "n_rated": F.count(rated) if rated else F.lit(None).cast("bigint"),
+    }
+
+    def named(df: DataFrame) -> Column:
         each = df.select(slug.alias("_slug"), F.col(order).alias(order), F.posexplode(lacks).alias(
             "_at", "_field"))
-        evidence = _details(missing=first_offenders(
-            each.withColumn("_place", F.struct(order, "_at")), F.lit(True),
-            F.concat_ws(": ", "_slug", "_field"), "_place"))
-        wrong = F.concat(F.lit(f"{label} missing required fields: "), F.col("n_fields"),
-                         F.lit(" items"))
-    else:
-        evidence = None
-        wrong = F.concat(F.lit("Missing required fields in row: "), F.col("first_bad"))
-    shown, details = F.concat(F.lit(f"{label} valid: "), F.col("n")), _details(count=F.col("n"))
-    if rated:
-        shown = F.concat(shown, F.lit(" entries ("), F.col("n_rated"), F.lit(f" with {rated})"))
-        details = _details(**{"count": F.col("n"), f"with_{rated}": F.col("n_rated")})
-    else:
-        shown = F.concat(shown, F.lit(" rows"))
-    return _result(counts, name, [
-        (F.col("n") == 0, f"{label} is empty", None),
-        (F.col("n_fields") > 0, wrong, evidence),
-    ], shown, details)
-
-
-def check_corpus(df: DataFrame, name: str, label: str, key: str = "slug",
-                 text: str = "text") -> DataFrame:
+        return first_offenders(each.withColumn("_place", F.struct(order, "_at")), F.lit(True),
+                               F.concat_ws(": ", "_slug", "_field"), "_place")
+
+    def finish(counts: DataFrame, names: Column) -> DataFrame:
+        if per_field:
+            evidence = _details(missing=names)
+            wrong = F.concat(F.lit(f"{label} missing required fields: "), F.col("n_fields"),
+                             F.lit(" items"))
+        else:
+            evidence = None
+            wrong = F.concat(F.lit("Missing required fields in row: "), F.col("first_bad"))
+        shown, details = F.concat(F.lit(f"{label} valid: "), F.col("n")), _details(count=F.col("n"))
+        if rated:
+            shown = F.concat(shown, F.lit(" entries ("), F.col("n_rated"), F.lit(f" with {rated})"))
+            details = _details(**{"count": F.col("n"), f"with_{rated}": F.col("n_rated")})
+        else:
+            shown = F.concat(shown, F.lit(" rows"))
+        return _result(counts, name, [
+            (F.col("n") == 0, f"{label} is empty", None),
+            (F.col("n_fields") > 0, wrong, evidence),
+        ], shown, details)
+
+    return Check(name, measures, finish, *(("n_fields", named) if per_field else ()))
+
+
+def check_required(df: DataFrame, *args, **options) -> DataFrame:
+    """Result of :func:`required_fields`."""
+    return required_fields(df, *args, **options).of(df)
+
+
+def no_empty_texts(df: DataFrame, name: str, label: str, key: str = "slug",
+                   text: str = "text") -> Check:
     """Documents exist and none is empty; the first five empty ones are named."""
     empty = F.coalesce(F.octet_length(text), F.lit(0)) == 0
-    counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(empty).alias("n_empty"))
-    return _result(counts, name, [
-        (F.col("n") == 0, f"No {label} files found", None),
-        (F.col("n_empty") > 0,
-         F.concat(F.lit("Found "), F.col("n_empty"), F.lit(f" empty {label} files")),
-         _details(empty_files=first_offenders(df, empty, F.col(key).cast("string"), key))),
-    ], F.concat(F.lit(f"{label} files valid: "), F.col("n"), F.lit(" files")),
-        _details(count=F.col("n")))
-
-
-def check_columns(df: DataFrame, name: str = "csv", label: str = "CSV",
-                  columns: list[str] = ("title", "slug", "category")) -> DataFrame:
+
+    def finish(counts: DataFrame, names: Column) -> DataFrame:
+        return _result(counts, name, [
+            (F.col("n") == 0, f"No {label} files found", None),
+            (F.col("n_empty") > 0,
+             F.concat(F.lit("Found "), F.col("n_empty"), F.lit(f" empty {label} files")),
+             _details(empty_files=names)),
+        ], F.concat(F.lit(f"{label} files valid: "), F.col("n"), F.lit(" files")),
+            _details(count=F.col("n")))
+
+    return Check(name, {"n": F.count(F.lit(1)), "n_empty": F.count_if(empty)}, finish, "n_empty",
+                 lambda df: first_offenders(df, empty, F.col(key).cast("string"), key))
+
+
+def check_corpus(df: DataFrame, *args, **options) -> DataFrame:
+    """Result of :func:`no_empty_texts`."""
+    return no_empty_texts(df, *args, **options).of(df)
+
+
+def has_columns(df: DataFrame, name: str = "csv", label: str = "CSV",
+                columns: list[str] = ("title", "slug", "category")) -> Check:
     """Rows exist and the required columns are there."""
     absent = [column for column in columns if column not in df.columns]
-    counts = df.agg(F.count(F.lit(1)).alias("n"))
-    return _result(counts, name, [
-        (F.col("n") == 0, f"{label} is empty", None),
-        (F.lit(bool(absent)), f"{label} missing required columns: {absent}", None),
-    ], F.concat(F.lit(f"{label} valid: "), F.col("n"), F.lit(" rows")),
-        _details(count=F.col("n"), columns=F.lit(", ".join(df.columns))))
+    held = ", ".join(df.columns)
+
+    def finish(counts: DataFrame, names: Column) -> DataFrame:
+        return _result(counts, name, [
+            (F.col("n") == 0, f"{label} is empty", None),
+            (F.lit(bool(absent)), f"{label} missing required columns: {absent}", None),
+        ], F.concat(F.lit(f"{label} valid: "), F.col("n"), F.lit(" rows")),
+            _details(count=F.col("n"), columns=F.lit(held)))
+
+    return Check(name, {"n": F.count(F.lit(1))}, finish)
 
 
-def check_range(df: DataFrame, column: str = "exposure", name: str = "scores",
-                label: str = "Scores", low=fixed.RATING_LOW, high=fixed.RATING_HIGH,
-                key: str = "slug", order: str = "slug") -> DataFrame:
+def check_columns(df: DataFrame, *args, **options) -> DataFrame:
+    """Result of :func:`has_columns`."""
+    return has_columns(df, *args, **options).of(df)
+
+
+def in_range(df: DataFrame, column: str = "exposure", name: str = "scores",
+             label: str = "Scores", low=fixed.RATING_LOW, high=fixed.RATING_HIGH,
+             key: str = "slug", order: str = "slug") -> Check:
     """Rows exist and values lie in a closed range; nulls pass, the first five bad keys are named."""
     outside = F.coalesce(~F.col(column).between(low, high), F.lit(False))
-    counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(outside).alias("n_bad"),
-                    F.count(column).alias("n_rated"))
-    return _result(counts, name, [
-        (F.col("n") == 0, f"{label} is empty", None),
-        (F.col("n_bad") > 0,
-         F.concat(F.lit("Found "), F.col("n_bad"), F.lit(f" scores with invalid {column} values")),
-         _details(invalid=first_offenders(df, outside, F.col(key).cast("string"), order))),
-    ], F.concat(F.lit(f"{label} valid: "), F.col("n"), F.lit(" entries ("), F.col("n_rated"),
-                F.lit(f" with {column})")),
-        _details(**{"count": F.col("n"), f"with_{column}": F.col("n_rated")}))
-
-
-def validate_all(spark: SparkSession, checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:
+
+    def finish(counts: DataFrame, names: Column) -> DataFrame:
+        return _result(counts, name, [
+            (F.col("n") == 0, f"{label} is empty", None),
+            (F.col("n_bad") > 0,
+             F.concat(F.lit("Found "), F.col("n_bad"), F.lit(f" scores with invalid {column} values")),
+             _details(invalid=names)),
+        ], F.concat(F.lit(f"{label} valid: "), F.col("n"), F.lit(" entries ("), F.col("n_rated"),
+                    F.lit(f" with {column})")),
+            _details(**{"count": F.col("n"), f"with_{column}": F.col("n_rated")}))
+
+    return Check(name, {"n": F.count(F.lit(1)), "n_bad": F.count_if(outside),
+                        "n_rated": F.count(column)}, finish, "n_bad",
+                 lambda df: first_offenders(df, outside, F.col(key).cast("string"), order))
+
+
+def check_range(df: DataFrame, *args, **options) -> DataFrame:
+    """Result of :func:`in_range`."""
+    return in_range(df, *args, **options).of(df)
+
+
+def _judged(df: DataFrame, checks: list[Check], values: dict) -> DataFrame:
+    """Results from the measures of all checks; only failed ones look for their offenders."""
+    spark, results = df.sparkSession, None
+    for position, check in enumerate(checks):
+        own = {name: values[f"{position} {name}"] for name in check.measures}
+        counts = one_row(spark).select(*(
+            F.lit(value).cast("string" if isinstance(value, str) else "bigint").alias(name)
+            for name, value in own.items()))
+        names = F.lit("")
+        if check.offenders and own[check.wrong]:
+            names = F.lit(one_row(spark).select(check.offenders(df).alias("names")).first().names)
+        row = check.finish(counts, names).withColumn("ord", F.lit(position))
+        results = row if results is None else results.unionByName(row)
+    return results
+
+
+def _all_measures(checks: list[Check]) -> list[Column]:
+    return [column.alias(f"{position} {name}") for position, check in enumerate(checks)
+            for name, column in check.measures.items()]
+
+
+def _one_by_one(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Each check as a job of its own, so that one that fails while it runs is its own row."""
+    return validate_all(df.sparkSession, {check.name: lambda c=check: c.of(df) for check in checks})
+
+
+def check_table(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Results of all checks of one table, with their position, from one pass over it.
+
+    A check that fails is followed by one search for its first offenders. Where the pass itself
+    fails, the checks run one after the other and the one at fault is a failed row.
+    """
+    try:
+        values = df.agg(*_all_measures(checks)).first().asDict()
+        return _judged(df, checks, values)
+    except PySparkException:
+        return _one_by_one(df, checks)
+
+
+def check_while(df: DataFrame, checks: list[Check], write: Callable[[DataFrame], None],
+                read: Callable[[], DataFrame] | None = None) -> DataFrame:
+    """Results of the checks, measured in the pass in which ``write`` writes ``df``.
+
+    ``read`` gives the table back as it was written, for offenders; without it they are looked for
+    in ``df``. A check that fails while it runs does not stop the write: the table is then written
+    without checks, and they run one after the other.
+    """
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+    try:
+        write(df.observe(seen, *_all_measures(checks)))
+    except PySparkException:
+        write(df)
+        return _one_by_one(read() if read else df, checks)
+    return _judged(read() if read else df, checks, seen.get)
+
+
+def validate_all(spark: SparkSession, checks: dict[str, Callable[[], DataFrame | tuple]]) -> DataFrame:
     """All checks in order, with their position; one that fails, or cannot be set up, is a failed row.
 
-    Each check is one row; it is run here, so that a failure while it runs is its own.
+    A check gives its row, or a table and a :class:`Check` of it; the checks of one table are
+    measured in one pass. All run here, so that a failure while one runs is its own.
     """
-    results = None
+    rows: dict[int, DataFrame] = {}
+    tables: dict[int, tuple[DataFrame, list[tuple[int, Check]]]] = {}
     for position, (name, check) in enumerate(checks.items()):
         try:
-            frame = check()
-            row = spark.createDataFrame(frame.collect(), frame.schema)
+            made = check()
+            if isinstance(made, tuple):
+                tables.setdefault(id(made[0]), (made[0], []))[1].append((position, made[1]))
+                continue
+            rows[position] = spark.createDataFrame(made.collect(), made.schema)
         except PySparkException as problem:
-            row = failure(spark, name, f"Failed to load {name}: {problem.getCondition()}")
-        row = row.withColumn("ord", F.lit(position))
+            rows[position] = failure(
+                spark, name, f"Failed to load {name}: {problem.getCondition()}")
+    for df, own in tables.values():
+        found = check_table(df, [check for _, check in own])
+        for place, (position, _) in enumerate(own):
+            rows[position] = found.filter(F.col("ord") == place).drop("ord")
+    results = None
+    for position in sorted(rows):
+        row = rows[position].withColumn("ord", F.lit(position))
         results = row if results is None else results.unionByName(row)
     return results
 

@@ -75,3 +75,54 @@ def test_typed_records(spark):
         "c": ["title is missing", "jobs is no valid number", "hourly is no valid number"],
         "d": ["jobs is no valid number"], "e": ["exposure is out of range"]}
     assert dict(good.dtypes)["exposure"] == "bigint" and dict(good.dtypes)["hourly"] == "double"
+
+
+def _as_rows(results):
+    return [(r.check, r.is_valid, r.message, r.details) for r in results.orderBy("ord").collect()]
+
+
+def test_checks_of_a_table_in_one_pass(spark, tmp_path):
+    """The same rows as one job a check, while the table is written; bad rows are named."""
+    rows = [(i, f"s{i:02}", "T" if i % 7 else None, 11.0 if i % 4 == 0 else 5.0) for i in range(40)]
+    frame = spark.createDataFrame(rows, "ord int, slug string, title string, exposure double")
+    checks = [quality.in_range(frame), quality.has_columns(frame),
+              quality.required_fields(frame, columns=["title", "slug"], nulls_fail=True, per_field=True),
+              quality.required_fields(frame, "first", columns=["title"], nulls_fail=True),
+              quality.required_fields(frame, "fine", columns=["slug"], rated="exposure")]
+    alone = _as_rows(quality.validate_all(spark, {c.name: lambda c=c: c.of(frame) for c in checks}))
+    assert [valid for _, valid, _, _ in alone] == [False, False, False, False, True]
+    assert alone[0][3] == {"invalid": "s00, s04, s08, s12, s16"}
+    assert _as_rows(quality.check_table(frame, checks)) == alone
+    path = str(tmp_path / "table")
+    written = quality.check_while(frame, checks, lambda f: f.write.parquet(path),
+                                  lambda: spark.read.parquet(path))
+    assert _as_rows(written) == alone and spark.read.parquet(path).count() == 40
+    assert _as_rows(quality.check_table(frame.limit(0), checks))[0][2] == "Scores is empty"
+
+
+def test_passing_checks_are_one_job(spark):
+    frame = spark.createDataFrame([(i, f"s{i}", 5.0) for i in range(9)], "ord int, slug string, exposure double")
+    checks = [quality.in_range(frame), quality.required_fields(frame, columns=["slug"])]
+    context = spark.sparkContext
+    context.setJobGroup("one pass", "checks")
+    try:
+        results = quality.check_table(frame, checks)
+        jobs = len(context.statusTracker().getJobIdsForGroup("one pass"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # the aggregate is one query, whose exchange and result AQE runs as two jobs
+    assert jobs <= 2 and [r.is_valid for r in results.collect()] == [True, True]
+
+
+def test_a_check_that_fails_while_it_runs(spark, tmp_path):
+    frame = spark.createDataFrame([(0, "a", "5"), (1, "b", "x")], "ord int, slug string, exposure string")
+    typed = F.col("exposure").cast("int")
+    bad = quality.Check("typed", {"n": F.sum(typed)}, lambda counts, names: counts)
+    checks = [bad, quality.required_fields(frame, columns=["slug"])]
+    path = str(tmp_path / "table")
+    for results in (quality.check_table(frame, checks), quality.check_while(
+            frame, checks, lambda f: f.write.mode("overwrite").parquet(path))):
+        rows = _as_rows(results)
+        assert [(name, valid) for name, valid, _, _ in rows] == [("typed", False), ("master_list", True)]
+        assert rows[0][2].startswith("Failed to load typed: CAST_INVALID_INPUT")
+    assert spark.read.parquet(path).count() == 2
