@@ -47,11 +47,13 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens: where each piece stands."""
     return packing.pack(_table(spark, folder, "documents"))
 
 
 @_query
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text, learned from three of four documents by their id."""
     docs = _table(spark, folder, "documents")
     model = language.fit(docs, ~language.held_out())
     return language.predict(docs, model).select(
@@ -60,6 +62,7 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document the words in benchmark windows and the items whose windows occur."""
     found = decontamination.search(_table(spark, folder, "documents"),
                                    _table(spark, folder, "benchmark"))
     return found.select(
@@ -70,6 +73,7 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @_query
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score of every text, learned from the labels of two of three ids."""
     docs = _table(spark, folder, "documents")
     model = toxicity.fit(docs, _table(spark, folder, "labels"), ~toxicity.held_out())
     return toxicity.scores(docs, model).select(
@@ -79,6 +83,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
     return boilerplate.extract(_table(spark, folder, "pages"))
 
 
@@ -111,17 +116,20 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector, by cosine."""
     rows = _table(spark, folder, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(rows, rows.filter(F.col("vec_id") % 50 == 0))
 
 
 @_query
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of every document whose word shingles are alike by 0.75 or more."""
     return jaccard.join(_table(spark, folder, "documents"))
 
 
 @_query
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licenses whose texts or notices each document holds."""
     return licenses.scan(_table(spark, folder, "documents"))
 
 
