@@ -30,12 +30,6 @@ def test_query_equals_sql(spark, tables, name):
     assert outcome.startswith("ok "), outcome
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.oracle_sql()) - set(ORACLES)))
-def test_corpus_query_equals_sql(spark, tables, name):
-    outcome = check.compare(spark, tables, FOLDER, name)
-    assert outcome.startswith("ok "), outcome
-
-
 def test_flagship(spark):
     rows = entry_module.entry(spark).collect()
     assert [row.ord for row in sorted(rows, key=lambda row: row.ord)] == [0, 1, 2, 3, 4]
