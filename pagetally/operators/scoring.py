@@ -156,7 +156,8 @@ def parse_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
     read = body.withColumns({
         "_typed": F.from_json(boxed, "array<struct<exposure:double,rationale:string>>", strict),
         "_pairs": F.from_json(boxed, "array<map<string,variant>>", strict),
-        "_alone": F.from_json(member, "a map<string,variant>", strict)["a"].isNotNull(),
+        # only whether the member closes: its text need not be taken apart again
+        "_alone": F.from_json(member, "a string", strict)["a"].isNotNull(),
     }).withColumns({
         "_typed": F.get("_typed", F.lit(0)),
         "_pairs": F.when(F.coalesce("_alone", F.lit(False)) & (F.size("_pairs") == 1),
