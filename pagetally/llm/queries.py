@@ -287,7 +287,7 @@ damaged AS (
 ordered AS (
     SELECT conv_id, turn, role, text,
         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
-                           sha256(role || chr(10) || text)) AS i
+                           sha256(length(role) || ':' || role || chr(10) || text)) AS i
     FROM damaged),
 repeats AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth

@@ -253,7 +253,9 @@ def segments(rows: DataFrame, gone: str | None = None) -> DataFrame:
         F.when(here, F.coalesce(F.col("text").cast("string"), F.lit(" "))).otherwise("")
         .alias("text"), here.alias("here"))
     keyed = plain.withColumns({
-        "tie": F.sha2(F.concat("role", F.lit("\n"), "text").cast("binary"), 256),
+        # the length keeps role and text apart, whatever they hold
+        "tie": F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", F.lit("\n"),
+                               "text").cast("binary"), 256),
         # parts rows that are equal in everything; their order makes no difference
         "place": F.monotonically_increasing_id()})
     order = ["conv_id", "turn", "tie", "place"]

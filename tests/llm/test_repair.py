@@ -18,7 +18,7 @@ PATTERN = re.compile(r"(s?(ua)+)?")
 def brute(rows):
     """The outcome of one conversation by cheapest-first search over edit strings."""
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(
-        f"{r[1]}\n{r[2]}".encode()).hexdigest()))
+        f"{len(r[1])}:{r[1]}\n{r[2]}".encode()).hexdigest()))
     seen, faults = set(), []
     for _, role, text in rows:
         said = re.findall(r"[^\x20\x09-\x0D]", text)
@@ -127,6 +127,13 @@ def test_one_conversation_of_many_rows(spark):
     assert row.audit == "K" * 3002 + "D" * 998 + "K" * 2000
 
 
+def test_roles_with_line_breaks_are_no_repeats(spark):
+    rows = [(1, 0, "user", "a.", 1, "x"), (1, 1, "assistant\nb", "c.", 1, "x"),
+            (1, 2, "assistant", "b\nc.", 1, "x")]
+    got = found(repair.Repair(spark.createDataFrame(rows, SCHEMA)).summary())
+    assert got == expected(rows) and got[1][2] == 0
+
+
 def test_gone_rows_and_empty_table(spark):
     rows = [(1, 0, "user", "a.", True), (2, 0, "user", "a.", True), (2, 1, "assistant", "b.", False),
             (3, None, "assistant", "b", None)]
