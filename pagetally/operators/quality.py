@@ -285,8 +285,8 @@ def validate_all(spark: SparkSession, checks: dict[str, Callable[[], DataFrame |
                 spark, name, f"Failed to load {name}: {problem.getCondition()}")
     for df, own in tables.values():
         found = check_table(df, [check for _, check in own])
-        for place, (position, _) in enumerate(own):
-            rows[position] = found.filter(F.col("ord") == place).drop("ord")
+        for row in found.collect():     # one row a check
+            rows[own[row.ord][0]] = spark.createDataFrame([row], found.schema).drop("ord")
     results = None
     for position in sorted(rows):
         row = rows[position].withColumn("ord", F.lit(position))
