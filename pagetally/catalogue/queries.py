@@ -17,7 +17,7 @@ from pagetally.operators.calls import CallPolicy, Retry
 from pagetally.operators.outline import html_nodes, node_rows
 from pagetally.plans import report, steps
 from pagetally.plans.changes import ReportTotals, changes
-from pagetally.session import durable, scratch_path, spread
+from pagetally.session import scratch_path, spread, written
 from pagetally.sources import corpus, state, tables
 from pagetally.sources.keyed_table import KeyedTable
 
@@ -143,7 +143,7 @@ def mean_rating(spark, folder):
 
 @query
 def report_lines(spark, folder):
-    return report.report_lines(durable(spread(standins.records(spark, folder))))
+    return report.report_lines(written(spread(standins.records(spark, folder)), "records"))
 
 
 @query
@@ -835,7 +835,8 @@ def empty_files(spark, folder):
 def report_file(spark, folder):
     """The report written as ordered text files and read back with each line's place."""
     path = scratch_path(spark, "report")
-    corpus.write_report(report.report_lines(durable(spread(standins.records(spark, folder)))), path)
+    records = written(spread(standins.records(spark, folder)), "records")
+    corpus.write_report(report.report_lines(records), path)
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"),
         F.monotonically_increasing_id().alias("at"))

@@ -122,20 +122,32 @@ def group_means(records: DataFrame, groups: list[tuple] = fixed.EDUCATION_GROUPS
     return means_from(records.agg(group_slots(groups).alias("slots")), "slots")
 
 
+def is_declining() -> Column:
+    return F.col("outlook") < fixed.DECLINING_BELOW
+
+
+def is_growing() -> Column:
+    return F.col("outlook") >= fixed.GROWING_FROM
+
+
+def is_on_scale() -> Column:
+    """Whether the rating equals a point of the scale; null and fractional ratings do not."""
+    return rating().isin(list(range(fixed.RATING_LOW, fixed.RATING_HIGH + 1)))
+
+
 def declining(records: DataFrame) -> DataFrame:
     """Records with a negative outlook."""
-    return records.filter(F.col("outlook") < fixed.DECLINING_BELOW)
+    return records.filter(is_declining())
 
 
 def growing(records: DataFrame) -> DataFrame:
     """Records with a strong positive outlook."""
-    return records.filter(F.col("outlook") >= fixed.GROWING_FROM)
+    return records.filter(is_growing())
 
 
 def on_scale(records: DataFrame) -> DataFrame:
     """Records whose rating equals a point of the scale; null and fractional ratings are not."""
-    points = list(range(fixed.RATING_LOW, fixed.RATING_HIGH + 1))
-    return records.filter(rating().isin(points))
+    return records.filter(is_on_scale())
 
 
 def rating_groups(records: DataFrame) -> DataFrame:

@@ -10,20 +10,20 @@ from pagetally.functions.formatting import fixed_point, fmt_magnitude, fmt_money
 from pagetally.functions.text import abbreviate, sanitize_cell
 from pagetally.operators import summaries
 from pagetally.operators.ordering import (
-    decline_order, growth_order, number_rows, record_order)
+    Ranking, decline_order, falling, growth_order, number_lists, number_rows, record_order)
 
 # Section numbers; listings of rating r are section LISTING + (10 - r).
 HEAD, TOTALS, TIERS, BANDS, GROUPS, DOWN, UP, ALL, LISTING = range(9)
 END = 2 ** 62   # row of a section's closing line
 
 
-def rating_listing(records: DataFrame) -> DataFrame:
-    """Rows of each rating in record order, numbered from 1, with their report cells."""
-    rated = summaries.on_scale(records).withColumn("exposure", F.col("exposure").cast("int")).select(
-        "ord", "title", "exposure", "pay", "jobs", "outlook", "education", "rationale")
-    numbered = number_rows(rated, record_order(), within="exposure")
+_LISTED = ["ord", "title", "exposure", "pay", "jobs", "outlook", "education", "rationale"]
+_MOVED = ["title", "exposure", "jobs", "outlook"]
+
+
+def _listing_cells(numbered: DataFrame) -> DataFrame:
     return numbered.select(
-        "exposure", "n", "title",
+        F.col("exposure").cast("int").alias("exposure"), "n", "title",
         fmt_money(F.col("pay")).alias("pay_text"),
         fmt_magnitude(F.col("jobs")).alias("jobs_text"),
         fmt_signed(F.col("outlook")).alias("outlook_text"),
@@ -32,16 +32,40 @@ def rating_listing(records: DataFrame) -> DataFrame:
     )
 
 
-def movers(records: DataFrame, up: bool) -> DataFrame:
-    """Growing or declining records in report order, numbered from 1."""
-    narrow = records.select("ord", "title", "exposure", "jobs", "outlook")
-    chosen = summaries.growing(narrow) if up else summaries.declining(narrow)
-    numbered = number_rows(chosen, growth_order() if up else decline_order())
+def _mover_cells(numbered: DataFrame) -> DataFrame:
     return numbered.select(
         "n", "title", "exposure", "outlook", fmt_signed(F.col("outlook")).alias("outlook_text"),
         fmt_magnitude(F.col("jobs")).alias("jobs_text"))
 
 
+def rating_listing(records: DataFrame) -> DataFrame:
+    """Rows of each rating in record order, numbered from 1, with their report cells."""
+    rated = summaries.on_scale(records).withColumn("exposure", F.col("exposure").cast("int")).select(
+        *_LISTED)
+    return _listing_cells(number_rows(rated, record_order(), within="exposure"))
+
+
+def movers(records: DataFrame, up: bool) -> DataFrame:
+    """Growing or declining records in report order, numbered from 1."""
+    narrow = records.select("ord", *_MOVED)
+    chosen = summaries.growing(narrow) if up else summaries.declining(narrow)
+    return _mover_cells(number_rows(chosen, growth_order() if up else decline_order()))
+
+
+def ranked_lists(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rating listing, the declining and the growing records, from one placement."""
+    records = records.select(*_LISTED)
+    tail = [falling(records, "exposure"), falling(records, "jobs"), F.col("ord")]
+    outlook = records.schema["outlook"].dataType
+    lists = number_lists(records, [
+        Ranking(summaries.is_on_scale(), [F.lit(None).cast(outlook), *tail], _LISTED,
+                F.col("exposure").cast("int")),
+        Ranking(summaries.is_declining(), [F.col("outlook"), *tail], _MOVED),
+        Ranking(summaries.is_growing(), [falling(records, "outlook"), *tail], _MOVED)])
+    part = lambda i: lists.filter(F.col("list") == i)
+    return _listing_cells(part(0)), _mover_cells(part(1)), _mover_cells(part(2))
+
+
 def _row(*cells) -> Column:
     """Pipe table row."""
     parts = [F.lit("| ")]
@@ -124,20 +148,19 @@ def heading_lines(spark: SparkSession, title: str, intro: list[str]) -> DataFram
         "line": pa.array(texts, pa.string())}))
 
 
-def mover_lines(records: DataFrame) -> DataFrame:
-    """Declining and growing tables; a missing rating prints as ``?``, a whole one without fraction."""
+def mover_lines(down: DataFrame, up: DataFrame) -> DataFrame:
+    """Declining and growing tables of ``movers``; a missing rating prints as ``?``, a whole one without fraction."""
     rating = F.col("exposure")
     whole = F.when(rating == F.floor(rating), rating.cast("bigint").cast("string"))
     line = _row(
         F.col("title"),
         F.concat(F.coalesce(whole, rating.cast("string"), F.lit("?")), F.lit("/10")),
         F.col("outlook_text"), F.col("jobs_text"))
-    return _table_lines(movers(records, up=False), DOWN, "n", line).unionByName(
-        _table_lines(movers(records, up=True), UP, "n", line))
+    return _table_lines(down, DOWN, "n", line).unionByName(_table_lines(up, UP, "n", line))
 
 
-def listing_lines(records: DataFrame) -> DataFrame:
-    """Per-rating tables, highest rating first."""
+def listing_lines(records: DataFrame, listing: DataFrame) -> DataFrame:
+    """Per-rating tables of ``rating_listing``, highest rating first."""
     section = (F.lit(LISTING + fixed.RATING_HIGH) - F.col("exposure")).alias("section")
     head = summaries.rating_groups(records).select(section, F.array(
         F.concat(F.lit("### Exposure "), F.col("exposure"), F.lit("/10 ("), F.col("n"),
@@ -149,7 +172,7 @@ def listing_lines(records: DataFrame) -> DataFrame:
     ends = head.select("section", F.lit(END).cast("bigint").alias("row"), F.lit("").alias("line"))
     heads = head.select("section", F.posexplode("lines").alias("row", "line")).withColumn(
         "row", F.col("row").cast("bigint"))
-    rows = rating_listing(records).select(
+    rows = listing.select(
         section, (F.col("n") + 100).alias("row"),
         _row(F.col("n"), F.col("title"), F.col("pay_text"), F.col("jobs_text"),
              F.col("outlook_text"), F.col("education_text"), F.col("rationale")).alias("line"))
@@ -158,15 +181,17 @@ def listing_lines(records: DataFrame) -> DataFrame:
 
 def report_lines(records: DataFrame, title: str = fixed.HEADINGS["title"],
                  intro: list[str] = ()) -> DataFrame:
-    """The whole report. Pass a written or cached frame: it is read five times.
+    """The whole report. Pass a written or cached frame: it is read whole once, and four times
+    for a few columns each.
 
     Lines are placed by ``(section, row)``; ``sources.corpus.write_report`` writes them in order.
     """
+    listing, down, up = ranked_lists(records)
     return (
         heading_lines(records.sparkSession, title, list(intro))
         .unionByName(summary_lines(records))
-        .unionByName(mover_lines(records))
-        .unionByName(listing_lines(records))
+        .unionByName(mover_lines(down, up))
+        .unionByName(listing_lines(records, listing))
     )
 
 

@@ -120,6 +120,50 @@ def test_row_numbers_in_a_hot_group(spark):
     assert overall == {row[0]: i for i, row in enumerate(order, 1)}
 
 
+def test_lists_placed_at_once_match_plain_sorts(spark, monkeypatch):
+    """Three orders with nulls, ties and a value that two thirds share, over many partitions."""
+    monkeypatch.setattr(ordering, "PART_ROWS", 500)
+    random.seed(9)
+    rows = [(i, 3 if i % 3 else random.choice([None, *range(11)]),
+             random.choice([None, 0, 5, random.randint(0, 99)]),
+             random.choice([None, -2 ** 62, 7, random.randint(-20, 40)]), f"t{i}")
+            for i in random.sample(range(4000), 4000)]
+    frame = spark.createDataFrame(rows, "ord bigint, exposure int, jobs int, outlook bigint, t string")
+    tail = [ordering.falling(frame, "exposure"), ordering.falling(frame, "jobs"), F.col("ord")]
+    none = F.lit(None).cast("bigint")
+    lists = ordering.number_lists(frame, [
+        ordering.Ranking(F.col("exposure").isNotNull(), [none, *tail], ["ord", "exposure", "t"],
+                         F.col("exposure")),
+        ordering.Ranking(F.col("outlook") < 0, [F.col("outlook"), *tail], ["ord"]),
+        ordering.Ranking(F.col("outlook") >= 10, [ordering.falling(frame, "outlook"), *tail], ["ord"])])
+    assert lists.columns == ["list", "group", "ord", "exposure", "t", "n"]
+    order = lambda r: (-(r[1] or 0), -(r[2] or 0), r[0])
+    expected, counters = {}, {}
+    for r in sorted((r for r in rows if r[1] is not None), key=order):
+        counters[r[1]] = counters.get(r[1], 0) + 1
+        expected[0, r[0]] = (counters[r[1]], r[4])
+    moved = [(1, lambda r: r[3] < 0, 1), (2, lambda r: r[3] >= 10, -1)]
+    for at, member, sign in moved:
+        chosen = [r for r in rows if r[3] is not None and member(r)]
+        for n, r in enumerate(sorted(chosen, key=lambda r: (sign * r[3], *order(r))), 1):
+            expected[at, r[0]] = (n, None)
+    assert {(r.list, r.ord): (r.n, r.t) for r in lists.collect()} == expected
+    assert ordering.number_lists(frame.limit(0), [
+        ordering.Ranking(F.lit(True), [F.col("ord")], ["ord"])]).collect() == []
+
+
+def test_lists_are_placed_evenly(spark, monkeypatch):
+    """Rows that share one rating are spread over partitions, and none holds much more than its share."""
+    monkeypatch.setattr(ordering, "PART_ROWS", 500)
+    frame = spark.range(8000).select(F.col("id").alias("ord"), F.lit(4).alias("exposure"))
+    kept = []
+    monkeypatch.setattr(ordering, "_shifted", lambda placed, *_: kept.append(placed) or placed)
+    ordering.number_lists(frame, [
+        ordering.Ranking(F.lit(True), [F.col("exposure"), F.col("ord")], ["ord"])])
+    sizes = [r["count"] for r in kept[0].groupBy("_part").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) <= 1200 and sum(sizes) == 8000
+
+
 RECORD_SCHEMA = ("ord bigint, title string, pay bigint, jobs bigint, outlook bigint, education string,"
                  " exposure bigint, rationale string")
 
