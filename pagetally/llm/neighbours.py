@@ -35,6 +35,19 @@ COVERED = 0.98
 LINKS, MOST, MOST_ABOVE = 16, 32, 16
 #: Points kept while inserting and while searching.
 BEAM_BUILD, BEAM_SEARCH = 80, 160
+#: Multiplications of a matrix product that BLAS does not spread over threads.
+ONE_THREAD = 200_000
+
+
+def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of ``left`` and ``right``, on one thread.
+
+    BLAS spreads a large product over threads, which then wait on cores that other tasks use.
+    """
+    right = np.swapaxes(right, -1, -2)
+    step = max(1, ONE_THREAD // (right.shape[-2] * max(1, right.shape[-1])))
+    return np.concatenate([np.matmul(left[..., at:at + step, :], right)
+                           for at in range(0, max(1, left.shape[-2]), step)], axis=-2)
 
 
 def _beam(points: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray,
@@ -101,7 +114,7 @@ def _diverse(points: np.ndarray, near: np.ndarray, candidates: np.ndarray,
     n, width = candidates.shape
     there = candidates >= 0
     vectors = points[np.maximum(candidates, 0)]
-    among = np.matmul(vectors, vectors.transpose(0, 2, 1))
+    among = _products(vectors, vectors)
     chosen = np.zeros((n, width), bool)
     closest = np.full((n, width), -np.inf, np.float32)
     left = np.full(n, number)
@@ -154,7 +167,7 @@ class Graph:
             if k > level:
                 continue
             # the others of the batch are candidates too
-            others = queries @ queries.T
+            others = _products(queries, queries)
             np.fill_diagonal(others, -np.inf)
             best = np.concatenate([best, np.broadcast_to(own, others.shape)], axis=1)
             near = np.concatenate([near, others], axis=1)
@@ -279,7 +292,7 @@ class Routes:
         if pivots is None:
             return np.zeros((len(vectors), 1), np.int64)
         number = self.probed[vectors.shape[1]] if number is None else number
-        near = _unit(vectors) @ pivots.T
+        near = _products(_unit(vectors), pivots)
         if number == 1:
             return near.argmax(axis=1)[:, None]
         return np.argsort(-near, axis=1, kind="stable")[:, :number]
@@ -336,7 +349,7 @@ def _probed(points: DataFrame, dim: int, probes: np.ndarray, routes: Routes, k:
             vectors = _matrix(batch.column("embedding"), dim)
             if not len(vectors):
                 continue
-            near = probes @ _unit(vectors).T
+            near = _products(probes, _unit(vectors))
             near[near > 1 - 1e-6] = -2
             own = np.broadcast_to(routes.cells(vectors, 1)[:, 0], near.shape)
             near, own = np.concatenate([score, near], axis=1), np.concatenate([cell, own], axis=1)
