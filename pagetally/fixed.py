@@ -102,3 +102,14 @@ HEADINGS = {
     "up": "### Fastest-growing occupations (10%+ projected growth)",
     "order": "Sorted by AI exposure (descending), then by number of jobs (descending).",
 }
+
+# --- fixed values: head and rule of each table of the report -----------------------
+TABLE_HEADS = {
+    "tiers": ["| Tier | Occupations | Jobs | % of jobs | Wages | % of wages | Avg pay |",
+              "|------|-------------|------|-----------|-------|------------|---------|"],
+    "bands": ["| Pay band | Avg exposure | Jobs |", "|----------|-------------|------|"],
+    "groups": ["| Education | Avg exposure | Jobs |", "|-----------|-------------|------|"],
+    "movers": ["| Occupation | Exposure | Outlook | Jobs |", "|-----------|----------|---------|------|"],
+    "listing": ["| # | Occupation | Pay | Jobs | Outlook | Education | Rationale |",
+                "|---|-----------|-----|------|---------|-----------|-----------|"],
+}

@@ -125,20 +125,12 @@ def summary_lines(records: DataFrame) -> DataFrame:
 
 def heading_lines(spark: SparkSession, title: str, intro: list[str]) -> DataFrame:
     """Headings and table heads of the report, and the blank line that closes each section."""
-    mover_head = ["| Occupation | Exposure | Outlook | Jobs |", "|-----------|----------|---------|------|"]
-    heads = {
-        HEAD: [f"# {title}", "", *intro],
-        TOTALS: [fixed.HEADINGS["totals"], ""],
-        TIERS: [fixed.HEADINGS["tiers"], "",
-                "| Tier | Occupations | Jobs | % of jobs | Wages | % of wages | Avg pay |",
-                "|------|-------------|------|-----------|-------|------------|---------|"],
-        BANDS: [fixed.HEADINGS["bands"], "",
-                "| Pay band | Avg exposure | Jobs |", "|----------|-------------|------|"],
-        GROUPS: [fixed.HEADINGS["groups"], "",
-                 "| Education | Avg exposure | Jobs |", "|-----------|-------------|------|"],
-        DOWN: [fixed.HEADINGS["down"], "", *mover_head],
-        UP: [fixed.HEADINGS["up"], "", *mover_head],
-    }
+    tables = {TIERS: "tiers", BANDS: "bands", GROUPS: "groups", DOWN: "movers", UP: "movers"}
+    headings = {DOWN: "down", UP: "up"}
+    heads = {HEAD: [f"# {title}", "", *intro], TOTALS: [fixed.HEADINGS["totals"], ""]}
+    for section, table in tables.items():
+        heads[section] = [fixed.HEADINGS[headings.get(section, table)], "",
+                          *fixed.TABLE_HEADS[table]]
     places = [(section, row, line) for section, texts in heads.items()
               for row, line in enumerate(texts)]
     places += [(section, END, "") for section in heads if section != HEAD]
@@ -166,8 +158,7 @@ def listing_lines(records: DataFrame, listing: DataFrame) -> DataFrame:
         F.concat(F.lit("### Exposure "), F.col("exposure"), F.lit("/10 ("), F.col("n"),
                  F.lit(" occupations, "), fmt_magnitude(F.col("jobs")), F.lit(" jobs)")),
         F.lit(""),
-        F.lit("| # | Occupation | Pay | Jobs | Outlook | Education | Rationale |"),
-        F.lit("|---|-----------|-----|------|---------|-----------|-----------|"),
+        *map(F.lit, fixed.TABLE_HEADS["listing"]),
     ).alias("lines"))
     ends = head.select("section", F.lit(END).cast("bigint").alias("row"), F.lit("").alias("line"))
     heads = head.select("section", F.posexplode("lines").alias("row", "line")).withColumn(
