@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pagetally import fixed
 from pagetally.catalogue import standins
 from pagetally.catalogue.standins import table
+from pagetally.functions.arrays import as_value
 from pagetally.functions.formatting import fmt_magnitude, fmt_money, fmt_signed
 from pagetally.functions.parsing import impute_pay, parse_number, parse_outlook, parse_pay
 from pagetally.functions.text import clean_text, corpus_key, corpus_path, strip_fence, text_sizes
@@ -561,7 +562,7 @@ def index_entries(spark, folder):
 @query
 def facts(spark, folder):
     pages = extract.facts(html_nodes(spread(standins.order_pages(spark, folder))))
-    return pages.select("slug", F.posexplode("facts").alias("at", "fact")).select(
+    return pages.select("slug", F.posexplode(as_value("facts")).alias("at", "fact")).select(
         "slug", "at", "fact.*")
 
 
@@ -585,7 +586,7 @@ def pages_to_table(spark, folder):
 
 def _sectioned(spark, folder):
     return extract.sections(html_nodes(spread(standins.part_pages(spark, folder)))).select(
-        "p_partkey", "nodes", F.explode("sections").alias("section"))
+        "p_partkey", "nodes", F.explode(as_value("sections")).alias("section"))
 
 
 @query

@@ -83,13 +83,24 @@ def outlook_text() -> Column:
     )
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a narrow table dealt out to all cores, before each becomes a page.
+
+    A table may come in few splits, or most splits without rows; pages cost far more to build, to move
+    and to sort (as ``repartition`` does) than the rows they are made from.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, rows.rdd.getNumPartitions()))
+
+
 def _html(*parts) -> Column:
     return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
 
 
 def order_pages(spark: SparkSession, folder: str) -> DataFrame:
     """One fact page per order: a facts table and a projections table."""
-    orders = table(spark, folder, "orders")
+    orders = _dealt(table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"))
     fact = lambda label, value: _html(f"<tr><th>{label}</th><td> ", value, " </td></tr>")
     whole = F.format_string("%,d", F.floor("o_totalprice"))
     pay = F.when(F.col("o_orderstatus") == "F", _html("$", whole, " per year")).otherwise(
@@ -151,7 +162,9 @@ def part_pages(spark: SparkSession, folder: str) -> DataFrame:
         "</td><td></td><td>", size, "</td><td>Get data</td></tr></tbody></table></article></div>",
         "</div><p class=\"note update\">Last modified ", size, "</p></body></html>",
     )
-    return table(spark, folder, "part").select("p_partkey", html.alias("html"))
+    return _dealt(table(spark, folder, "part").select(
+        "p_partkey", "p_size", "p_name", "p_brand", "p_type", "p_retailprice",
+    )).select("p_partkey", html.alias("html"))
 
 
 def document_pages(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,6 +12,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def as_value(items: str) -> Column:
+    """An array column as an expression, for exploding it.
+
+    Of a column that is exploded Spark tests the size first and moves that test below the column,
+    where all that the column is made of is computed a second time for it.
+    """
+    return F.transform(F.col(items), lambda item: item)
+
+
 def zip_short(left: Column, right: Column, pair: Callable[[Column, Column], Column]) -> Column:
     """Combine two arrays by position, cut to the shorter one."""
     length = F.least(F.size(left), F.size(right))

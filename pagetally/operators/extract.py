@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pagetally import fixed
 from pagetally.functions.arrays import (
-    drop_blank_rows, let, pad_rows, pipe_row, table_width, zip_short)
+    as_value, drop_blank_rows, let, pad_rows, pipe_row, table_width, zip_short)
 from pagetally.functions.parsing import impute_pay, parse_number, parse_outlook, parse_pay
 from pagetally.functions.predicates import contains_any, has_token, money_or_percent, truthy_text
 from pagetally.functions.text import clean_text, dash_to_missing, strip
@@ -34,6 +34,15 @@ def within(node: Column) -> Column:
     return F.slice(page_nodes(), node["pos"] + 1, node["last"] - node["pos"])
 
 
+def within_scope(node: Column, scope: Column) -> Column:
+    """As :func:`within`, out of consecutive nodes that hold the node, such as those within another.
+
+    A slice takes time in proportion to the array it is cut from, so cut from a small one.
+    """
+    first = F.get(scope, F.lit(0))["pos"]
+    return F.slice(scope, node["pos"] - first + 2, node["last"] - node["pos"])
+
+
 def children(node: Column) -> Column:
     """Direct children of a node."""
     return F.filter(within(node), lambda child: child["parent"] == node["pos"])
@@ -66,14 +75,24 @@ def text_of(node: Column) -> Column:
     return clean_text(raw_text(node))
 
 
+def text_in(node: Column, scope: Column) -> Column:
+    """As :func:`text_of`, out of consecutive nodes that hold the node."""
+    return clean_text(F.array_join(within_scope(node, scope)["text"], ""))
+
+
 def link_text(node: Column) -> Column:
     """Text pieces below a node, each stripped, joined without separator."""
     return F.array_join(F.transform(within(node)["text"], strip), "")
 
 
+def cell_texts(inner: Column) -> Column:
+    """Texts of the cells among the descendants of a table row."""
+    return F.transform(F.filter(inner, tagged("td", "th")), lambda cell: text_in(cell, inner))
+
+
 def row_cells(row: Column) -> Column:
     """Texts of the cells of a table row."""
-    return F.transform(F.filter(within(row), tagged("td", "th")), text_of)
+    return let(within(row), cell_texts)
 
 
 # --- header, facts, footer -----------------------------------------------------------
@@ -91,32 +110,30 @@ def page_header(pages: DataFrame) -> DataFrame:
     }).drop("_h1", "_link")
 
 
-def _table_body_rows(pages: DataFrame, table_id: str, name: str) -> DataFrame:
-    """Adds ``name``: row nodes of the body of a table, and ``name_table``: the table node."""
-    return pages.withColumn(
-        f"{name}_table", find(page_nodes(), identified("table", table_id))
-    ).withColumn(
-        f"{name}_body", find(within(F.col(f"{name}_table")), tagged("tbody"))
-    ).withColumn(
-        name, F.filter(within(F.col(f"{name}_body")), tagged("tr"))
-    ).drop(f"{name}_body")
+def _table_body(table_id: str) -> Column:
+    """Descendants of the body of a table."""
+    table = let(find(page_nodes(), identified("table", table_id)), within)
+    return let(table, lambda inner: let(
+        find(inner, tagged("tbody")), lambda body: within_scope(body, inner)))
 
 
 def facts(pages: DataFrame, table_id: str = fixed.FACT_TABLE) -> DataFrame:
     """Adds ``facts``: label and value of each body row that has both a ``th`` and a ``td``."""
-    def fact(row: Column) -> Column:
-        return let(F.struct(find(within(row), tagged("th")).alias("th"),
-                            find(within(row), tagged("td")).alias("td")),
+    def fact(inner: Column) -> Column:
+        return let(F.struct(find(inner, tagged("th")).alias("th"),
+                            find(inner, tagged("td")).alias("td")),
                    lambda pair: F.when(
                        pair["th"].isNotNull() & pair["td"].isNotNull(),
-                       F.struct(text_of(pair["th"]).alias("field"),
-                                text_of(pair["td"]).alias("value"))))
+                       F.struct(text_in(pair["th"], inner).alias("field"),
+                                text_in(pair["td"], inner).alias("value"))))
 
-    rows = _table_body_rows(pages, table_id, "_rows")
-    return rows.withColumn("facts", F.coalesce(
-        F.array_compact(F.transform("_rows", fact)),
-        F.array().cast("array<struct<field:string,value:string>>"),
-    )).drop("_rows", "_rows_table")
+    def all_facts(body: Column) -> Column:
+        return F.array_compact(F.transform(
+            F.filter(body, tagged("tr")), lambda row: let(within_scope(row, body), fact)))
+
+    return pages.withColumn("facts", F.coalesce(
+        let(_table_body(table_id), all_facts),
+        F.array().cast("array<struct<field:string,value:string>>")))
 
 
 def page_footer(pages: DataFrame) -> DataFrame:
@@ -294,11 +311,13 @@ def pages_to_markdown(pages: DataFrame, name: str = "text") -> DataFrame:
 
 def fact_kind(field: Column) -> Column:
     """Kind of a fact label: the first phrase its lower-cased text contains."""
-    label = F.lower(field)
-    kind = F.lit(None).cast("string")
-    for phrase, name in reversed(fixed.FACT_KINDS):
-        kind = F.when(label.contains(phrase), name).otherwise(kind)
-    return kind
+    def kind_of(label: Column) -> Column:
+        kind = F.lit(None).cast("string")
+        for phrase, name in reversed(fixed.FACT_KINDS):
+            kind = F.when(label.contains(phrase), name).otherwise(kind)
+        return kind
+
+    return let(F.lower(field), kind_of)
 
 
 def facts_to_wide(pages: DataFrame) -> DataFrame:
@@ -330,8 +349,8 @@ def facts_to_wide(pages: DataFrame) -> DataFrame:
 
 def first_row_cells(pages: DataFrame, table_id: str = fixed.PROJECTION_TABLE) -> DataFrame:
     """Adds code and projection from the first body row of a table with at least four cells."""
-    rows = _table_body_rows(pages, table_id, "_rows").withColumn(
-        "_cells", let(F.get("_rows", F.lit(0)), row_cells))
+    rows = pages.withColumn("_cells", let(_table_body(table_id), lambda body: let(
+        let(find(body, tagged("tr")), lambda row: within_scope(row, body)), cell_texts)))
     enough = F.size("_cells") >= 4
     return rows.select(
         *[F.col(name) for name in pages.columns],
@@ -373,7 +392,7 @@ def index_entries(pages: DataFrame, box=classed("div", fixed.INDEX_CLASS)) -> Da
     keep = [F.col(name) for name in pages.columns if name != "nodes"]
     return pages.withColumn("_box", find(page_nodes(), box)).withColumn(
         "_items", F.transform(F.filter(within(F.col("_box")), tagged("li")), entry)
-    ).select(*keep, F.posexplode("_items").alias("entry", "_item")).select(
+    ).select(*keep, F.posexplode(as_value("_items")).alias("entry", "_item")).select(
         *keep, "entry", "_item.*")
 
 

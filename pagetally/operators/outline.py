@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_right
 from html import unescape
 from html.parser import HTMLParser
 
@@ -48,6 +49,9 @@ PLAIN = re.compile(
     r"|<!(?:doctype|DOCTYPE) html>")
 PLAIN_ATTRIBUTE = re.compile(r"([a-zA-Z][a-zA-Z-]*)=\"([^\"]*)\"")
 CODE_TAGS = {"script", "style"}
+CODE_START = re.compile(rb"<(script|style)(?:[ \t\r\n][^<>]*)?>", re.IGNORECASE)
+CODE_END = {tag.encode(): re.compile(f"</{tag}(?=[^a-zA-Z0-9])".encode(), re.IGNORECASE)
+            for tag in CODE_TAGS}
 RAW_TAGS = CODE_TAGS | {
     "iframe", "noembed", "noframes", "noscript", "plaintext", "textarea", "title", "xmp"}
 
@@ -177,8 +181,18 @@ class Outline(HTMLParser):
         return sound
 
 
-def _node_arrays(pages):
-    """Arrow array of node lists for a list of pages; null for a missing or refused page."""
+def _node_lists(offsets, positions, parents, lasts, texts, missing=None):
+    """Arrow array of node lists from flat columns; ``texts`` are tag, the attributes and text."""
+    nodes = pa.StructArray.from_arrays(
+        [pa.array(numbers, pa.int32()) for numbers in (positions, parents, lasts)]
+        + [pa.array(column, pa.string()) for column in texts], names=NODE_TYPE.names)
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), nodes,
+        mask=None if missing is None else pa.array(missing, pa.bool_()))
+
+
+def _read_each(pages):
+    """Node lists of pages that are read one by one; null for a missing or refused page."""
     outline = Outline()
     offsets = [0]
     missing = []
@@ -188,11 +202,185 @@ def _node_arrays(pages):
     parents, *texts = zip(*outline.nodes) if outline.nodes else [()] * 7
     positions = [place for start, end in zip(offsets, offsets[1:])
                  for place in range(1, end - start + 1)]
-    nodes = pa.StructArray.from_arrays(
-        [pa.array(numbers, pa.int32()) for numbers in (positions, parents, outline.lasts)]
-        + [pa.array(column, pa.string()) for column in texts], names=NODE_TYPE.names)
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()), nodes, mask=pa.array(missing, pa.bool_()))
+    return _node_lists(offsets, positions, parents, outline.lasts, texts, missing)
+
+
+IGNORED = None      # what a comment or the doctype does; see _deed
+
+
+def _deed(piece, numbers):
+    """What a piece of markup does, and its tag and attributes; None when it is not plain.
+
+    Number n opens tag n, -n ends it, 0 is an element without content. ``numbers`` names tags by
+    number, those whose text is no page text first.
+    """
+    found = PLAIN.fullmatch(piece)
+    if not found:
+        return None
+    if found.lastindex is None:
+        return IGNORED, None, {}
+    if found.lastindex == 2:
+        return -numbers.setdefault(found[2].lower(), len(numbers) + 1), None, {}
+    tag = found[3].lower()
+    if found[5] and tag in RAW_TAGS:
+        return None
+    given = {name.lower(): value for name, value in PLAIN_ATTRIBUTE.findall(found[4])}
+    given |= {name: " ".join(given[name].split()) for name in ("class", "rel") if name in given}
+    opens = not found[5] and tag not in VOID_TAGS
+    return numbers.setdefault(tag, len(numbers) + 1) if opens else 0, tag, given
+
+
+def _nested(starts, odd, deeds, codes, texts):
+    """Number of nodes of each page, and of each node its parent, last descendant and origin.
+
+    Page ``i`` has the tokens from ``starts[i]`` on: a code of ``deeds`` and the number, if any, of the
+    text behind it. The origin is that code, or minus the number of a text. Odd pages get no nodes.
+    """
+    sizes, parents, lasts, origins = [], [], [], []
+    silent_tags = len(SILENT_TAGS)
+    for start, end, skipped in zip(starts, starts[1:], odd):
+        if skipped:
+            sizes.append(0)
+            continue
+        base = len(parents) - 1
+        names, places, parent, place, silent = [0], [0], 0, 0, 0
+        for code, text in zip(codes[start:end], texts[start:end]):
+            deed = deeds[code]
+            if deed is None:
+                pass
+            elif deed >= 0:
+                place += 1
+                origins.append(code)
+                parents.append(parent)
+                lasts.append(place)
+                if deed:
+                    names.append(deed)
+                    places.append(place)
+                    parent = place
+                    silent += deed <= silent_tags
+            elif -deed in names:
+                name = 0
+                while name != -deed:
+                    name = names.pop()
+                    lasts[base + places.pop()] = place
+                    silent -= name <= silent_tags
+                parent = places[-1]
+            if text and not silent:
+                place += 1
+                origins.append(-text)
+                parents.append(parent)
+                lasts.append(place)
+        for open_place in places[1:]:
+            lasts[base + open_place] = place
+        sizes.append(place)
+    return sizes, parents, lasts, origins
+
+
+def _outside_code(raw, opened, borders):
+    """The places of ``<`` that are not in the content of a script or style."""
+    raw, borders, starts, ends = memoryview(raw), borders.tolist(), [], []
+    place = borders[0]
+    while found := CODE_START.search(raw, place):
+        page_end = borders[bisect_right(borders, found.start())]
+        place = min(found.end(), page_end)
+        if end := CODE_END[found[1].lower()].search(raw, place, page_end):
+            starts.append(place)
+            ends.append(end.start())
+            place = end.end()
+    inside = np.zeros(len(opened) + 1, np.int32)
+    np.add.at(inside, np.searchsorted(opened, starts), 1)
+    np.add.at(inside, np.searchsorted(opened, ends), -1)
+    return opened[np.cumsum(inside[:-1]) == 0]
+
+
+def _cut(data, borders):
+    """Texts between ascending positions of a buffer, without copying."""
+    return pa.StringArray.from_buffers(
+        len(borders) - 1, pa.py_buffer(borders.astype(np.int32)), data)
+
+
+def _read_together(pages):
+    """Node lists of pages, and which of them hold other than plain markup (their list is to be ignored).
+
+    All pages are cut at once: a piece of markup goes from ``<`` to the next ``>``, text fills
+    the rest. Every distinct piece is read by one pattern, once.
+    """
+    borders = np.frombuffer(pages.buffers()[1], np.int32)[pages.offset:pages.offset + len(pages) + 1]
+    data = pages.buffers()[2] or pa.py_buffer(b"")
+    raw = np.frombuffer(data, np.uint8)[:borders[-1]]
+    opened = _outside_code(
+        raw, np.flatnonzero(raw[borders[0]:] == ord("<")) + borders[0], borders)
+    ends = np.flatnonzero(raw[borders[0]:] == ord(">")) + borders[0]
+    page_of = np.searchsorted(borders, opened, side="right") - 1
+    following = np.append(opened[1:], borders[-1])      # next piece of markup, if on this page
+    following = np.minimum(following, borders[1:][page_of])
+    closed = np.append(ends, len(raw))[np.searchsorted(ends, opened)]
+    odd = np.zeros(len(pages), bool)
+    odd[page_of[closed >= following]] = True
+    closed = np.minimum(closed, following - 1)
+
+    # the pieces: one empty piece at each page start, so that a text follows every piece
+    order = np.argsort(np.concatenate([borders[:-1], opened]), kind="stable")
+    piece_starts = np.concatenate([borders[:-1], opened])[order]
+    piece_ends = np.concatenate([borders[:-1], closed + 1])[order]
+    text_ends = np.append(piece_starts[1:], borders[-1])
+    cut = _cut(data, np.append(np.stack([piece_starts, piece_ends], axis=1).ravel(), text_ends[-1:]))
+    pieces = cut.take(pa.array(np.arange(0, len(cut), 2))).dictionary_encode()
+    texts = cut.take(pa.array(np.arange(1, len(cut), 2)))
+    codes = pieces.indices.to_numpy()
+    page_of = np.concatenate([np.arange(len(pages)), page_of])[order]
+
+    numbers = {tag: i for i, tag in enumerate(sorted(SILENT_TAGS), 1)}
+    read = [(IGNORED, None, {}) if piece == "" else _deed(piece, numbers)
+            for piece in pieces.dictionary.to_pylist()]
+    plain = np.array([deed is not None for deed in read], bool)
+    odd[page_of[~plain[codes]]] = True
+    read = [deed or (IGNORED, None, {}) for deed in read]
+    deeds = [deed for deed, _, _ in read]
+    marked = pc.match_substring(texts, "&")
+
+    # content of raw tags is plain if their own end tag comes next; only code may hold "&"
+    for tag in RAW_TAGS & numbers.keys():
+        starting = np.array([deed == numbers[tag] for deed in deeds], bool)[codes]
+        ending = np.array([deed == -numbers[tag] for deed in deeds], bool)[codes]
+        if tag not in CODE_TAGS:
+            exact = np.array([piece == f"</{tag}>" for piece in pieces.dictionary.to_pylist()], bool)
+            ending &= exact[codes]
+            odd[page_of[starting & marked.to_numpy(zero_copy_only=False)]] = True
+        odd[page_of[starting & ~np.append(ending[1:], False)]] = True
+
+    filled = np.where(text_ends > piece_ends, np.arange(1, len(texts) + 1), 0)
+    starts = np.searchsorted(page_of, np.arange(len(pages) + 1))
+    sizes, parents, lasts, origins = _nested(
+        starts.tolist(), odd.tolist(), deeds, codes.tolist(), filled.tolist())
+
+    if pc.any(marked).as_py():
+        texts = pc.replace_with_mask(texts, marked, pa.array(
+            [unescape(text) for text in texts.filter(marked).to_pylist()], pa.string()))
+    origins = np.array(origins, np.int64)
+    element, offsets = origins >= 0, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    of_element = pa.array(np.where(element, origins, 0), mask=~element)
+    of_text = pa.array(np.where(element, 0, -origins - 1), mask=element)
+    columns = [[tag for _, tag, _ in read]] + [
+        [given.get(name) for _, _, given in read] for name in ATTRIBUTES]
+    positions = np.arange(1, len(origins) + 1) - np.repeat(offsets[:-1], sizes)
+    lists = _node_lists(
+        offsets, positions, np.array(parents, np.int32), np.array(lasts, np.int32),
+        [pa.array(column, pa.string()).take(of_element) for column in columns]
+        + [texts.take(of_text)])
+    return lists, odd
+
+
+def _node_arrays(pages):
+    """Arrow array of node lists for Arrow texts of pages; null for a missing or refused page."""
+    lists, odd = _read_together(pages.cast(pa.string()).fill_null(""))
+    odd |= pages.is_null().to_numpy(zero_copy_only=False)
+    if not odd.any():
+        return lists
+    rest = _read_each(pages.filter(pa.array(odd)).to_pylist())
+    places = np.arange(len(pages))
+    places[odd] = len(pages) + np.arange(odd.sum())
+    return pa.concat_arrays([lists, rest]).take(pa.array(places))
 
 
 BYTES_AT_ONCE = 4 << 20     # of markup, or one page: bounds an output batch
@@ -208,7 +396,7 @@ def _outline_batches(batches):
             stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
             part = batch.slice(start, stop - start)
             start = stop
-            html = part.column(part.num_columns - 1).to_pylist()
+            html = part.column(part.num_columns - 1)
             kept = [part.column(i) for i in range(part.num_columns - 1)]
             names = [part.schema.field(i).name for i in range(part.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, _node_arrays(html)], [*names, "nodes"])

@@ -1,13 +1,17 @@
 """Markup to nodes, sections, Markdown and table rows."""
 
+import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pagetally import fixed
-from pagetally.operators import extract
+from pagetally.catalogue import queries
+from pagetally.operators import extract, outline
 from pagetally.operators.outline import Outline, html_nodes, node_rows
+from pagetally.session import spread
 
 PAGE = (
     "<html><head><title>Bakers at work</title><link rel=canonical href='https://example.org/baker'>"
@@ -247,3 +251,57 @@ def test_large_pages_keep_their_whole_text(pages):
     text = one(extract.pages_to_markdown(pages(
         f'<div id="panes"><div id="tab-2"><h2>T</h2><p>{words}</p></div></div>'))).text
     assert text.split("\n")[4] == words
+
+
+def test_pages_read_together_equal_pages_read_one_by_one():
+    random.seed(11)
+    pieces = [
+        "<p>", "</p>", "<P class=\"a  b\">", "<br>", "<br/>", "<p/>", "<li>", "<ul>", "</ul>", "text", " ", "é &amp; x",
+        "&lt", "<!-- c -->", "<!--a>b-->", "<!--", "-->", "<script>", "</script>", "</SCRIPT>", "<SCRIPT src=\"a\">",
+        "<script ", "var x='</p>';", "x > y", "<title>", "</title>", "</Title>", "<title/>", "<style>", "</style>",
+        "<textarea>", "</textarea>", "<template>", "</template>", "<rt>", "</rt>", "<a href=\"u>v\">",
+        "<a href=\"u<v\">", "<a href='q'>", "<a href=\"r&amp;s\">", "<a rel=\"x  y\" rel=\"z\" href=\"\">", "</a>",
+        "<!doctype html>", "<?php", "<", ">", "</", "</ p>", "<script/>", "\x00", "</br>", "</p >", "日本"]
+    for _ in range(1_000):
+        pages = pa.array([
+            None if random.random() < 0.03 else "".join(
+                random.choice(pieces) for _ in range(random.randint(0, random.choice([3, 8, 25]))))
+            for _ in range(random.randint(0, 20))], pa.string())
+        one_by_one = outline._read_each(pages.to_pylist())
+        assert outline._node_arrays(pages).equals(one_by_one), pages.to_pylist()
+        assert outline._node_arrays(pages.slice(1)).to_pylist() == one_by_one.to_pylist()[1:]
+
+
+def test_plain_pages_are_not_read_one_by_one(monkeypatch):
+    monkeypatch.setattr(outline, "_read_each", None)
+    page = '<title>a</title><script>if (a < b) "</p>"</script><ul><li>a &amp; b<li><b>c</ul><!-- d -->e'
+    lists = outline._node_arrays(pa.array([page, "", page])).to_pylist()
+    assert lists[0] == lists[2] and lists[1] == []
+    assert [node["text"] or node["tag"] for node in lists[0]] == [
+        "title", "a", "script", "ul", "li", "a & b", "li", "b", "c", "e"]
+
+
+def test_facts_are_computed_once(spark, monkeypatch):
+    nodes = spark.createDataFrame([("a", PAGE)], "slug string, html string")
+    monkeypatch.setattr(queries.standins, "order_pages", lambda spark, folder: nodes)
+    rows = queries.QUERIES["facts"](spark, "")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("quickfacts") == 1
+    assert [tuple(row) for row in rows.collect()] == [
+        ("a", 0, "Median Pay", "$31,200 per year"), ("a", 1, "Entry-Level Education", "No formal credential")]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the given tables are not here")
+def test_rows_are_dealt_out_before_they_become_pages(spark):
+    for make in (queries.standins.order_pages, queries.standins.part_pages):
+        pages = spread(make(spark, "/root/testdata/sf0.001"))
+        plan = pages._jdf.queryExecution().optimizedPlan().toString()
+        assert "html" in plan.split("Repartition")[0] and "html" not in plan.split("Repartition")[1]
+        assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_white_space_class_is_the_unicode_property(spark):
+    marks = spark.range(0x110000).filter("id not between 55296 and 57343").select(
+        F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("mark"))
+    differ = F.col("mark").rlike(f"^{fixed.WHITESPACE}$") != F.col("mark").rlike(r"^(?U)[\s\x1c-\x1f]+$")
+    assert marks.filter(differ).count() == 0
